@@ -1,0 +1,173 @@
+"""A keyed table on plain parquet that changes are applied to batch by batch.
+
+Rows live in hash buckets of the key. A batch rewrites the buckets it touches into a new version
+folder and then publishes a manifest, a one-file table saying which version holds each bucket.
+Readers see the old state until that single file appears. The manifest keeps per-bucket sums, so
+the average row is renewed without reading the untouched buckets.
+
+One writer at a time.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
+
+from tallystream.operators.fold import IGNORE, apply_changes
+from tallystream.operators.joins import DEFAULT_LIMITS, JoinLimits
+from tallystream.schemas import AVERAGE_KEY, METRICS, YEAR
+
+BUCKET = "bucket_id"
+
+
+class KeyedTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: T.StructType,
+        keys: list[str],
+        on_insert: str = IGNORE,
+        buckets: int = 64,
+        limits: JoinLimits = DEFAULT_LIMITS,
+    ):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.schema = schema
+        self.keys = keys
+        self.on_insert = on_insert
+        self.buckets = buckets
+        self.limits = limits
+        self.metrics = [m for m in METRICS if m in schema.names]
+        self._manifest_schema = T.StructType(
+            [
+                T.StructField(BUCKET, T.IntegerType()),
+                T.StructField("data_version", T.LongType()),
+                T.StructField("n_rows", T.LongType()),
+                *[T.StructField(f"sum_{m}", T.DoubleType()) for m in self.metrics],
+                *[T.StructField(f"cnt_{m}", T.LongType()) for m in self.metrics],
+                T.StructField("writer", T.StringType()),
+                T.StructField("batch_id", T.LongType()),
+            ]
+        )
+
+    def _path(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
+
+    def _versions(self, folder: str) -> list[int]:
+        fs, path = self._path(folder)
+        if not fs.exists(path):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(path)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("version="))
+
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.root}/manifest/version={version}"
+
+    def _manifest(self, version: int) -> DataFrame:
+        return self.spark.read.schema(self._manifest_schema).parquet(self._manifest_path(version))
+
+    def _state(self) -> tuple[int, list[Row]]:
+        """Latest published version with its manifest rows, at most one per bucket."""
+        for version in reversed(self._versions("manifest")):
+            rows = self._manifest(version).collect()
+            if rows:
+                return version, rows
+        return 0, []
+
+    def _load(self, places: list[Row]) -> DataFrame:
+        paths = [f"{self.root}/data/version={p.data_version}/{BUCKET}={p[BUCKET]}" for p in places if p.n_rows]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def read(self) -> DataFrame:
+        return self._load(self._state()[1])
+
+    def average(self) -> DataFrame:
+        """The AVERAGE row from the manifest's sums."""
+        version, rows = self._state()
+        source = self._manifest(version) if rows else self.spark.createDataFrame([], self._manifest_schema)
+        means = [
+            F.round(F.try_divide(F.sum(f"sum_{m}"), F.sum(f"cnt_{m}")), 2).alias(m) for m in self.metrics
+        ]
+        return source.agg(*means).select(F.lit(AVERAGE_KEY).alias(YEAR), *self.metrics)
+
+    def read_with_average(self) -> DataFrame:
+        return self.read().unionByName(self.average(), allowMissingColumns=True)
+
+    def load_initial(self, rows: DataFrame) -> None:
+        """First contents of an empty table."""
+        version, places = self._state()
+        if places:
+            raise ValueError("the table already has contents")
+        self._publish(rows, range(self.buckets), version, [], "initial", -1)
+
+    def commit(self, changes: DataFrame, batch_id: int, writer: str = "batch") -> bool:
+        """Apply a batch; a batch this writer already published is left alone."""
+        version, places = self._state()
+        if any(p.writer == writer and p.batch_id >= batch_id for p in places):
+            return False
+        touched = {r[0] for r in changes.select(self._bucket()).distinct().collect()}
+        if not touched:
+            return False
+        target = self._load([p for p in places if p[BUCKET] in touched])
+        rows = apply_changes(target, changes, self.keys, self.on_insert, self.limits)
+        self._publish(rows, touched, version, places, writer, batch_id)
+        return True
+
+    def _publish(self, rows, touched, version, places, writer, batch_id) -> None:
+        data = f"{self.root}/data/version={version + 1}"
+        # Rebalance keeps a bucket's files few and lets adaptive execution split an outsized one.
+        bucketed = rows.select(*self.schema.names, self._bucket().alias(BUCKET))
+        bucketed.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+        fresh = {r[BUCKET]: r for r in self._measure(data).collect()}
+        empty = Row(*[f.name for f in self._manifest_schema.fields])
+        entries = [
+            # The last writer's mark goes on every row, so an untouched bucket does not hide it.
+            {**p.asDict(), "writer": writer, "batch_id": batch_id}
+            for p in places
+            if p[BUCKET] not in touched
+        ]
+        for bucket in touched:
+            found = fresh.get(bucket)
+            entries.append(
+                {
+                    BUCKET: bucket,
+                    "data_version": version + 1,
+                    "n_rows": found.n_rows if found else 0,
+                    **{f"sum_{m}": found[f"sum_{m}"] if found else None for m in self.metrics},
+                    **{f"cnt_{m}": found[f"cnt_{m}"] if found else 0 for m in self.metrics},
+                    "writer": writer,
+                    "batch_id": batch_id,
+                }
+            )
+        ordered = [empty(*[e[f.name] for f in self._manifest_schema.fields]) for e in entries]
+        manifest = self.spark.createDataFrame(ordered, self._manifest_schema)
+        manifest.coalesce(1).write.mode("overwrite").parquet(self._manifest_path(version + 1))
+
+    def _measure(self, data: str) -> DataFrame:
+        with_bucket = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        rows = self.spark.read.schema(with_bucket).parquet(data)
+        counted = F.coalesce(~F.col(YEAR).like("TTM") & (F.col(YEAR) != AVERAGE_KEY), F.lit(False))
+        return rows.groupBy(BUCKET).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            *[F.sum(F.when(counted, F.col(m))).alias(f"sum_{m}") for m in self.metrics],
+            *[F.count(F.when(counted, F.col(m))).alias(f"cnt_{m}") for m in self.metrics],
+        )
+
+    def vacuum(self, keep: int = 2) -> None:
+        """Remove versions no kept manifest points to."""
+        versions = self._versions("manifest")
+        kept = versions[-keep:]
+        used = {r.data_version for v in kept for r in self._manifest(v).select("data_version").distinct().collect()}
+        for version in versions[:-keep]:
+            fs, path = self._path(f"manifest/version={version}")
+            fs.delete(path, True)
+        for version in self._versions("data"):
+            if kept and version < kept[0] and version not in used:
+                fs, path = self._path(f"data/version={version}")
+                fs.delete(path, True)
