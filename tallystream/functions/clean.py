@@ -8,29 +8,36 @@ from pyspark.sql import Column, functions as F
 _SIGNED = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
 _UNSIGNED = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
 _MARKS_ONLY = r"^(?=[^0-9]*[0-9])(?=[^.]*\.?[^.]*$)(?=[^-]*-?[^-]*$)[0-9.\-]+$"
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+
+# Every character that counts as white space at the ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_text(text: Column) -> Column:
     """Remove white space at both ends, no-break space included."""
-    return F.regexp_replace(text, _EDGE_SPACE, "")
+    return F.trim(text, F.lit(WHITE_SPACE))
+
+
+def number_text(text: Column) -> Column:
+    """A cell without ``+``, ``%``, commas, spaces; an empty cell reads as zero."""
+    return F.when(text == "", F.lit("0")).otherwise(strip_text(F.translate(text, "+%, ", "")))
 
 
-def _number_text(text: Column) -> Column:
-    return strip_text(F.regexp_replace(text, "[+%, ]", ""))
+def number_value(bare: Column, allow_negative: bool = True) -> Column:
+    """Value of such a text, or null where it is no number."""
+    value = F.when(bare.rlike(_SIGNED if allow_negative else _UNSIGNED), bare.try_cast("double"))
+    return value.when(bare.rlike(_MARKS_ONLY), F.lit(0.0)) if allow_negative else value
 
 
 def clean_number(text: Column, allow_negative: bool = True) -> Column:
     """Number in a scraped cell, or null where the text is not one.
 
-    Signs ``+``, ``%``, commas and spaces are dropped. Text made of digits, one dot and one
-    minus that still is no number ("5-3") counts as 0.0. An empty cell is 0.0.
+    Text made of digits, one dot and one minus that still is no number ("5-3") counts as 0.0.
     """
-    bare = _number_text(text)
-    plain = F.when(bare.rlike(_SIGNED if allow_negative else _UNSIGNED), bare.try_cast("double"))
-    if allow_negative:
-        plain = plain.when(bare.rlike(_MARKS_ONLY), F.lit(0.0))
-    return F.when(text == "", F.lit(0.0)).otherwise(plain)
+    return number_value(number_text(text), allow_negative)
 
 
 def is_rejected_number(text: Column, allow_negative: bool = True) -> Column:
@@ -52,8 +59,8 @@ def is_digits(text: Column) -> Column:
 def normalize_header(text: Column, blank: Column | str = "Unknown") -> Column:
     """Metric name of a row label: blanks to ``_``, no ``+``, nothing hanging off the ends."""
     blank = F.lit(blank) if isinstance(blank, str) else blank
-    joined = F.replace(F.replace(text, F.lit(" "), F.lit("_")), F.lit("+"), F.lit(""))
-    name = F.regexp_replace(joined, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f_]+$", "")
+    joined = F.translate(text, " +", "_")
+    name = F.rtrim(F.ltrim(joined, F.lit(WHITE_SPACE)), F.lit(WHITE_SPACE + "_"))
     return F.when(name == "", blank).otherwise(name)
 
 

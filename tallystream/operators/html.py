@@ -2,6 +2,10 @@
 
 A page is one row and stays one row until its table is unfolded, so extraction, transposition
 and cleaning need no shuffle at all.
+
+Unfolding uses the outer generators and drops the null row afterwards. A plain generator, or a
+filter below it, would make the optimizer push a size test through the projections and run the
+page-wide patterns a second time.
 """
 
 from __future__ import annotations
@@ -14,12 +18,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallystream.functions.clean import (
     clean_number,
-    fill_number,
     normalize_header,
-    percent_fraction,
+    number_text,
+    number_value,
     strip_text,
 )
-from tallystream.schemas import LABEL_MARK, METRICS, SCRAPED, TRAILING_PERIOD, YEAR
+from tallystream.schemas import LABEL_MARK, METRICS, SCRAPED, SCRAPED_TO_METRIC, TRAILING_PERIOD, YEAR
 
 SECTION_ID = "profit-loss"
 COMPANY_URL = r"/company/(.+?)/"
@@ -60,7 +64,7 @@ def decode_rare_entities(markup: Column) -> Column:
 
 def cell_text(markup: Column) -> Column:
     """Text of a cell: no tags, entities decoded, stripped."""
-    text = F.regexp_replace(markup, "<[^>]*>", "")
+    text = F.when(markup.contains("<"), F.regexp_replace(markup, "<[^>]*>", "")).otherwise(markup)
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return strip_text(text)
@@ -82,9 +86,12 @@ def list_items(pages: DataFrame, container: str = "nav", item: str = "li") -> Da
     visible = F.regexp_replace("html", _INVISIBLE, "")
     box = pages.select("page_id", _first_element(visible, container).alias("box"))
     decoded = box.select("page_id", decode_rare_entities(F.col("box")).alias("box"))
-    return decoded.select(
-        "page_id", F.posexplode(_elements(F.col("box"), item)).alias("item_idx", "markup")
-    ).select("page_id", "item_idx", cell_text(F.col("markup")).alias("text"))
+    items = decoded.select(
+        "page_id", F.posexplode_outer(_elements(F.col("box"), item)).alias("item_idx", "markup")
+    )
+    return items.where(F.col("item_idx").isNotNull()).select(
+        "page_id", "item_idx", cell_text(F.col("markup")).alias("text")
+    )
 
 
 def page_key(url: Column, pattern: str = COMPANY_URL) -> Column:
@@ -106,7 +113,8 @@ def statement_tables(
     kept = [c for c in pages.columns if c != "html"]
     found = (
         pages.withColumn("_section", _first_element(visible, "section", section_id))
-        .withColumn("_table", decode_rare_entities(_first_element(F.col("_section"), "table")))
+        .withColumn("_table", _first_element(F.col("_section"), "table"))
+        .withColumn("_table", decode_rare_entities(F.col("_table")))
         .withColumn("_rows", _elements(F.col("_table"), "tr"))
     )
     cell_tag = "td" if header_cells_anywhere else "t[hd]"
@@ -128,28 +136,22 @@ def statement_tables(
         .when(F.col("_table") == "", "no_table")
         .when(F.size("_rows") < 2, "empty_table")
     )
-    return found.select(
-        *kept, F.transform(head, cell_text).alias("header"), body.alias("body"), reason.alias("reason")
-    )
-
-
-def good_tables(tables: DataFrame) -> DataFrame:
-    return tables.where(F.col("reason").isNull()).drop("reason")
+    # Without body rows the header is empty too, so such a page unfolds to nothing.
+    shown = F.when(F.size("_rows") >= 2, F.transform(head, cell_text)).otherwise(F.array().cast("array<string>"))
+    return found.select(*kept, shown.alias("header"), body.alias("body"), reason.alias("reason"))
 
 
 def rejected_pages(tables: DataFrame) -> DataFrame:
-    return tables.where(F.col("reason").isNotNull()).select(
+    reasons = tables.select("page_id", F.explode_outer(F.array_compact(F.array("reason"))).alias("reason"))
+    return reasons.where(F.col("reason").isNotNull()).select(
         F.lit("pages").alias("source"), F.col("page_id").cast("string").alias("key"), "reason"
     )
 
 
 def table_rows(tables: DataFrame) -> DataFrame:
     """Body rows one by one, with the width the header asks for."""
-    return (
-        good_tables(tables)
-        .select("page_id", F.size("header").alias("n_header"), F.inline("body"))
-        .select("page_id", "row_idx", "n_header", "cells")
-    )
+    rows = tables.select("page_id", F.size("header").alias("n_header"), F.inline_outer("body"))
+    return rows.where(F.col("row_idx").isNotNull()).select("page_id", "row_idx", "n_header", "cells")
 
 
 def fits_header(rows: DataFrame) -> DataFrame:
@@ -187,7 +189,7 @@ def transpose_statement(
     )
     kept = [c for c in tables.columns if c not in ("header", "body", "reason")]
     periods = drop_last_cells(F.slice("header", F.lit(2), F.greatest(width - 1, F.lit(0))), drop_last)
-    shaped = good_tables(tables).select(*kept, periods.alias("_periods"), rows.alias("_rows"))
+    shaped = tables.select(*kept, periods.alias("_periods"), rows.alias("_rows"))
 
     def cells_of(metric: str) -> Column:
         first = F.get(F.filter("_rows", lambda r: r["metric"] == metric), F.lit(0))
@@ -197,7 +199,8 @@ def transpose_statement(
         *kept, F.col("_periods"), *[cells_of(m).alias(f"_m{i}") for i, m in enumerate(metrics)]
     )
     zipped = F.arrays_zip("_periods", *[f"_m{i}" for i in range(len(metrics))])
-    return picked.select(*kept, F.posexplode(zipped).alias("_i", "_z")).select(
+    unfolded = picked.select(*kept, F.posexplode_outer(zipped).alias("_i", "_z"))
+    return unfolded.where(F.col("_i").isNotNull()).select(
         *kept,
         (F.col("_i") + 1).alias("pos"),
         F.col("_z._periods").alias(YEAR),
@@ -217,13 +220,6 @@ def unknown_metrics(tables: DataFrame, metrics: list[str] = SCRAPED, label_mark:
     )
 
 
-def _cell_number(text: Column, percent_as_fraction: bool, allow_negative: bool) -> Column:
-    number = clean_number(text, allow_negative)
-    if percent_as_fraction:
-        number = F.when(strip_text(text).endswith("%"), percent_fraction(text)).otherwise(number)
-    return number
-
-
 def clean_statement(
     texts: DataFrame, percent_as_fraction: bool = False, allow_negative: bool = True
 ) -> DataFrame:
@@ -232,16 +228,23 @@ def clean_statement(
     Empty and absent cells are 0.0; text that is no number is null here and listed by
     ``rejected_cells``.
     """
-    names = dict(zip(SCRAPED, METRICS))
-    numbers = {
-        names[c]: F.when(F.col(f"`{c}`").isNull(), F.lit(0.0)).otherwise(
-            _cell_number(F.col(f"`{c}`"), percent_as_fraction, allow_negative)
-        )
-        for c in texts.columns
-        if c in names
-    }
-    rest = [c for c in texts.columns if c not in names]
-    return texts.select(*rest, *[v.alias(k) for k, v in numbers.items()])
+    found = [c for c in texts.columns if c in SCRAPED_TO_METRIC]
+    rest = [c for c in texts.columns if c not in SCRAPED_TO_METRIC]
+
+    def bare(name: str) -> Column:
+        text = F.coalesce(F.col(f"`{name}`"), F.lit(""))
+        cleaned = number_text(text).alias("bare")
+        return F.struct(cleaned, strip_text(text).endswith("%").alias("percent")) if percent_as_fraction else cleaned
+
+    def value(metric: str) -> Column:
+        if not percent_as_fraction:
+            return number_value(F.col(metric), allow_negative)
+        number = number_value(F.col(f"{metric}.bare"), allow_negative)
+        return F.when(F.col(f"{metric}.percent"), number / 100).otherwise(number)
+
+    # Two projections, so that each cell's text is cleaned once and then tested.
+    cleaned = texts.select(*rest, *[bare(c).alias(SCRAPED_TO_METRIC[c]) for c in found])
+    return cleaned.select(*rest, *[value(SCRAPED_TO_METRIC[c]).alias(SCRAPED_TO_METRIC[c]) for c in found])
 
 
 def rejected_cells(texts: DataFrame, allow_negative: bool = True) -> DataFrame:

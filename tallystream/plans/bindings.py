@@ -6,21 +6,23 @@ The test tables hold no statements, so change logs come from ``events``, preload
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallystream.functions.messages import encode
 from tallystream.schemas import AUDIT, COMPANY, METRICS, YEAR
 
-EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
+# Declared layouts of the test tables that are read here.
+TABLES = {
+    "events": "event_id long, ts timestamp, user_id long, event_type string, value double, props string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp",
+}
 
 # Metrics as functions of an amount v and a small number k; read by Spark and by the oracle.
 METRIC_OF_VALUE = {
@@ -38,19 +40,20 @@ METRIC_OF_VALUE = {
     "Dividend_Payout_percent": "v * 4",
 }
 
-# Metrics as functions of the sums of a company's order lines in one year.
+# Metrics as functions of the sums of a company's order lines in one year. Amounts are whole
+# numbers (price in hundredths, disc and tax in ten-thousandths), so sums are exact.
 METRIC_OF_SUMS = {
-    "Sales_plus": "cast(price as double)",
-    "Expenses_plus": "cast(disc as double)",
-    "Operating_Profit": "cast(price - disc as double)",
+    "Sales_plus": "price / cast(100 as double)",
+    "Expenses_plus": "disc / cast(10000 as double)",
+    "Operating_Profit": "(price * 100 - disc) / cast(10000 as double)",
     "OPM_percent": "cast(qty as double)",
-    "Other_Income_plus": "cast(tax as double)",
+    "Other_Income_plus": "tax / cast(10000 as double)",
     "Interest": "cast(n as double)",
     "Depreciation": "n * cast(0.25 as double)",
-    "Profit_before_tax": "cast(price - disc + tax as double)",
+    "Profit_before_tax": "(price * 100 - disc + tax) / cast(10000 as double)",
     "Tax_percent": "qty * cast(0.5 as double)",
-    "Net_Profit_plus": "cast(cast(price - disc as decimal(18,4)) * cast(0.01 as decimal(3,2)) as double)",
-    "EPS_in_Rs": "cast(price as double) / 3",
+    "Net_Profit_plus": "(price * 100 - disc) / cast(1000000 as double)",
+    "EPS_in_Rs": "price / cast(100 as double) / 3",
     "Dividend_Payout_percent": "qty * cast(0.125 as double)",
 }
 
@@ -78,19 +81,19 @@ LABELS = [
     "Dividend Payout %",
 ]
 # The page shows amounts with six decimals; a third of a price has more, so pages use another rule.
-PAGE_METRIC = {**METRIC_OF_SUMS, "EPS_in_Rs": "cast(price as double)"}
+PAGE_METRIC = {**METRIC_OF_SUMS, "EPS_in_Rs": "price / cast(100 as double)"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return table(spark, sf_dir, "events")
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def change_log(source: DataFrame) -> DataFrame:
@@ -154,31 +157,26 @@ def preloaded(spark: SparkSession, sf_dir: str, company: bool) -> DataFrame:
 def order_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact sums per company and year. Lines are summed per order before the join."""
 
-    def dec(column: str):
-        return F.col(column).cast("decimal(12,2)")
+    def hundredths(column: str):
+        return F.round(F.col(column) * 100).cast("bigint")
 
+    price = hundredths("l_extendedprice")
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
-            F.sum(dec("l_extendedprice")).alias("price"),
-            F.sum(dec("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).alias("disc"),
-            F.sum(dec("l_extendedprice") * F.col("l_tax").cast("decimal(4,2)")).alias("tax"),
+            F.sum(price).alias("price"),
+            F.sum(price * hundredths("l_discount")).alias("disc"),
+            F.sum(price * hundredths("l_tax")).alias("tax"),
             F.sum(F.col("l_quantity").cast("bigint")).alias("qty"),
             F.count(F.lit(1)).alias("n"),
         )
     )
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", F.year("o_orderdate").alias("y")
-    )
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return joined.groupBy("o_custkey", "y").agg(
-        F.sum("price").cast("decimal(18,2)").alias("price"),
-        F.sum("disc").cast("decimal(18,4)").alias("disc"),
-        F.sum("tax").cast("decimal(18,4)").alias("tax"),
-        F.sum("qty").alias("qty"),
-        F.sum("n").alias("n"),
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.year("o_orderdate").alias("y")
     )
+    sums = [F.sum(c).alias(c) for c in ("price", "disc", "tax", "qty", "n")]
+    return lines.join(orders, "l_orderkey").groupBy("o_custkey", "y").agg(*sums)
 
 
 def facts(spark: SparkSession, sf_dir: str, rules: dict[str, str] = METRIC_OF_SUMS) -> DataFrame:

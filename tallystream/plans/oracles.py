@@ -35,9 +35,9 @@ facts as (
   select {B.PERIOD_OF_YEAR} as {YEAR}, {_metrics(rules)}, cast(o_custkey as varchar) as {COMPANY}, o_custkey, y
   from (
     select o_custkey, year(o_orderdate) as y,
-      cast(sum(cast(l_extendedprice as decimal(12,2))) as decimal(18,2)) as price,
-      cast(sum(cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(4,2))) as decimal(18,4)) as disc,
-      cast(sum(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2))) as decimal(18,4)) as tax,
+      cast(sum(cast(l_extendedprice as decimal(12,2))) * 100 as bigint) as price,
+      cast(sum(cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(4,2))) * 10000 as bigint) as disc,
+      cast(sum(cast(l_extendedprice as decimal(12,2)) * cast(l_tax as decimal(4,2))) * 10000 as bigint) as tax,
       cast(sum(cast(l_quantity as bigint)) as bigint) as qty, count(*) as n
     from lineitem join orders on l_orderkey = o_orderkey
     group by 1, 2
@@ -50,7 +50,7 @@ PAGE_FACTS = (
     _facts(B.PAGE_METRIC)
     + f""",
 numbered as (
-  select *, row_number() over (partition by o_custkey order by y) as pos,
+  select *, cast(row_number() over (partition by o_custkey order by y) as int) as pos,
     count(*) over (partition by o_custkey) as n_periods
   from facts
 )"""
@@ -170,7 +170,7 @@ _PAGE_LABEL = [
 
 def _page_rows() -> str:
     parts = [
-        f"select o_custkey as page_id, {i} as row_idx, count(*) + 1 as n_header, "
+        f"select o_custkey as page_id, {i} as row_idx, cast(count(*) + 1 as int) as n_header, "
         f"'{label}|' || string_agg({_PAGE_CELL[m]}, '|' order by y) as cells from facts group by o_custkey"
         for i, (label, m) in enumerate([*zip(_PAGE_LABEL, METRICS), ("TTL", "Sales_plus")], start=1)
     ]
@@ -252,8 +252,8 @@ ORACLES: dict[str, str] = {
     "page_key_from_url": """select page_id, nullif(regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1), '') as page_key
         from pages""",
     "html_table_rows": f"with {PAGE_FACTS} {_page_rows()}",
-    "html_row_arity": f"""with {PAGE_FACTS} select o_custkey as page_id, 6 as row_idx, any_value(n_periods) + 1 as n_header,
-        any_value(n_periods) as n_cells, 'Interest' as label from numbered
+    "html_row_arity": f"""with {PAGE_FACTS} select o_custkey as page_id, 6 as row_idx, cast(any_value(n_periods) + 1 as int) as n_header,
+        cast(any_value(n_periods) as int) as n_cells, 'Interest' as label from numbered
         where n_periods > 5 and n_periods % 2 = 1 group by o_custkey""",
     "html_rejects": f"""with {PAGE_FACTS} select 'pages' as source, cast(o_custkey as varchar) as key,
         case when any_value(n_periods) <= 3 then 'no_section' when any_value(n_periods) = 4 then 'no_table'
