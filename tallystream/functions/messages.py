@@ -34,7 +34,11 @@ def encode(audit: DataFrame, company: bool = True) -> DataFrame:
 
 
 def decode(records: DataFrame, company: bool = True) -> DataFrame:
-    """Records as flat changes, with the audit id from the key and the raw text kept."""
+    """Records as flat changes, with the audit id from the key and the raw text kept.
+
+    The parsed struct is unfolded by a generator: later filters stay above it, where a plain
+    projection would have the optimizer parse the text once more for each field they test.
+    """
     schema = MESSAGE_MULTI if company else MESSAGE_SINGLE
     with_raw = T.StructType([*schema.fields, T.StructField(_RAW, T.StringType(), True)])
     text = F.col("value").cast("string")
@@ -42,8 +46,8 @@ def decode(records: DataFrame, company: bool = True) -> DataFrame:
     return records.select(
         F.col("key").cast("string").try_cast("long").alias("audit_id"),
         text.alias("raw"),
-        F.from_json(text, with_raw, options).alias("data"),
-    ).select("audit_id", "raw", "data.*")
+        F.inline_outer(F.array(F.from_json(text, with_raw, options))),
+    )
 
 
 def reject_reason(company: bool = True) -> Column:

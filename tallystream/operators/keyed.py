@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystream.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup_join
+from tallystream.session import settle
 
 
 def _one_per_key(rows: DataFrame, keys: list[str], pick, order: list[str]) -> DataFrame:
@@ -47,9 +48,13 @@ def upsert_ignore(
     order: list[str],
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Insert rows whose key is absent; the first of several new rows per key wins."""
-    first = first_per_key(new, keys, order).select(*target.columns)
-    taken = target.select(*keys).distinct()
+    """Insert rows whose key is absent; the first of several new rows per key wins.
+
+    The target's keys are cut down to those the new rows have before they are looked up, so a
+    small batch never moves a large target.
+    """
+    first = settle(first_per_key(new, keys, order).select(*target.columns))
+    taken = lookup_join(target.select(*keys), first.select(*keys), keys, "left_semi", limits).distinct()
     return target.unionByName(lookup_join(first, taken, keys, "left_anti", limits))
 
 
@@ -61,7 +66,7 @@ def upsert_replace(
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Insert or overwrite by key; the last of several new rows per key wins."""
-    last = last_per_key(new, keys, order).select(*target.columns)
+    last = settle(last_per_key(new, keys, order).select(*target.columns))
     kept = lookup_join(target, last.select(*keys), keys, "left_anti", limits)
     return kept.unionByName(last)
 
