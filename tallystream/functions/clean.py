@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Fixed patterns of the number rule.
-_SIGNED = r"^-?([0-9]+\.?[0-9]*|\.[0-9]+)$"
-_UNSIGNED = r"^([0-9]+\.?[0-9]*|\.[0-9]+)$"
-_MARKS_ONLY = r"^(?=[^0-9]*[0-9])(?=[^.]*\.?[^.]*$)(?=[^-]*-?[^-]*$)[0-9.\-]+$"
+_DIGITS = "0123456789"
 
 # Every character that counts as white space at the ends of a text.
 WHITE_SPACE = (
@@ -26,10 +23,22 @@ def number_text(text: Column) -> Column:
     return F.when(text == "", F.lit("0")).otherwise(strip_text(F.translate(text, "+%, ", "")))
 
 
+def _count(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, char, ""))
+
+
 def number_value(bare: Column, allow_negative: bool = True) -> Column:
-    """Value of such a text, or null where it is no number."""
-    value = F.when(bare.rlike(_SIGNED if allow_negative else _UNSIGNED), bare.try_cast("double"))
-    return value.when(bare.rlike(_MARKS_ONLY), F.lit(0.0)) if allow_negative else value
+    """Value of such a text, or null where it is no number.
+
+    A cast alone would take exponents, type letters and words such as NaN, so other characters
+    are ruled out first; all of it stays generated code without a pattern match.
+    """
+    only_marks = F.translate(bare, _DIGITS + ".-", "") == ""
+    shaped = (_count(bare, _DIGITS) > 0) & (_count(bare, ".") <= 1) & (_count(bare, "-") <= 1)
+    number = F.coalesce(bare.try_cast("double"), F.when(shaped, F.lit(0.0)))
+    if not allow_negative:
+        only_marks = only_marks & ~bare.contains("-")
+    return F.when(only_marks, number)
 
 
 def clean_number(text: Column, allow_negative: bool = True) -> Column:
@@ -46,10 +55,11 @@ def is_rejected_number(text: Column, allow_negative: bool = True) -> Column:
 
 def percent_fraction(text: Column) -> Column:
     """``25%`` as 0.25; text without the sign keeps its value."""
-    bare = strip_text(F.replace(text, F.lit(","), F.lit("")))
-    digits = F.regexp_replace(bare, "%$", "")
-    value = F.when(digits.rlike(_SIGNED), digits.try_cast("double"))
-    return F.when(bare.endswith("%"), value / 100).otherwise(value)
+    bare = strip_text(F.translate(text, ",", ""))
+    percent = bare.endswith("%")
+    digits = F.when(percent, F.substr(bare, F.lit(1), F.length(bare) - 1)).otherwise(bare)
+    number = F.when(F.translate(digits, _DIGITS + ".-", "") == "", digits.try_cast("double"))
+    return F.when(percent, number / 100).otherwise(number)
 
 
 def is_digits(text: Column) -> Column:

@@ -39,7 +39,7 @@ _ENTITIES = [
     ("&amp;", "&"),
 ]
 _RARE_ENTITY = r"&(?!(?:nbsp|lt|gt|quot|apos|#39|amp);)(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?"
-_INVISIBLE = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+_INVISIBLE = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*>.*?</\1\s*>)"
 
 
 def _rare_decoder():

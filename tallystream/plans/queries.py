@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallystream.functions import messages as M
 from tallystream.functions.clean import (
-    clean_number,
-    is_rejected_number,
     normalize_header,
+    number_text,
+    number_value,
     parse_mark,
     percent_fraction,
 )
@@ -24,7 +24,7 @@ from tallystream.operators.fold import BAG, IGNORE, apply_changes
 from tallystream.operators.joins import only_keys
 from tallystream.plans import bindings as B
 from tallystream.schemas import COMPANY, METRICS, SCRAPED, SINK_MULTI, SINK_SINGLE, YEAR
-from tallystream.session import fresh_dir, use_utc
+from tallystream.session import fresh_dir, settle, use_utc
 from tallystream.sources import tables as R
 from tallystream.sources.keyed_table import KeyedTable
 from tallystream.streaming import jobs as J
@@ -119,13 +119,17 @@ def fill_metrics(spark, sf_dir):
 
 @query
 def clean_number_query(spark, sf_dir):
-    return B.cell_texts(spark, sf_dir).select(
+    bare = B.cell_texts(spark, sf_dir).select(
+        "l_orderkey", "l_linenumber", "txt", number_text(F.col("txt")).alias("bare")
+    )
+    valued = bare.select("l_orderkey", "l_linenumber", "txt", "bare", number_value(F.col("bare")).alias("number"))
+    return valued.select(
         "l_orderkey",
         "l_linenumber",
         "txt",
-        clean_number(F.col("txt")).alias("number"),
-        is_rejected_number(F.col("txt")).alias("rejected"),
-        clean_number(F.col("txt"), allow_negative=False).alias("unsigned_number"),
+        "number",
+        (F.col("txt").isNotNull() & F.col("number").isNull()).alias("rejected"),
+        number_value(F.col("bare"), allow_negative=False).alias("unsigned_number"),
     )
 
 
@@ -359,13 +363,15 @@ def cdc_rejects(spark, sf_dir):
 @query
 def cdc_apply_keyed(spark, sf_dir):
     triaged = M.triage(M.decode(B.records(spark, sf_dir, company=False), company=False), company=False)
-    changes = J.prepare(triaged, company=False, skip_periods=[])
+    # The fold reads the changes twice; the text is parsed once.
+    changes = settle(J.prepare(triaged, company=False, skip_periods=[]))
     return apply_changes(B.preloaded(spark, sf_dir, company=False), changes, [YEAR], IGNORE)
 
 
 @query
 def cdc_apply_bag(spark, sf_dir):
-    changes = J.prepare(M.triage(M.decode(B.records(spark, sf_dir))), company=True, skip_periods=["TTM"])
+    triaged = M.triage(M.decode(B.records(spark, sf_dir)))
+    changes = settle(J.prepare(triaged, company=True, skip_periods=["TTM"]))
     target = L.conform(derive_profit(B.preloaded(spark, sf_dir, company=True)), SINK_MULTI)
     return apply_changes(target, changes, [YEAR, COMPANY], BAG)
 
