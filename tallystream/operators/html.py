@@ -136,9 +136,11 @@ def statement_tables(
         .when(F.col("_table") == "", "no_table")
         .when(F.size("_rows") < 2, "empty_table")
     )
-    # Without body rows the header is empty too, so such a page unfolds to nothing.
-    shown = F.when(F.size("_rows") >= 2, F.transform(head, cell_text)).otherwise(F.array().cast("array<string>"))
-    return found.select(*kept, shown.alias("header"), body.alias("body"), reason.alias("reason"))
+    # Without body rows header and body are empty, so such a page unfolds to nothing.
+    usable = F.size("_rows") >= 2
+    shown = F.when(usable, F.transform(head, cell_text)).otherwise(F.array().cast("array<string>"))
+    held = F.when(usable, body).otherwise(F.array().cast("array<struct<row_idx: int, cells: array<string>>>"))
+    return found.select(*kept, shown.alias("header"), held.alias("body"), reason.alias("reason"))
 
 
 def rejected_pages(tables: DataFrame) -> DataFrame:

@@ -1,0 +1,123 @@
+"""Statement tables from pages whose markup is too loose for patterns.
+
+Same result as ``html.statement_tables``, read with the standard library's parser in Arrow
+batches: cells and rows left open, tables inside cells, odd comments. Slower, so use it for the
+pages that need it.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+
+from tallystream.functions.clean import WHITE_SPACE
+from tallystream.operators.html import SECTION_ID
+
+RESULT = "header array<string>, body array<struct<row_idx: int, cells: array<string>>>, reason string"
+
+
+def _reader(section_id: str, header_cells_anywhere: bool):
+    """Built here so that workers need not import this package."""
+    from html.parser import HTMLParser
+
+    space = WHITE_SPACE
+
+    class FirstTable(HTMLParser):
+        """Rows of the first table in the wanted section; a row lists all cells below it."""
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.in_section = self.done = False
+            self.section_depth = 0
+            self.seen_section = self.seen_table = False
+            self.rows = []  # [(tag, [text parts])] per row
+            self.open = []  # per open table: [row or None, cell or None]
+
+        def close_cell(self):
+            self.open[-1][1] = None
+
+        def handle_starttag(self, tag, attrs):
+            if self.done:
+                return
+            if tag == "section":
+                if self.in_section:
+                    self.section_depth += 1
+                elif not self.seen_section and dict(attrs).get("id") == section_id:
+                    self.in_section = self.seen_section = True
+                    self.section_depth = 1
+            elif not self.in_section:
+                return
+            elif tag == "table":
+                self.seen_table = True
+                self.open.append([None, None])
+            elif self.open and tag == "tr":
+                self.close_cell()
+                self.open[-1][0] = []
+                self.rows.append(self.open[-1][0])
+            elif self.open and tag in ("td", "th"):
+                self.close_cell()
+                cell = (tag, [])
+                self.open[-1][1] = cell
+                for row, _ in self.open:
+                    if row is not None:
+                        row.append(cell)
+
+        def handle_endtag(self, tag):
+            if self.done or not self.in_section:
+                return
+            if tag == "section":
+                self.section_depth -= 1
+                self.done = self.section_depth == 0
+            elif tag == "table" and self.open:
+                self.open.pop()
+                self.done = not self.open
+            elif tag in ("td", "th") and self.open:
+                self.close_cell()
+            elif tag == "tr" and self.open:
+                self.open[-1] = [None, None]
+
+        def handle_data(self, data):
+            for _, cell in self.open:
+                if cell is not None:
+                    cell[1].append(data)
+
+    def read(markup):
+        if markup is None:
+            return [], [], "not_loaded"
+        parser = FirstTable()
+        parser.feed(markup)
+        parser.close()
+        if not parser.seen_section:
+            return [], [], "no_section"
+        if not parser.seen_table:
+            return [], [], "no_table"
+        if len(parser.rows) < 2:
+            return [], [], "empty_table"
+        rows = [[(tag, "".join(parts).strip(space)) for tag, parts in row] for row in parser.rows]
+        if header_cells_anywhere:
+            seen, header = set(), []
+            for row in parser.rows:
+                for cell in row:
+                    # A cell of an inner table is listed by the outer row as well.
+                    if cell[0] == "th" and id(cell) not in seen:
+                        seen.add(id(cell))
+                        header.append("".join(cell[1]).strip(space))
+        else:
+            header = [text for _, text in rows[0]]
+        body = [
+            {"row_idx": i, "cells": [t for tag, t in row if tag == "td" or not header_cells_anywhere]}
+            for i, row in enumerate(rows[1:], start=1)
+        ]
+        return header, body, None
+
+    def batch(markup: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([read(m) for m in markup], columns=["header", "body", "reason"])
+
+    return F.pandas_udf(batch, RESULT)
+
+
+def loose_statement_tables(
+    pages: DataFrame, section_id: str = SECTION_ID, header_cells_anywhere: bool = True
+) -> DataFrame:
+    kept = [c for c in pages.columns if c != "html"]
+    return pages.select(*kept, _reader(section_id, header_cells_anywhere)("html").alias("_t")).select(*kept, "_t.*")

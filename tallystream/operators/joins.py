@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallystream.session import settle
 
@@ -88,6 +88,11 @@ def lookup_join(
     return joined.drop("_salt")
 
 
+def key_list(spark: SparkSession, column: str, values: list[str]) -> DataFrame:
+    """A list written down in a job as a one-column frame."""
+    return spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(column, T.StringType())]))
+
+
 def only_keys(
     rows: DataFrame, wanted: DataFrame, keys: list[str], limits: JoinLimits = DEFAULT_LIMITS
 ) -> DataFrame:

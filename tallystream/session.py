@@ -30,11 +30,11 @@ def use_utc(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    """The cluster's checkpoint folder; a temporary one only in local mode with none configured."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tallystream-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(configured)

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tallystream.operators import html as H
+from tallystream.operators.html_tree import loose_statement_tables
 from tallystream.schemas import METRICS, SCRAPED, YEAR
 
 PAGE = """<html><!-- <section id="profit-loss"><table><tr><th>no</th></tr></table></section> -->
@@ -38,6 +39,33 @@ def test_table_rows_and_arity(spark):
     assert H.fits_header(rows).count() == 7
 
 
+def rows_of(tables):
+    return [(r.page_id, r.header, [(b.row_idx, b.cells) for b in r.body], r.reason) for r in tables.orderBy("page_id").collect()]
+
+
+def test_the_parser_gives_the_same_tables(spark):
+    df = pages(
+        spark,
+        PAGE,
+        "<html><p>gone</p></html>",
+        '<section id="profit-loss"><p>soon</p></section>',
+        '<section id="profit-loss"><table><tr><th></th><th>Mar 2023</th></tr></table></section>',
+        None,
+    )
+    for anywhere in (True, False):
+        got = loose_statement_tables(df, header_cells_anywhere=anywhere)
+        assert rows_of(got) == rows_of(H.statement_tables(df, header_cells_anywhere=anywhere))
+    assert H.transpose_statement(loose_statement_tables(df)).count() == 3
+
+
+def test_the_parser_reads_loose_markup(spark):
+    html = """<section id=profit-loss><table><tr><th><th>A<th>B<tr><td>Sales<td>1<td>2</tr>
+    <tr><td>Notes <table><tr><td>in</td></tr></table></td><td>x</td></tr></table><p>after</section>"""
+    assert rows_of(loose_statement_tables(pages(spark, html))) == [
+        (0, ["", "A", "B"], [(1, ["Sales", "1", "2"]), (2, ["Notes in", "in", "x"]), (3, ["in"])], None)
+    ]
+
+
 def test_both_kinds_of_cells(spark):
     html = '<section id="profit-loss"><table><tr><th></th><td>A</td><td>B</td></tr><tr><th>Sales</th><td>1</td><td>2</td></tr></table></section>'
     tables = H.statement_tables(pages(spark, html), header_cells_anywhere=False)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallystream.operators.joins import JoinLimits, hot_keys, lookup_join, only_keys, payload_bytes
+from tallystream.operators.joins import JoinLimits, hot_keys, key_list, lookup_join, only_keys, payload_bytes
 
 SALTED = JoinLimits(broadcast_bytes=-1, hot_share=16, hot_rows=20, salts=4)
 
@@ -61,3 +61,9 @@ def test_only_keys(spark):
     rows, side = frames(spark)
     wanted = side.where("k < 5").unionByName(side.where("k < 5"))
     assert rows_of(only_keys(rows, wanted, ["k"])) == rows_of(rows.where("k < 5"))
+
+
+def test_key_list(spark):
+    rows = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3), (None, 4)], "c string, v int")
+    assert rows_of(only_keys(rows, key_list(spark, "c", ["A", "Z", "A"]), ["c"])) == [("A", 1), ("A", 3)]
+    assert only_keys(rows, key_list(spark, "c", []), ["c"]).count() == 0
