@@ -24,7 +24,7 @@ from tallystream.operators.fold import BAG, IGNORE, apply_changes
 from tallystream.operators.joins import only_keys
 from tallystream.plans import bindings as B
 from tallystream.schemas import COMPANY, METRICS, SCRAPED, SINK_MULTI, SINK_SINGLE, YEAR
-from tallystream.session import fresh_dir, settle, use_utc
+from tallystream.session import apply_settings, fresh_dir, settle
 from tallystream.sources import tables as R
 from tallystream.sources.keyed_table import KeyedTable
 from tallystream.streaming import jobs as J
@@ -38,7 +38,7 @@ CLOCK = "2024-09-02T13:44:54.668705+00:00"
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        use_utc(spark)
+        apply_settings(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run

@@ -8,12 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Instants are parsed and written in UTC whatever zone the cluster runs in. Wide statement rows
+# generate methods the JVM will not compile beyond 8000 bytes; under this limit Spark splits them.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def build_session(app: str = "tallystream", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
+        **SETTINGS,
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -24,9 +32,10 @@ def build_session(app: str = "tallystream", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Instants are parsed and written in UTC whatever zone the cluster runs in."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+def apply_settings(spark: SparkSession) -> None:
+    """The same settings on a session somebody else built."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
