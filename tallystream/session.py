@@ -8,12 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Instants are parsed and written in UTC whatever zone the cluster runs in. Wide statement rows
-# generate methods the JVM will not compile beyond 8000 bytes; under this limit Spark splits them.
-SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
+# Instants are parsed and written in UTC whatever zone the cluster runs in.
+SETTINGS = {"spark.sql.session.timeZone": "UTC"}
 
 
 def build_session(app: str = "tallystream", master: str | None = None, **conf: str) -> SparkSession:
