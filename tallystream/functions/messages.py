@@ -24,12 +24,21 @@ _JSON = {
 _RAW = "_raw"
 
 
-def encode(audit: DataFrame, company: bool = True) -> DataFrame:
-    """Audit rows as (key, value) records: key is the audit id, value the JSON change."""
+def encode(audit: DataFrame, company: bool = True, partitions: int | None = None) -> DataFrame:
+    """Audit rows as (key, value) records: key is the audit id, value the JSON change.
+
+    With ``partitions``, the size of a topic, a ``partition`` column sends all changes of a sink
+    key to one place, so that they are read in the order they were written.
+    """
+    sink_key = [YEAR, COMPANY] if company else [YEAR]
     body = ["operation_type", "changed_at", YEAR, *METRICS] + ([COMPANY] if company else [])
+    place = []
+    if partitions:
+        place = [F.pmod(F.xxhash64(*sink_key), F.lit(partitions)).cast("int").alias("partition")]
     return audit.select(
         F.col("audit_id").cast("string").cast("binary").alias("key"),
         F.to_json(F.struct(*body), _JSON).cast("binary").alias("value"),
+        *place,
     )
 
 

@@ -10,7 +10,11 @@ from tallystream.schemas import AUDIT, DELETE, INSERT, UPDATE
 
 
 def _next_id(after: int) -> Column:
-    """Unique ids above ``after``, ascending in scan order, gaps allowed, without a shuffle."""
+    """Unique ids above ``after``, ascending in scan order, gaps allowed, without a shuffle.
+
+    Each scan partition has a range of 2**33 ids to itself, so a long lasts for about a
+    thousand million partitions over the life of an audit table.
+    """
     return F.lit(after + 1).cast("long") + F.monotonically_increasing_id()
 
 

@@ -146,7 +146,10 @@ def statement_tables(
 def rejected_pages(tables: DataFrame) -> DataFrame:
     reasons = tables.select("page_id", F.explode_outer(F.array_compact(F.array("reason"))).alias("reason"))
     return reasons.where(F.col("reason").isNotNull()).select(
-        F.lit("pages").alias("source"), F.col("page_id").cast("string").alias("key"), "reason"
+        F.lit("pages").alias("source"),
+        F.col("page_id").cast("string").alias("key"),
+        "reason",
+        F.lit(None).cast("string").alias("raw"),
     )
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallystream.functions.clean import is_digits
+from tallystream.functions.clean import fill_number, is_digits
 from tallystream.schemas import AVERAGE_KEY, METRICS, TRAILING_PERIOD, YEAR
 
 
@@ -23,7 +23,7 @@ def average_row(df: DataFrame) -> DataFrame:
 
 
 def with_average(df: DataFrame) -> DataFrame:
-    """The table with its AVERAGE row renewed."""
+    """The table with its AVERAGE row renewed; ``df`` is read twice, so settle a costly one first."""
     return df.where(~F.col(YEAR).eqNullSafe(F.lit(AVERAGE_KEY))).unionByName(
         average_row(df), allowMissingColumns=True
     )
@@ -54,8 +54,7 @@ def column_profile(texts: DataFrame, columns: list[str], order: list[str]) -> Da
 
 
 def fill_metrics(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    from tallystream.functions.clean import fill_number
-
+    """Null and NaN metrics as zero; other columns stay as they are."""
     return df.withColumns({c: fill_number(F.col(c)) for c in (columns or METRICS)})
 
 

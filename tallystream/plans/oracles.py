@@ -252,12 +252,14 @@ ORACLES: dict[str, str] = {
     "page_key_from_url": """select page_id, nullif(regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1), '') as page_key
         from pages""",
     "html_table_rows": f"with {PAGE_FACTS} {_page_rows()}",
+    "html_loose_rows": f"with {PAGE_FACTS} {_page_rows()}",
+    "statements_from_pages": f"with {PAGE_FACTS} select {_FACT_COLUMNS} from facts where {YEAR} <> 'TTM'",
     "html_row_arity": f"""with {PAGE_FACTS} select o_custkey as page_id, 6 as row_idx, cast(any_value(n_periods) + 1 as int) as n_header,
         cast(any_value(n_periods) as int) as n_cells, 'Interest' as label from numbered
         where n_periods > 5 and n_periods % 2 = 1 group by o_custkey""",
     "html_rejects": f"""with {PAGE_FACTS} select 'pages' as source, cast(o_custkey as varchar) as key,
         case when any_value(n_periods) <= 3 then 'no_section' when any_value(n_periods) = 4 then 'no_table'
-          else 'empty_table' end as reason from numbered where n_periods <= 5 group by o_custkey""",
+          else 'empty_table' end as reason, cast(null as varchar) as raw from numbered where n_periods <= 5 group by o_custkey""",
     "transpose_statement": f"""with {PAGE_FACTS} select o_custkey as page_id, pos, {YEAR}, {_names} from numbered""",
     "period_row_id": f"with {PAGE_FACTS} select pos as id, o_custkey as page_id, {YEAR} from numbered",
     "drop_last_periods": f"""with {PAGE_FACTS} select o_custkey as page_id, pos, {YEAR}, Sales_plus,

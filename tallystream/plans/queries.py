@@ -21,6 +21,7 @@ from tallystream.operators import keyed as K
 from tallystream.operators import layout as L
 from tallystream.operators import summary as S
 from tallystream.operators.fold import BAG, IGNORE, apply_changes
+from tallystream.operators.html_tree import loose_statement_tables
 from tallystream.operators.joins import only_keys
 from tallystream.plans import bindings as B
 from tallystream.schemas import COMPANY, METRICS, SCRAPED, SINK_MULTI, SINK_SINGLE, YEAR
@@ -37,11 +38,13 @@ CLOCK = "2024-09-02T13:44:54.668705+00:00"
 
 
 def query(fn: Query) -> Query:
+    """Register a query under its function's name, less a trailing underscore."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_settings(spark)
         return fn(spark, sf_dir)
 
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.rstrip("_")] = run
     return run
 
 
@@ -118,7 +121,7 @@ def fill_metrics(spark, sf_dir):
 
 
 @query
-def clean_number_query(spark, sf_dir):
+def clean_number_(spark, sf_dir):
     bare = B.cell_texts(spark, sf_dir).select(
         "l_orderkey", "l_linenumber", "txt", number_text(F.col("txt")).alias("bare")
     )
@@ -133,16 +136,12 @@ def clean_number_query(spark, sf_dir):
     )
 
 
-QUERIES["clean_number"] = QUERIES.pop("clean_number_query")
-
 
 @query
-def percent_fraction_query(spark, sf_dir):
+def percent_fraction_(spark, sf_dir):
     return B.cell_texts(spark, sf_dir).select("l_orderkey", "l_linenumber", percent_fraction(F.col("txt")).alias("fraction"))
 
 
-QUERIES["percent_fraction"] = QUERIES.pop("percent_fraction_query")
-
 
 @query
 def column_profile(spark, sf_dir):
@@ -175,12 +174,10 @@ def header_normalize(spark, sf_dir):
 
 
 @query
-def derive_profit_query(spark, sf_dir):
+def derive_profit_(spark, sf_dir):
     return derive_profit(_facts(spark, sf_dir))
 
 
-QUERIES["derive_profit"] = QUERIES.pop("derive_profit_query")
-
 
 # reshape and aggregates
 
@@ -242,6 +239,17 @@ def transpose_statement(spark, sf_dir):
     return H.clean_statement(texts.drop("url"))
 
 
+@query
+def html_loose_rows(spark, sf_dir):
+    rows = H.table_rows(loose_statement_tables(B.statement_pages(spark, sf_dir)))
+    return rows.select("page_id", "row_idx", "n_header", F.array_join("cells", "|").alias("cells"))
+
+
+@query
+def statements_from_pages(spark, sf_dir):
+    return H.extract_statements(B.statement_pages(spark, sf_dir))
+
+
 @query
 def period_row_id(spark, sf_dir):
     texts = H.transpose_statement(H.statement_tables(B.statement_pages(spark, sf_dir)))
@@ -450,9 +458,7 @@ def company_csv_roundtrip(spark, sf_dir):
     return R.read_companies(spark, path)
 
 
-def statement_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query
+def statement_flow(spark, sf_dir):
     """Flagship: changes encoded, decoded, triaged, applied to a loaded target, average renewed."""
-    return S.with_average(QUERIES["cdc_apply_keyed"](spark, sf_dir))
-
-
-QUERIES["statement_flow"] = query(statement_flow)
+    return S.with_average(settle(QUERIES["cdc_apply_keyed"](spark, sf_dir)))

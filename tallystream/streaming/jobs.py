@@ -23,11 +23,12 @@ def publish_stream(
     sink_format: str,
     trigger: dict | None = None,
     company: bool = True,
+    partitions: int | None = None,
     **options: str,
 ) -> StreamingQuery:
-    """Audit stream to (key, value) records."""
+    """Audit stream to (key, value) records; ``partitions`` is the size of the topic, see ``encode``."""
     return (
-        encode(audit, company)
+        encode(audit, company, partitions)
         .writeStream.format(sink_format)
         .options(**options)
         .option("checkpointLocation", checkpoint)

@@ -28,6 +28,12 @@ def test_encode(spark):
     assert COMPANY not in json.loads(bytes(M.encode(audit(spark), company=False).first().value))
 
 
+def test_changes_of_a_key_share_a_partition(spark):
+    df = audit(spark).unionByName(audit(spark, audit_id=6)).unionByName(audit(spark, Company_id="B"))
+    parts = [r.partition for r in M.encode(df, partitions=1000).collect()]
+    assert parts[0] == parts[1] != parts[2] and all(0 <= p < 1000 for p in parts)
+
+
 def test_round_trip(spark):
     for company in (True, False):
         source = audit(spark, Interest=None, Sales_plus=12.34)
