@@ -52,16 +52,24 @@ def snapshot_diff(
     """Audit records that lead from one version of a keyed table to the next.
 
     INSERT and UPDATE carry the new image, DELETE the whole old one. Equal rows give nothing.
+    A key with several rows stops the job: pairing them up would invent changes. They are counted
+    by an aggregate on the join's own partitioning, so the check costs no further shuffle.
     """
     columns = old.columns
+    # Null keys are equal here, which an equality on these pairs expresses.
+    pairs = {f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)}
+    pairs |= {f"_n{i}": F.col(k).isNull() for i, k in enumerate(keys)}
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(
-            *[F.col(k).alias(f"{name}_{k}") for k in keys], F.struct(*columns).alias(name)
+        grouped = df.groupBy(*[c.alias(n) for n, c in pairs.items()]).agg(
+            F.count(F.lit(1)).alias("_rows"), F.max(F.struct(*columns)).alias("_image")
         )
+        single = F.when(F.col("_rows") == 1, F.col("_image")).otherwise(
+            F.raise_error(F.concat(F.lit("several rows for key "), *[F.col(f"_k{i}") for i in range(len(keys))]))
+        )
+        return grouped.select(*pairs, single.alias(name))
 
-    same = [F.col(f"old_{k}").eqNullSafe(F.col(f"new_{k}")) for k in keys]
-    both = side(old, "old").join(side(new, "new"), same, "full_outer")
+    both = side(old, "old").join(side(new, "new"), list(pairs), "full_outer")
     changed = both.where(~F.col("old").eqNullSafe(F.col("new"))).select(
         F.when(F.col("old").isNull(), INSERT)
         .when(F.col("new").isNull(), DELETE)

@@ -53,7 +53,8 @@ def apply_changes(
 
     ``on_insert='ignore'``: at most one row per key, an insert for a present key does nothing.
     ``on_insert='bag'``: every insert adds a row; updates and deletions hit all rows of the key.
-    Rows with a null key match nothing, so triage changes first.
+    Rows with a null key match nothing, so triage changes first. The changes are read more than
+    once: persist or settle them first if they are costly to compute.
     """
     values = [c for c in target.columns if c not in keys]
     image = F.struct(*values)

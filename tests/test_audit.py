@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallystream.operators import audit as A
@@ -40,6 +41,22 @@ def test_snapshot_diff(spark):
     assert rows == {("UPDATE", "Mar 2", "A", 2.5), ("DELETE", "Mar 4", "A", 4.0), ("INSERT", "Mar 5", "A", 5.0)}
 
 
+def test_snapshot_diff_pairs_null_keys_and_shuffles_once(spark):
+    old = facts(spark, [(None, "A", 1.0), ("Mar 2", None, 2.0)])
+    new = facts(spark, [(None, "A", 1.0), ("Mar 2", None, 3.0), ("", "A", 4.0)])
+    got = A.snapshot_diff(old, new, [YEAR, COMPANY], *stamp())
+    # Before it runs: afterwards the text shows the final and the first plan.
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    rows = {(r.operation_type, r[YEAR], r[COMPANY], r.Sales_plus) for r in got.collect()}
+    assert rows == {("UPDATE", "Mar 2", None, 3.0), ("INSERT", "", "A", 4.0)}
+
+
+def test_snapshot_diff_refuses_several_rows_per_key(spark):
+    twice = facts(spark, [("Mar 1", "A", 1.0), ("Mar 1", "A", 2.0)])
+    with pytest.raises(Exception, match="several rows for key Mar 1A"):
+        A.snapshot_diff(twice, twice, [YEAR, COMPANY], *stamp()).collect()
+
+
 def log(spark):
     t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     rows = [(1, t), (2, t), (3, t), (4, t + dt.timedelta(microseconds=1)), (5, None)]

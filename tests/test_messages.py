@@ -2,7 +2,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from tallystream.functions import messages as M
 from tallystream.functions.derive import derive_profit
