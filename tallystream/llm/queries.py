@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallystream.llm.common import table, vocabulary
 from tallystream.llm.piece_codec import piece_digests
+from tallystream.llm.token_count import count_tokens
+from tallystream.llm.token_records import record_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +20,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
 @query
 def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
