@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallystream.llm.common import table, vocabulary
+from tallystream.llm.decontaminate import contamination
+from tallystream.llm.exact_dedup import exact_groups
 from tallystream.llm.piece_codec import piece_digests
 from tallystream.llm.token_count import count_tokens
 from tallystream.llm.token_records import record_digests
@@ -20,6 +22,56 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLES["op2_decontaminate"] = r"""
+with item as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark where text is not null),
+item_window as (
+  select distinct item_id, k, list_slice(w, i, i + k - 1) win
+  from (select item_id, w, least(len(w), 10) k, unnest(range(1, len(w) - least(len(w), 10) + 2)) i from item where len(w) > 0)),
+doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
+doc_window as (
+  select doc_id, k, i, list_slice(w, i, i + k - 1) win
+  from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) i
+        from doc, (select distinct k from item_window) where len(w) >= k)),
+hit as (select d.doc_id, d.i, d.k, b.item_id from doc_window d join item_window b on d.k = b.k and d.win = b.win),
+word as (select doc_id, count(distinct p) n from (select doc_id, unnest(range(i, i + k)) p from hit) group by 1),
+items as (select doc_id, count(*) n, string_agg(s, ',' order by s) s
+  from (select distinct doc_id, cast(item_id as varchar) s from hit) group by 1)
+select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(word.n, 0) as bigint) n_hit,
+  cast(coalesce(items.n, 0) as bigint) n_items, sha256(coalesce(items.s, '')) items_sha256, coalesce(word.n, 0) > 0 contaminated
+from doc d left join word using (doc_id) left join items using (doc_id)
+"""
+
+
+@query
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLES["op3_exact_dedup"] = """
+select doc_id, max(doc_id) over same keep_id, count(*) over same group_size,
+  doc_id = max(doc_id) over same kept, sha256(coalesce(text, '')) text_sha256
+from documents window same as (partition by coalesce(text, ''))
+"""
+
+
 @query
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
