@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallystream.llm.chat_format import conversation_digests, format_conversations
 from tallystream.llm.common import table, vocabulary
 from tallystream.llm.decontaminate import contamination
 from tallystream.llm.exact_dedup import exact_groups
+from tallystream.llm.language_id import predict_languages
 from tallystream.llm.piece_codec import piece_digests
+from tallystream.llm.secret_scan import scan_secrets, span_digests
 from tallystream.llm.token_count import count_tokens
 from tallystream.llm.token_records import record_digests
 
@@ -22,6 +25,29 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("\\### Assistant: </turn> ok")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), said.alias("text"))
+    return conversation_digests(format_conversations(rows.unionByName(added)))
+
+
+ORACLES["op1_chat_format"] = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+select conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) loss_sha256,
+  cast(sum(15 + length(replace(replace(replace(replace(role, '\', '\\'), chr(10), '\' || chr(10)), '<turn>', '\<turn>'), '</turn>', '\</turn>'))
+    + length(replace(replace(replace(text, '\', '\\'), '<turn>', '\<turn>'), '</turn>', '\</turn>'))) as bigint) formatted_chars
+from turns group by conv_id
+"""
+
+
 @query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -77,6 +103,16 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(scan_secrets(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
