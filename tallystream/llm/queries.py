@@ -13,6 +13,7 @@ from tallystream.llm.exact_dedup import exact_groups
 from tallystream.llm.language_id import predict_languages
 from tallystream.llm.piece_codec import piece_digests
 from tallystream.llm.secret_scan import scan_secrets, span_digests
+from tallystream.llm.substring_dedup import remove_repeats
 from tallystream.llm.token_count import count_tokens
 from tallystream.llm.token_records import record_digests
 
@@ -98,6 +99,27 @@ from documents window same as (partition by coalesce(text, ''))
 """
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op4_substring_dedup"] = r"""
+with doc as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+win as (select doc_id, i, list_slice(w, i, i + 12) k from (select doc_id, w, unnest(range(1, len(w) - 11)) i from doc where len(w) >= 13)),
+least as (select k, min(doc_id) m from win group by k),
+gone as (select doc_id, list(distinct p) p from (
+  select doc_id, unnest(range(i, i + 13)) p from win join least using (k) where m < doc_id) group by doc_id),
+word as (select doc_id, unnest(w) w, unnest(range(1, len(w) + 1)) i from doc),
+kept as (select word.doc_id, string_agg(w, ' ' order by i) t, count(*) n
+  from word left join gone using (doc_id) where p is null or not list_contains(p, i) group by word.doc_id)
+select doc.doc_id, cast(len(w) as bigint) n_words, cast(len(w) - coalesce(n, 0) as bigint) n_removed,
+  sha256(coalesce(t, '')) kept_sha256
+from doc left join kept using (doc_id)
+"""
+
+
 @query
 def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
