@@ -10,6 +10,7 @@ from tallystream.llm.chat_format import conversation_digests, format_conversatio
 from tallystream.llm.common import table, vocabulary
 from tallystream.llm.decontaminate import contamination
 from tallystream.llm.exact_dedup import exact_groups
+from tallystream.llm.jaccard_join import near_groups
 from tallystream.llm.language_id import predict_languages
 from tallystream.llm.piece_codec import piece_digests
 from tallystream.llm.secret_scan import scan_secrets, span_digests
@@ -125,6 +126,36 @@ def op5_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
 
 
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies", "stays")
+
+
+NEAR_SQL = r"""
+doc as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from {documents}),
+shingle as (select distinct doc_id, list_slice(w, i, i + least(len(w), 5) - 1) s
+  from (select doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) i from doc where len(w) > 0)),
+size as (select doc_id, count(*) n from shingle group by 1),
+link as (
+  select x.doc_id a, y.doc_id b from shingle x join shingle y on x.s = y.s and x.doc_id <> y.doc_id
+  join size p on p.doc_id = x.doc_id join size q on q.doc_id = y.doc_id
+  group by x.doc_id, y.doc_id, p.n, q.n having count(*) >= 0.8 * (p.n + q.n - count(*)) - 1e-9),
+reach as (select a, b from link union select r.a, l.b from reach r join link l on r.b = l.a),
+lead as (select a, least(a, min(b)) m from reach group by a)
+"""
+ORACLES["op6_jaccard_join"] = (
+    "with recursive "
+    + NEAR_SQL.replace("{documents}", "documents")
+    + """
+select doc.doc_id, coalesce(m, doc.doc_id) class_id, coalesce(n, 0) n_links,
+  case when len(w) = 0 then 1 else count(*) over (partition by w) end n_copies, coalesce(m, doc.doc_id) = doc.doc_id stays
+from doc left join lead on lead.a = doc.doc_id left join (select a, count(*) n from link group by a) c on c.a = doc.doc_id
+"""
+)
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(scan_secrets(table(spark, sf_dir, "documents")))
