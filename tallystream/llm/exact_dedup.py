@@ -28,6 +28,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Many small stores: no space is set aside for files that stay short.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 SHA_BYTES = 32
 
