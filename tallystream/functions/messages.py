@@ -53,6 +53,7 @@ def decode(records: DataFrame, company: bool = True) -> DataFrame:
     text = F.col("value").cast("string")
     options = {"columnNameOfCorruptRecord": _RAW, "mode": "PERMISSIVE"}
     return records.select(
+        F.col("key").cast("string").alias("raw_key"),
         F.col("key").cast("string").try_cast("long").alias("audit_id"),
         text.alias("raw"),
         F.inline_outer(F.array(F.from_json(text, with_raw, options))),
@@ -62,14 +63,19 @@ def decode(records: DataFrame, company: bool = True) -> DataFrame:
 def reject_reason(company: bool = True) -> Column:
     """Why a decoded change cannot be applied, or null when it can.
 
-    A deletion needs nothing but its key, so metrics are looked at for the other two only.
+    A field that can't be read, a missing time or a key that is no audit id would change the order
+    or the contents of the table, so such records are no changes at all. A deletion needs none of
+    the metrics, so null ones are looked at for the other two only.
     """
     keys_missing = F.col(YEAR).isNull()
     if company:
         keys_missing = keys_missing | F.col(COMPANY).isNull()
     reason = (
         F.when(F.col("operation_type").isNull() & F.col(_RAW).isNotNull(), "malformed_json")
+        .when(F.col(_RAW).isNotNull(), "malformed_field")
         .when(~F.coalesce(F.col("operation_type").isin(OPERATIONS), F.lit(False)), "unknown_operation")
+        .when(F.col("audit_id").isNull(), "null_audit_id")
+        .when(F.col("changed_at").isNull(), "null_time")
         .when(keys_missing, "null_key")
         .when(F.col(YEAR) == AVERAGE_KEY, "reserved_key")
     )
@@ -84,10 +90,10 @@ def triage(decoded: DataFrame, company: bool = True) -> DataFrame:
 
 
 def accepted(triaged: DataFrame) -> DataFrame:
-    return triaged.where(F.col("reason").isNull()).drop("reason", "raw")
+    return triaged.where(F.col("reason").isNull()).drop("reason", "raw", "raw_key")
 
 
 def rejects(triaged: DataFrame, source: str = "messages") -> DataFrame:
     return triaged.where(F.col("reason").isNotNull()).select(
-        F.lit(source).alias("source"), F.col("audit_id").cast("string").alias("key"), "reason", "raw"
+        F.lit(source).alias("source"), F.col("raw_key").alias("key"), "reason", "raw"
     )

@@ -6,14 +6,21 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallystream.operators.joins import lookup_join
 from tallystream.schemas import AUDIT, DELETE, INSERT, UPDATE
+from tallystream.session import settle
+
+
+def highest_id(audit: DataFrame) -> int:
+    """Largest id given so far; 0 where there is none."""
+    return audit.agg(F.max("audit_id")).first()[0] or 0
 
 
 def _next_id(after: int) -> Column:
     """Unique ids above ``after``, ascending in scan order, gaps allowed, without a shuffle.
 
-    Each scan partition has a range of 2**33 ids to itself, so a long lasts for about a
-    thousand million partitions over the life of an audit table.
+    Each scan partition has a range of 2**33 ids to itself. For ids that a rerun repeats, write the
+    capture once and read it again.
     """
     return F.lit(after + 1).cast("long") + F.monotonically_increasing_id()
 
@@ -52,32 +59,44 @@ def snapshot_diff(
     """Audit records that lead from one version of a keyed table to the next.
 
     INSERT and UPDATE carry the new image, DELETE the whole old one. Equal rows give nothing.
-    A key with several rows stops the job: pairing them up would invent changes. They are counted
-    by an aggregate on the join's own partitioning, so the check costs no further shuffle.
+    A key with several rows stops the job: pairing them up would invent changes. Rows are compared
+    by two hashes of 64 bits, which hash aggregates carry; only changed keys fetch their images.
     """
     columns = old.columns
     # Null keys are equal here, which an equality on these pairs expresses.
     pairs = {f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)}
     pairs |= {f"_n{i}": F.col(k).isNull() for i, k in enumerate(keys)}
+    # A hash passes nulls over, so where they are is hashed as well.
+    contents = [*[F.col(f"`{c}`") for c in columns], *[F.col(f"`{c}`").isNull() for c in columns]]
 
     def side(df: DataFrame, name: str) -> DataFrame:
         grouped = df.groupBy(*[c.alias(n) for n, c in pairs.items()]).agg(
-            F.count(F.lit(1)).alias("_rows"), F.max(F.struct(*columns)).alias("_image")
+            F.count(F.lit(1)).alias("_rows"),
+            F.max(F.xxhash64(*contents)).alias("_a"),
+            F.max(F.xxhash64(F.lit(1), *reversed(contents))).alias("_b"),
         )
-        single = F.when(F.col("_rows") == 1, F.col("_image")).otherwise(
+        single = F.when(F.col("_rows") == 1, F.struct("_a", "_b")).otherwise(
             F.raise_error(F.concat(F.lit("several rows for key "), *[F.col(f"_k{i}") for i in range(len(keys))]))
         )
         return grouped.select(*pairs, single.alias(name))
 
     both = side(old, "old").join(side(new, "new"), list(pairs), "full_outer")
-    changed = both.where(~F.col("old").eqNullSafe(F.col("new"))).select(
-        F.when(F.col("old").isNull(), INSERT)
-        .when(F.col("new").isNull(), DELETE)
-        .otherwise(UPDATE)
-        .alias("operation_type"),
-        F.coalesce("new", "old").alias("image"),
+    changed = settle(
+        both.where(~F.col("old").eqNullSafe(F.col("new"))).select(
+            *pairs,
+            F.when(F.col("old").isNull(), INSERT)
+            .when(F.col("new").isNull(), DELETE)
+            .otherwise(UPDATE)
+            .alias("operation_type"),
+        )
     )
-    return _audit_columns(changed.select("operation_type", "image.*"), clock, user, after)
+
+    def images(df: DataFrame, wanted: Column) -> DataFrame:
+        keyed = df.withColumns(pairs)
+        return lookup_join(keyed, changed.where(wanted), list(pairs), "inner").select("operation_type", *columns)
+
+    gone = F.col("operation_type") == DELETE
+    return _audit_columns(images(new, ~gone).unionByName(images(old, gone)), clock, user, after)
 
 
 def incremental_scan(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,19 +12,19 @@ from tallystream.session import settle
 
 @dataclass(frozen=True)
 class JoinLimits:
-    """When to broadcast, and what counts as a hot key beyond that.
+    """Most bytes of a side that is broadcast; beyond, both sides are shuffled by key.
 
-    A key is hot when it holds more than ``1 / hot_share`` of all rows, so there are
-    fewer than ``hot_share`` hot keys however large the input is.
+    There adaptive execution splits the partitions of hot keys, which it can do for every kind of
+    join used here, because the side has one row per key.
     """
 
     broadcast_bytes: int = 64 << 20
-    hot_share: int = 1024
-    hot_rows: int = 1_000_000
-    salts: int = 64
 
 
 DEFAULT_LIMITS = JoinLimits()
+#: Bytes in memory that a byte of a compressed file may become.
+INFLATION = 10
+_STORED = re.compile(r"[\s:+-]*(Project|Relation|LogicalRDD|LocalRelation)\b")
 
 
 def _width(column: Column, kind: T.DataType) -> tuple[int, list[Column]]:
@@ -43,15 +43,38 @@ def payload_bytes(df: DataFrame) -> int:
     """Size of a frame's rows, measured by one aggregate over it."""
     parts = [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     varying = [F.coalesce(c, F.lit(0)).cast("long") for p in parts for c in p[1]]
-    total = reduce(lambda a, b: a + b, varying, F.lit(0).cast("long"))
+    total = F.lit(0).cast("long")
+    for size in varying:
+        total = total + size
     row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("b")).first()
     return row.n * sum(p[0] for p in parts) + (row.b or 0)
 
 
-def hot_keys(rows: DataFrame, keys: list[str], limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Keys holding an outsized share of the rows; fewer than ``hot_share`` of them."""
-    floor = max(rows.count() // limits.hot_share, limits.hot_rows)
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > floor).select(*keys)
+def is_stored(df: DataFrame) -> bool:
+    """Whether a frame is just columns of something stored, so that reading it again costs little."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().strip().splitlines()
+    return all(_STORED.match(line) for line in lines)
+
+
+def _file_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files behind a plain scan, from the catalog; nothing is read."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if "LogicalRDD" in plan.toString():
+        return None
+    return int(plan.stats().sizeInBytes())
+
+
+def bounded_side(side: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> tuple[DataFrame, bool]:
+    """A side that is cheap to read, and whether it may be broadcast.
+
+    A side that has to be computed is computed once, into the shared folder, and measured there.
+    A plain scan whose files are small enough by far needs no measuring.
+    """
+    if not is_stored(side):
+        side = settle(side)
+    elif (size := _file_bytes(side)) is not None and size * INFLATION <= limits.broadcast_bytes:
+        return side, True
+    return side, payload_bytes(side) <= limits.broadcast_bytes
 
 
 def lookup_join(
@@ -63,29 +86,11 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` to ``side``, which has at most one row per key.
 
-    A side that measures below the limit is broadcast and ``rows`` are not moved. Otherwise both
-    are hashed on the key, and the rows of hot keys are spread over ``salts`` tasks with the
-    matching side row repeated for each. ``how`` is inner, left, left_semi or left_anti.
+    A side within the limit is broadcast and ``rows`` are not moved. ``how`` is inner, left,
+    left_semi or left_anti.
     """
-    if payload_bytes(side) <= limits.broadcast_bytes:
-        return rows.join(F.broadcast(side), keys, how)
-    hot = settle(hot_keys(rows, keys, limits).withColumn("_hot", F.lit(True)))
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    # The scan partition takes part in the hash, so identical copies spread as well;
-    # a retried task gives every row the same salt again.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.lit(limits.salts))
-    salted = (
-        rows.withColumn("_spread", spread.cast("int"))
-        .join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | null_key, F.col("_spread")).otherwise(F.lit(0)))
-        .drop("_hot", "_spread")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(limits.salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    repeated = side.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    joined = salted.join(repeated, [*keys, "_salt"], how)
-    return joined.drop("_salt")
+    side, small = bounded_side(side, limits)
+    return rows.join(F.broadcast(side) if small else side, keys, how)
 
 
 def key_list(spark: SparkSession, column: str, values: list[str]) -> DataFrame:

@@ -4,22 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallystream.functions.order import rank
+from tallystream.operators.fold import one_of
 from tallystream.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup_join
 from tallystream.session import settle
 
 
-def _one_per_key(rows: DataFrame, keys: list[str], pick, order: list[str]) -> DataFrame:
+def _one_per_key(rows: DataFrame, keys: list[str], pick, order: list[str], limits: JoinLimits) -> DataFrame:
+    """The row of the extreme position per key: positions are aggregated, then images fetched.
+
+    ``order`` is one or two columns of times or whole numbers. The rows are read twice.
+    """
     values = [c for c in rows.columns if c not in keys]
-    chosen = rows.groupBy(*keys).agg(pick(F.struct(*values), F.struct(*order)).alias("_v"))
+    placed = rows.select(*keys, F.struct(*values).alias("_v"), rank(rows.schema, *order).alias("_at"))
+    # Null keys are keys as well here, which a join on equality would lose.
+    pairs = {f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)}
+    pairs |= {f"_n{i}": F.col(k).isNull() for i, k in enumerate(keys)}
+    placed, names = placed.withColumns(pairs), list(pairs)
+    extreme = placed.groupBy(*names).agg(pick("_at").alias("_at"))
+    chosen = one_of(lookup_join(placed, extreme, [*names, "_at"], "left_semi", limits), names, "_v")
     return chosen.select(*keys, "_v.*").select(*rows.columns)
 
 
-def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return _one_per_key(rows, keys, F.min_by, order)
+def first_per_key(
+    rows: DataFrame, keys: list[str], order: list[str], limits: JoinLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    return _one_per_key(rows, keys, F.min, order, limits)
 
 
-def last_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return _one_per_key(rows, keys, F.max_by, order)
+def last_per_key(
+    rows: DataFrame, keys: list[str], order: list[str], limits: JoinLimits = DEFAULT_LIMITS
+) -> DataFrame:
+    return _one_per_key(rows, keys, F.max, order, limits)
 
 
 def keyed_update(
@@ -53,7 +69,7 @@ def upsert_ignore(
     The target's keys are cut down to those the new rows have before they are looked up, so a
     small batch never moves a large target.
     """
-    first = settle(first_per_key(new, keys, order).select(*target.columns))
+    first = settle(first_per_key(new, keys, order, limits).select(*target.columns))
     taken = lookup_join(target.select(*keys), first.select(*keys), keys, "left_semi", limits).distinct()
     return target.unionByName(lookup_join(first, taken, keys, "left_anti", limits))
 
@@ -66,7 +82,7 @@ def upsert_replace(
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """Insert or overwrite by key; the last of several new rows per key wins."""
-    last = settle(last_per_key(new, keys, order).select(*target.columns))
+    last = settle(last_per_key(new, keys, order, limits).select(*target.columns))
     kept = lookup_join(target, last.select(*keys), keys, "left_anti", limits)
     return kept.unionByName(last)
 

@@ -113,6 +113,12 @@ def change_log(source: DataFrame) -> DataFrame:
     ).select(*AUDIT.names)
 
 
+def company_log(source: DataFrame) -> DataFrame:
+    """The same changes, of which a tenth concern the trailing period."""
+    year = F.when(F.col(YEAR).cast("long") % 10 == 3, "TTM").otherwise(F.col(YEAR))
+    return change_log(source).withColumn(YEAR, year)
+
+
 def records(spark: SparkSession, sf_dir: str, company: bool = True) -> DataFrame:
     return encode(change_log(events(spark, sf_dir)), company)
 
@@ -130,9 +136,19 @@ def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     whole = encode(spoilt)
-    cut = F.concat(F.lit("{"), F.col("value").cast("string")).cast("binary")
-    broken = F.col("value").cast("string").contains('"OPM_percent":0.0,')
-    return whole.select("key", F.when(broken, cut).otherwise(F.col("value")).alias("value"))
+    text = F.col("value").cast("string")
+
+    def is_case(k: int):
+        return text.contains(f'"OPM_percent":{k}.0,')
+
+    value = (
+        F.when(is_case(0), F.concat(F.lit("{"), text))
+        .when(is_case(6), F.regexp_replace(text, '"changed_at":"[^"]*"', '"changed_at":"garbage"'))
+        .when(is_case(7), F.regexp_replace(text, '"Interest":[^,}]*', '"Interest":"abc"'))
+        .otherwise(text)
+    )
+    key = F.when(is_case(8), F.concat(F.lit("x"), F.col("key").cast("string"))).otherwise(F.col("key").cast("string"))
+    return whole.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"))
 
 
 def preloaded(spark: SparkSession, sf_dir: str, company: bool) -> DataFrame:
@@ -243,10 +259,14 @@ def statement_pages(spark: SparkSession, sf_dir: str, damaged: bool = False) ->
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
+# Read by Spark and by the oracle.
+ORDER_KEY = "case when o_custkey % 3 = 0 then o_custkey + 1000000000 else o_custkey end"
+
+
 def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders in the shape of customer rows, with their place in time."""
+    """Orders in the shape of customer rows, with their place in time; a third have other keys."""
     return table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"),
+        F.expr(ORDER_KEY).alias("c_custkey"),
         F.concat(F.lit("Order#"), F.col("o_orderkey").cast("string")).alias("c_name"),
         F.lit(None).cast("int").alias("c_nationkey"),
         F.col("o_totalprice").alias("c_acctbal"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from tallystream.plans import bindings as B
 from tallystream.schemas import COMPANY, METRICS, YEAR
 
-CLOCK = "timestamp '2024-09-02 13:44:54.668705'"
+CLOCK = "timestamp '2024-02-01 06:30:00.000001'"
 _names = ", ".join(METRICS)
 
 
@@ -140,13 +140,16 @@ new as (
   )
 )"""
 
-_URGENT = """
-urgent as (
-  select o_custkey as c_custkey, 'Order#' || o_orderkey as c_name, cast(null as int) as c_nationkey,
-    o_totalprice as c_acctbal, o_orderpriority as c_mktsegment,
-    row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as up,
-    row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as down
-  from orders where o_orderpriority = '1-URGENT'
+_ORDERS = f"""
+moved as (
+  select {B.ORDER_KEY} as c_custkey, 'Order#' || o_orderkey as c_name, cast(null as int) as c_nationkey,
+    o_totalprice as c_acctbal, o_orderpriority as c_mktsegment, o_orderdate, o_orderkey
+  from orders
+),
+placed as (
+  select *, row_number() over (partition by c_custkey order by o_orderdate, o_orderkey) as up,
+    row_number() over (partition by c_custkey order by o_orderdate desc, o_orderkey desc) as down
+  from moved
 )"""
 
 _CUSTOMER = "c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment"
@@ -264,19 +267,19 @@ ORACLES: dict[str, str] = {
     "period_row_id": f"with {PAGE_FACTS} select pos as id, o_custkey as page_id, {YEAR} from numbered",
     "drop_last_periods": f"""with {PAGE_FACTS} select o_custkey as page_id, pos, {YEAR}, Sales_plus,
         Tax_percent / 100 as Tax_percent from numbered where pos <= n_periods - 2""",
-    "keyed_update": f"""with {_URGENT} select c.c_custkey,
+    "keyed_update": f"""with {_ORDERS} select c.c_custkey,
         case when u.up is null then c.c_name else u.c_name end as c_name,
         case when u.up is null then c.c_nationkey else u.c_nationkey end as c_nationkey,
         case when u.up is null then c.c_acctbal else u.c_acctbal end as c_acctbal,
         case when u.up is null then c.c_mktsegment else u.c_mktsegment end as c_mktsegment
-        from customer c left join (select * from urgent where down = 1) u on c.c_custkey = u.c_custkey""",
-    "keyed_delete": f"with {_URGENT} select * from customer where c_custkey not in (select c_custkey from urgent)",
-    "upsert_ignore": f"""with {_URGENT}, target as (select {_CUSTOMER} from customer where c_acctbal > 5000)
+        from customer c left join (select * from placed where down = 1) u on c.c_custkey = u.c_custkey""",
+    "keyed_delete": f"with {_ORDERS} select * from customer where c_custkey not in (select c_custkey from placed)",
+    "upsert_ignore": f"""with {_ORDERS}, target as (select {_CUSTOMER} from customer)
         select * from target union all
-        select {_CUSTOMER} from urgent where up = 1 and c_custkey not in (select c_custkey from target)""",
-    "upsert_replace": f"""with {_URGENT}, target as (select {_CUSTOMER} from customer where c_acctbal > 5000)
-        select * from target where c_custkey not in (select c_custkey from urgent) union all
-        select {_CUSTOMER} from urgent where down = 1""",
+        select {_CUSTOMER} from placed where up = 1 and c_custkey not in (select c_custkey from target)""",
+    "upsert_replace": f"""with {_ORDERS}, target as (select {_CUSTOMER} from customer)
+        select * from target where c_custkey not in (select c_custkey from placed) union all
+        select {_CUSTOMER} from placed where down = 1""",
     "snapshot_diff": f"""with {_SNAPSHOTS},
         ins as (select 'INSERT' as operation_type, n.* from new n anti join old o on n.{YEAR} = o.{YEAR}),
         del as (select 'DELETE' as operation_type, o.* from old o anti join new n on n.{YEAR} = o.{YEAR}),
@@ -297,16 +300,37 @@ ORACLES: dict[str, str] = {
     "message_decode": f"with {LOG} select audit_id, operation_type, changed_at, {YEAR}, {_names} from log",
     "cdc_rejects": f"""with {LOG}, judged as (select audit_id, case
           when k = 0 then 'malformed_json'
-          when k = 1 then 'unknown_operation' when k = 2 then 'null_key' when k = 3 then 'reserved_key'
+          when k in (6, 7) then 'malformed_field'
+          when k = 1 then 'unknown_operation' when k = 8 then 'null_audit_id'
+          when k = 2 then 'null_key' when k = 3 then 'reserved_key'
           when k = 4 and operation_type <> 'DELETE' then 'zero_sales'
-          when k = 5 and operation_type <> 'DELETE' then 'null_metric' end as reason from log)
-        select 'messages' as source, cast(audit_id as varchar) as key, reason from judged where reason is not null""",
+          when k = 5 and operation_type <> 'DELETE' then 'null_metric' end as reason, k from log)
+        select 'messages' as source, case when k = 8 then 'x' else '' end || audit_id as key, reason from judged where reason is not null""",
     "cdc_apply_keyed": f"{KEYED} select {YEAR}, {_names} from applied",
     "cdc_apply_bag": f"""with {LOG.replace("log as", "plain as", 1)},
         log as (select audit_id, operation_type, changed_at, {YEAR}, {COMPANY}, {_DERIVED_METRICS}, {_DERIVE} from plain),
         {_target(True).replace("target as", "held_plain as", 1)},
         target as (select {YEAR}, {COMPANY}, {_DERIVED_METRICS}, {_DERIVE} from held_plain),
         {_replay([YEAR, COMPANY], _SINK, True)} select * from applied""",
+    "cdc_stream_apply_companies": f"""with {LOG.replace("log as", "plain as", 1)},
+        log as (select audit_id, operation_type, changed_at, {YEAR}, {COMPANY}, {_DERIVED_METRICS}, {_DERIVE} from plain
+          where cast({YEAR} as bigint) % 10 <> 3),
+        {_target(True).replace("target as", "held_plain as", 1)},
+        target as (select {YEAR}, {COMPANY}, {_DERIVED_METRICS}, {_DERIVE} from held_plain),
+        {_replay([YEAR, COMPANY], _SINK, True)} select * from applied""",
+    "publish_increment": f"""with {LOG} select audit_id, operation_type, changed_at, {_FACT_COLUMNS} from log
+        where changed_at is not null""",
+    "key_list_filter": f"""with {FACTS} select {_FACT_COLUMNS} from facts
+        where cast({COMPANY} as int) between 3 and 399 and (cast({COMPANY} as int) - 3) % 7 = 0""",
+    "schema_report": f"""with {FACTS}, bad as (select count(*) filter (cast(OPM_percent as bigint) % 5 = 0) as n from facts),
+        have as (select * from (values {", ".join(f"('{c}', 'string instead of double')" for c in METRICS[:-1])},
+          ('{METRICS[-1]}', 'missing'), ('total_profit', 'missing'), ('net_profit_margin', 'missing'),
+          ('profit_category', 'missing'), ('y', 'extra')) as t("column", difference))
+        select "column", difference, case when "column" = 'Interest' then n else 0 end as n_unreadable from have, bad""",
+    "conform_rejects": f"""with {FACTS} select {YEAR}, {COMPANY}, 'Interest' as "column",
+        cast(Interest as varchar) || ' n/a' as raw from facts where cast(OPM_percent as bigint) % 5 = 0""",
+    "audit_ids": f"""with {FACTS} select capture, count(*) as n_rows, count(*) as n_ids, true as above
+        from facts, (values (1), (2)) as t(capture) group by capture""",
     "maintained_average": f"""{KEYED} select 'AVERAGE' as {YEAR}, {AVERAGE} from applied""",
     "cdc_stream_publish": f"""with {LOG} select audit_id, operation_type, changed_at, {_FACT_COLUMNS} from log""",
     "cdc_stream_apply": f"""{KEYED} select {YEAR}, {_names} from applied

@@ -22,19 +22,19 @@ from tallystream.operators import layout as L
 from tallystream.operators import summary as S
 from tallystream.operators.fold import BAG, IGNORE, apply_changes
 from tallystream.operators.html_tree import loose_statement_tables
-from tallystream.operators.joins import only_keys
+from tallystream.operators.joins import key_list, only_keys
 from tallystream.plans import bindings as B
 from tallystream.schemas import COMPANY, METRICS, SCRAPED, SINK_MULTI, SINK_SINGLE, YEAR
 from tallystream.session import apply_settings, fresh_dir, settle
 from tallystream.sources import tables as R
-from tallystream.sources.keyed_table import KeyedTable
+from tallystream.sources.change_log import ChangeLog
 from tallystream.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 MARK = "2024-01-15T00:00:00+00:00"
-CLOCK = "2024-09-02T13:44:54.668705+00:00"
+CLOCK = "2024-02-01T06:30:00.000001+00:00"
 
 
 def query(fn: Query) -> Query:
@@ -110,6 +110,29 @@ def key_list_semijoin(spark, sf_dir):
     return only_keys(_facts(spark, sf_dir), wanted.select(F.col("c_custkey").cast("string").alias(COMPANY)), [COMPANY])
 
 
+@query
+def key_list_filter(spark, sf_dir):
+    """Facts of companies written down in the job."""
+    return only_keys(_facts(spark, sf_dir), key_list(spark, COMPANY, [str(k) for k in range(3, 400, 7)]), [COMPANY])
+
+
+def _texts(spark, sf_dir):
+    facts = B.facts(spark, sf_dir)
+    odd = F.when(F.col("OPM_percent").cast("long") % 5 == 0, F.concat(F.col("Interest").cast("string"), F.lit(" n/a")))
+    as_text = {m: F.col(m).cast("string") for m in METRICS} | {"Interest": F.coalesce(odd, F.col("Interest").cast("string"))}
+    return facts.withColumns(as_text).drop(METRICS[-1])
+
+
+@query
+def schema_report(spark, sf_dir):
+    return L.layout_report(_texts(spark, sf_dir), SINK_MULTI)
+
+
+@query
+def conform_rejects(spark, sf_dir):
+    return L.conform_rejects(_texts(spark, sf_dir), SINK_MULTI, [YEAR, COMPANY])
+
+
 @query
 def fill_metrics(spark, sf_dir):
     log = B.change_log(B.events(spark, sf_dir))
@@ -272,31 +295,25 @@ def _customers(spark, sf_dir):
     return B.table(spark, sf_dir, "customer")
 
 
-def _urgent(spark, sf_dir):
-    return B.order_rows(spark, sf_dir).where(F.col("c_mktsegment") == "1-URGENT")
-
-
 @query
 def keyed_update(spark, sf_dir):
-    last = K.last_per_key(_urgent(spark, sf_dir), ["c_custkey"], ["o_orderdate", "o_orderkey"])
+    last = K.last_per_key(B.order_rows(spark, sf_dir), ["c_custkey"], ["o_orderdate", "o_orderkey"])
     return K.keyed_update(_customers(spark, sf_dir), last.select(*B.CUSTOMER), ["c_custkey"])
 
 
 @query
 def keyed_delete(spark, sf_dir):
-    return K.keyed_delete(_customers(spark, sf_dir), _urgent(spark, sf_dir), ["c_custkey"])
+    return K.keyed_delete(_customers(spark, sf_dir), B.order_rows(spark, sf_dir), ["c_custkey"])
 
 
 @query
 def upsert_ignore(spark, sf_dir):
-    target = _customers(spark, sf_dir).where("c_acctbal > 5000")
-    return K.upsert_ignore(target, _urgent(spark, sf_dir), ["c_custkey"], ["o_orderdate", "o_orderkey"])
+    return K.upsert_ignore(_customers(spark, sf_dir), B.order_rows(spark, sf_dir), ["c_custkey"], ["o_orderdate", "o_orderkey"])
 
 
 @query
 def upsert_replace(spark, sf_dir):
-    target = _customers(spark, sf_dir).where("c_acctbal > 5000")
-    return K.upsert_replace(target, _urgent(spark, sf_dir), ["c_custkey"], ["o_orderdate", "o_orderkey"])
+    return K.upsert_replace(_customers(spark, sf_dir), B.order_rows(spark, sf_dir), ["c_custkey"], ["o_orderdate", "o_orderkey"])
 
 
 # capture
@@ -316,6 +333,21 @@ def audit_seed(spark, sf_dir):
     return seeded.withColumn("audit_id", F.col("audit_id") > 41).withColumnRenamed("audit_id", "id_is_new")
 
 
+@query
+def audit_ids(spark, sf_dir):
+    """Ids of two captures, the second after the first's largest: how many, how many different, and
+    whether all of the second are above all of the first."""
+    first = settle(A.audit_seed(_facts(spark, sf_dir), F.lit(CLOCK).cast("timestamp"), F.lit("loader"), after=41))
+    top = A.highest_id(first)
+    second = A.audit_seed(_facts(spark, sf_dir), F.lit(CLOCK).cast("timestamp"), F.lit("loader"), after=top)
+    both = first.select("audit_id", F.lit(1).alias("capture")).unionByName(second.select("audit_id", F.lit(2).alias("capture")))
+    return both.groupBy("capture").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("audit_id").alias("n_ids"),
+        (F.min("audit_id") > F.when(F.col("capture") == 1, 41).otherwise(top)).alias("above"),
+    )
+
+
 @query
 def incremental_scan(spark, sf_dir):
     return A.incremental_scan(B.change_log(B.events(spark, sf_dir)), MARK, ordered=True)
@@ -386,15 +418,15 @@ def cdc_apply_bag(spark, sf_dir):
 
 @query
 def maintained_average(spark, sf_dir):
-    return S.with_average(QUERIES["cdc_apply_keyed"](spark, sf_dir)).where(F.col(YEAR) == "AVERAGE")
+    return S.average_row(QUERIES["cdc_apply_keyed"](spark, sf_dir))
 
 
 # streams
 
 
-def _publish(spark, sf_dir, company: bool) -> str:
+def _publish(spark, sf_dir, company: bool, log_of=B.change_log) -> str:
     out = fresh_dir(spark, "records")
-    log = B.change_log(B.events_stream(spark, sf_dir))
+    log = log_of(B.events_stream(spark, sf_dir))
     stream = J.publish_stream(log, f"{out}-checkpoint", "parquet", J.AVAILABLE_NOW, company, path=out)
     stream.awaitTermination()
     return out
@@ -406,20 +438,44 @@ def cdc_stream_publish(spark, sf_dir):
     return M.decode(published).select("audit_id", "operation_type", "changed_at", YEAR, *METRICS, COMPANY)
 
 
+def _applied(spark, published: str, sink: ChangeLog, root: str, company: bool) -> None:
+    records = spark.readStream.schema("key binary, value binary").parquet(published)
+    J.apply_stream(
+        records, sink, f"{root}/checkpoint", J.AVAILABLE_NOW, company=company, rejects_path=f"{root}/rejects"
+    ).awaitTermination()
+
+
 @query
 def cdc_stream_apply(spark, sf_dir):
-    published = _publish(spark, sf_dir, company=False)
     root = fresh_dir(spark, "sink")
-    sink = KeyedTable(spark, f"{root}/table", SINK_SINGLE, [YEAR], IGNORE, buckets=16)
+    sink = ChangeLog(spark, f"{root}/table", SINK_SINGLE, [YEAR], IGNORE)
     sink.load_initial(B.preloaded(spark, sf_dir, company=False))
-    records = spark.readStream.schema("key binary, value binary").parquet(published)
-    stream = J.apply_stream(
-        records, sink, f"{root}/checkpoint", J.AVAILABLE_NOW, company=False, rejects_path=f"{root}/rejects"
-    )
-    stream.awaitTermination()
+    _applied(spark, _publish(spark, sf_dir, company=False), sink, root, company=False)
     return sink.read_with_average()
 
 
+@query
+def cdc_stream_apply_companies(spark, sf_dir):
+    """Rows per year and company as a bag, derived columns, the trailing period passed over."""
+    root = fresh_dir(spark, "sink")
+    sink = ChangeLog(spark, f"{root}/table", SINK_MULTI, [YEAR, COMPANY], BAG)
+    sink.load_initial(L.conform(derive_profit(B.preloaded(spark, sf_dir, company=True)), SINK_MULTI))
+    _applied(spark, _publish(spark, sf_dir, True, B.company_log), sink, root, company=True)
+    sink.fold()
+    return sink.read()
+
+
+@query
+def publish_increment(spark, sf_dir):
+    """Two polls: what is older than the mark first, then everything after the stored cursor."""
+    root = fresh_dir(spark, "increment")
+    log = B.change_log(B.events(spark, sf_dir))
+    for audit in (log.where(F.col("changed_at") <= F.lit(MARK).cast("timestamp")), log, log):
+        R.publish_increment(audit, f"{root}/mark", "parquet", path=f"{root}/records")
+    published = spark.read.schema("key binary, value binary").parquet(f"{root}/records")
+    return M.decode(published).select("audit_id", "operation_type", "changed_at", YEAR, *METRICS, COMPANY)
+
+
 # sinks
 
 

@@ -71,9 +71,14 @@ def read_high_water(spark: SparkSession, path: str) -> tuple[str | None, int | N
 
 
 def store_high_water(spark: SparkSession, path: str, changed_at: str, audit_id: int) -> None:
-    """Add a cursor; earlier ones stay, so a crash while writing loses nothing."""
+    """Write a cursor; the two last ones are kept, so a crash while writing loses nothing.
+
+    Cursors go to two folders in turn. The one that is overwritten is not the latest.
+    """
     line = spark.createDataFrame([(f"{changed_at}\t{audit_id}",)], "value string")
-    line.coalesce(1).write.mode("append").text(path)
+    turns = {turn: read_high_water(spark, f"{path}/turn={turn}") for turn in (0, 1)}
+    latest = max(turns, key=lambda t: (turns[t][0] or "", turns[t][1] or 0))
+    line.coalesce(1).write.mode("overwrite").text(f"{path}/turn={1 - latest}")
 
 
 def publish_increment(audit: DataFrame, mark_path: str, sink_format: str, company: bool = True, **options: str) -> bool:

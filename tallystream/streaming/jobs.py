@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallystream.functions.derive import derive_profit
 from tallystream.functions.messages import accepted, decode, encode, rejects, triage
 from tallystream.schemas import TRAILING_PERIOD, YEAR
-from tallystream.sources.keyed_table import KeyedTable
+from tallystream.sources.change_log import ChangeLog
 
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
 AVAILABLE_NOW = {"availableNow": True}
@@ -47,7 +47,7 @@ def prepare(triaged: DataFrame, company: bool, skip_periods: list[str]) -> DataF
 
 
 def apply_records(
-    table: KeyedTable,
+    table: ChangeLog,
     records: DataFrame,
     batch_id: int,
     writer: str,
@@ -55,28 +55,28 @@ def apply_records(
     skip_periods: list[str] | None = None,
     rejects_path: str | None = None,
 ) -> None:
-    """One batch of records into the table; bad ones into their own folder per batch."""
+    """One batch of records into the table's log; bad ones into their own folder per batch."""
     if skip_periods is None:
         skip_periods = [TRAILING_PERIOD] if company else []
     triaged = triage(decode(records, company), company).persist()
     try:
         if rejects_path:
             rejects(triaged).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-        table.commit(prepare(triaged, company, skip_periods), batch_id, writer)
+        table.append(prepare(triaged, company, skip_periods), batch_id, writer)
     finally:
         triaged.unpersist()
 
 
 def apply_stream(
     records: DataFrame,
-    table: KeyedTable,
+    table: ChangeLog,
     checkpoint: str,
     trigger: dict | None = None,
     company: bool = True,
     skip_periods: list[str] | None = None,
     rejects_path: str | None = None,
 ) -> StreamingQuery:
-    """Record stream into a keyed table."""
+    """Record stream into the log of a keyed table; folding it is a job of its own."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
         apply_records(table, batch, batch_id, checkpoint, company, skip_periods, rejects_path)

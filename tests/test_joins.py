@@ -3,9 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallystream.operators.joins import JoinLimits, hot_keys, key_list, lookup_join, only_keys, payload_bytes
+from tallystream.operators.joins import JoinLimits, bounded_side, is_stored, key_list, lookup_join, only_keys, payload_bytes
 
-SALTED = JoinLimits(broadcast_bytes=-1, hot_share=16, hot_rows=20, salts=4)
+SHUFFLED = JoinLimits(broadcast_bytes=-1)
 
 
 def frames(spark):
@@ -22,10 +22,10 @@ def rows_of(df):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, how):
+def test_shuffled_join_equals_plain_join(spark, how):
     rows, side = frames(spark)
     want = rows.join(side, "k", how)
-    for limits in (SALTED, JoinLimits()):
+    for limits in (SHUFFLED, JoinLimits()):
         got = lookup_join(rows, side, ["k"], how, limits)
         assert got.columns == want.columns
         assert rows_of(got) == rows_of(want)
@@ -34,20 +34,24 @@ def test_salted_join_equals_plain_join(spark, how):
 def test_composite_key(spark):
     rows, side = frames(spark)
     rows, side = rows.withColumn("c", F.lit("x")), side.withColumn("c", F.lit("x"))
-    got = lookup_join(rows, side, ["k", "c"], "left", SALTED)
+    got = lookup_join(rows, side, ["k", "c"], "left", SHUFFLED)
     assert rows_of(got) == rows_of(rows.join(side, ["k", "c"], "left"))
 
 
-def test_hot_rows_are_spread(spark):
-    rows, side = frames(spark)
-    assert [r.k for r in hot_keys(rows, ["k"], SALTED).where("k is not null").collect()] == [7]
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_a_computed_side_is_computed_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 10 as k", "id as v").write.parquet(str(tmp_path / "t"))
+    scan = spark.read.parquet(str(tmp_path / "t"))
+    assert is_stored(scan.select("k")) and not is_stored(scan.distinct())
+    # Small files are taken by their size, without a job.
+    group = "sizing"
+    spark.sparkContext.setJobGroup(group, "")
     try:
-        joined = lookup_join(rows, side, ["k"], "left", SALTED)
-        parts = joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+        side, small = bounded_side(scan.select("k"))
+        assert small and not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert parts > 1
+        spark.sparkContext.setJobGroup("", "")
+    side, small = bounded_side(scan.groupBy("k").count(), SHUFFLED)
+    assert is_stored(side) and not small
 
 
 def test_payload_bytes_follows_text_length(spark):

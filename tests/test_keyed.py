@@ -3,8 +3,8 @@ import pytest
 from tallystream.operators import keyed as K
 from tallystream.operators.joins import JoinLimits
 
-SALTED = JoinLimits(broadcast_bytes=-1, hot_share=4, hot_rows=2, salts=3)
-LIMITS = pytest.mark.parametrize("limits", [JoinLimits(), SALTED])
+SHUFFLED = JoinLimits(broadcast_bytes=-1)
+LIMITS = pytest.mark.parametrize("limits", [JoinLimits(), SHUFFLED])
 
 
 def table(spark, rows):

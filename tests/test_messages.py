@@ -82,6 +82,23 @@ def test_unreadable_records(spark):
     assert tuple(bad.first()) == ("messages", "1", "malformed_json", "{nonsense")
 
 
+@pytest.mark.parametrize("company", [True, False])
+def test_damaged_fields_are_rejected(spark, company):
+    good = json.loads(bytes(M.encode(audit(spark), company).first().value))
+
+    def why(key=b"1", **changes):
+        value = json.dumps({**good, **changes}).encode()
+        return M.triage(M.decode(record(spark, value, key), company), company).first().reason
+
+    assert why() is None
+    assert why(changed_at="garbage") == "malformed_field"
+    assert why(Interest="abc") == "malformed_field"
+    assert why(changed_at=None) == "null_time"
+    assert why(key=b"x7") == "null_audit_id" and why(key=b"") == "null_audit_id"
+    bad = M.rejects(M.triage(M.decode(record(spark, json.dumps(good).encode(), b"x7"), company), company)).first()
+    assert (bad.key, bad.reason) == ("x7", "null_audit_id")
+
+
 def test_text_is_parsed_once(spark):
     plan = M.accepted(M.triage(M.decode(M.encode(audit(spark)))))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallystream.functions.messages import decode
 from tallystream.schemas import AUDIT, COMPANY, METRICS, SINK_MULTI, SINK_SINGLE, YEAR
 from tallystream.sources import tables as R
-from tallystream.sources.keyed_table import KeyedTable
+from tallystream.sources.change_log import ChangeLog
 from tests.replay import replay
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -27,6 +27,10 @@ def test_marks(spark, tmp_path):
     R.store_high_water(spark, path, "2024-01-02T00:00:00.000001+00:00", 7)
     R.store_high_water(spark, path, "2024-01-01T00:00:00.000000+00:00", 9)
     assert R.read_high_water(spark, path) == ("2024-01-02T00:00:00.000001+00:00", 7)
+    for n in range(6):
+        R.store_high_water(spark, path, f"2024-02-0{n + 1}T00:00:00.000000+00:00", n)
+        assert R.read_high_water(spark, path) == (f"2024-02-0{n + 1}T00:00:00.000000+00:00", n)
+    assert spark.read.text(path).count() == 2
 
 
 @pytest.mark.parametrize(
@@ -76,60 +80,86 @@ def test_replace_and_append(spark, tmp_path):
 
 
 def keyed(spark, tmp_path, mode="ignore", schema=SINK_SINGLE, keys=(YEAR,)):
-    return KeyedTable(spark, str(tmp_path / "table"), schema, list(keys), mode, buckets=4)
+    return ChangeLog(spark, str(tmp_path / "table"), schema, list(keys), mode)
 
 
 def years(df, *extra):
     return sorted((tuple(r[c] for c in (YEAR, *extra, "Interest")) for r in df.collect()), key=repr)
 
 
-def test_keyed_table(spark, tmp_path):
+def log_rows(table):
+    return table.spark.read.parquet(f"{table.root}/log").count()
+
+
+def test_change_log(spark, tmp_path):
     table = keyed(spark, tmp_path)
-    assert table.read().count() == 0 and set(table.average().first()[1:]) == {None}
+    assert table.read().count() == 0 and set(table.average().first()[1:]) == {None} and not table.fold()
     first = [(1, 1, "INSERT", "Mar 1", 10.0), (2, 2, "INSERT", "Mar 2", 50.0), (3, 3, "INSERT", "TTM", 7.0)]
-    assert table.commit(audit(spark, first), 0)
+    table.append(audit(spark, first), 0)
     second = [(4, 4, "INSERT", "Mar 1", 99.0), (5, 5, "UPDATE", "Mar 2", 20.0), (6, 6, "INSERT", "Mar 3", None)]
-    assert table.commit(audit(spark, second), 1)
+    table.append(audit(spark, second), 1)
     held = [("Mar 1", 10.0), ("Mar 2", 20.0), ("Mar 3", None), ("TTM", 7.0)]
     assert years(table.read()) == held
     assert years(table.read_with_average()) == [("AVERAGE", 15.0), *held]
-    # A batch that was published already changes nothing, whatever it holds now.
-    assert not table.commit(audit(spark, [(7, 7, "DELETE", "Mar 1", None)]), 1)
+    assert table.fold() and not table.fold()
     assert years(table.read()) == held
-    assert table.commit(audit(spark, [(7, 7, "DELETE", "Mar 1", None), (8, 8, "DELETE", "Mar 2", None)]), 2)
+    table.append(audit(spark, [(7, 7, "DELETE", "Mar 1", None), (8, 8, "DELETE", "Mar 2", None)]), 2)
+    table.append(audit(spark, []), 3)
     assert years(table.read_with_average()) == [("AVERAGE", None), ("Mar 3", None), ("TTM", 7.0)]
-    assert not table.commit(audit(spark, []), 3)
+    assert table.fold() and years(table.read()) == [("Mar 3", None), ("TTM", 7.0)]
+    with pytest.raises(ValueError):
+        table.load_initial(audit(spark, first).select(*SINK_SINGLE.names))
 
 
-def test_untouched_buckets_are_not_rewritten(spark, tmp_path):
+def test_a_batch_writes_its_own_rows_only(spark, tmp_path):
     table = keyed(spark, tmp_path)
-    table.commit(audit(spark, [(i, i, "INSERT", f"Mar {i}", float(i)) for i in range(40)]), 0)
-    table.commit(audit(spark, [(99, 99, "UPDATE", "Mar 7", 1.0)]), 1)
-    versions = [r.data_version for r in table._state()[1]]
-    assert sorted(versions) == [1, 1, 1, 2]
-    assert table.average().first().Interest == 19.35  # 774 over 40
+    table.load_initial(audit(spark, [(i, i, "INSERT", f"Mar {i}", float(i)) for i in range(3000)]).select(*SINK_SINGLE.names))
+    table.append(audit(spark, [(i, i, "UPDATE", f"Mar {i * 7}", -1.0) for i in range(200)]), 0)
+    assert log_rows(table) == 200
+    assert table.read().where("Interest = -1").count() == 200 and table.read().count() == 3000
 
 
-def test_unpublished_data_is_not_seen(spark, tmp_path):
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_parallelism_does_not_matter(spark, tmp_path, partitions):
     table = keyed(spark, tmp_path)
-    table.commit(audit(spark, [(1, 1, "INSERT", "Mar 1", 10.0)]), 0)
-    # What a writer that died before its manifest leaves behind.
-    spark.range(5).write.parquet(f"{table.root}/data/version=2/bucket_id=0")
-    (tmp_path / "table" / "manifest" / "version=2").mkdir()
-    assert years(table.read()) == [("Mar 1", 10.0)]
-    assert table.commit(audit(spark, [(2, 2, "INSERT", "Mar 2", 20.0)]), 1)
-    assert years(table.read()) == [("Mar 1", 10.0), ("Mar 2", 20.0)]
+    table.append(audit(spark, [(i, i, "INSERT", f"Mar {i}", 0.0) for i in range(50)]).repartition(partitions), 0)
+    table.fold()
+    spark.conf.set("spark.sql.shuffle.partitions", str(9 - partitions))
+    try:
+        table.append(audit(spark, [(100 + i, i, "UPDATE", f"Mar {i}", 1.0) for i in range(50)]).repartition(5), 1)
+        assert years(table.read()) == sorted((f"Mar {i}", 1.0) for i in range(50))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_batches_replayed_in_turn_by_several_writers(spark, tmp_path):
+    table = keyed(spark, tmp_path, "bag")
+    many = audit(spark, [(i, i, "INSERT", f"Mar {i}", 1.0) for i in range(50)])
+    table.append(many, 0, "a/1")
+    table.append(audit(spark, [(99, 99, "INSERT", "Mar 99", 1.0)]), 0, "b")
+    table.append(many, 0, "a/1")
+    assert table.read().count() == 51
+    table.fold()
+    table.append(many, 0, "a/1")  # a replay after the fold
+    assert table.read().count() == 51
+    table.append(many, 1, "a/1")
+    assert table.read().count() == 101
+
+
+def test_later_batches_win_whatever_their_times(spark, tmp_path):
+    table = keyed(spark, tmp_path)
+    table.append(audit(spark, [(1, 50, "INSERT", "Mar 1", 1.0), (2, 60, "UPDATE", "Mar 1", 2.0)]), 0)
+    table.append(audit(spark, [(9, 5, "UPDATE", "Mar 1", 3.0), (8, 4, "UPDATE", "Mar 1", 4.0)]), 1)
+    assert years(table.read()) == [("Mar 1", 3.0)]
 
 
-def test_vacuum_keeps_what_is_in_use(spark, tmp_path):
+def test_a_fold_that_stopped_is_not_seen(spark, tmp_path):
     table = keyed(spark, tmp_path)
-    for batch in range(5):
-        table.commit(audit(spark, [(batch, batch, "INSERT", f"Mar {batch}", 1.0)]), batch)
-    before = years(table.read())
-    table.vacuum(keep=1)
-    assert years(table.read()) == before and len(table._versions("manifest")) == 1
-    assert table.commit(audit(spark, [(9, 9, "INSERT", "Mar 9", 1.0)]), 9)
-    assert table.read().count() == 6
+    table.append(audit(spark, [(1, 1, "INSERT", "Mar 1", 10.0)]), 0)
+    # What a fold that died before its note leaves behind.
+    table.read().limit(0).write.parquet(f"{table.root}/base/version=1")
+    assert years(table.read()) == [("Mar 1", 10.0)]
+    assert table.fold() and years(table.read()) == [("Mar 1", 10.0)]
 
 
 def test_bag_table_with_company(spark, tmp_path):
@@ -140,7 +170,7 @@ def test_bag_table_with_company(spark, tmp_path):
         full = audit(spark, part).withColumns(
             {"total_profit": F.lit(0.0), "net_profit_margin": F.lit(0.0), "profit_category": F.lit("Low")}
         )
-        table.commit(full, batch)
+        table.append(full, batch)
     assert years(table.read()) == [("Mar 1", 4.0), ("Mar 1", 4.0), ("Mar 1", 5.0)]
     plain = [(op, s, i, y, v) for i, s, op, y, v in rows + more]
     assert replay([], plain, bag=True) == years(table.read())

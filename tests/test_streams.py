@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallystream.functions.messages import decode, encode
 from tallystream.schemas import AUDIT, COMPANY, METRICS, SINK_MULTI, SINK_SINGLE, YEAR
-from tallystream.sources.keyed_table import KeyedTable
+from tallystream.sources.change_log import ChangeLog
 from tallystream.streaming import jobs as J
 from tests.replay import in_order, random_case, replay
 from tests.test_sources import audit
@@ -44,7 +44,7 @@ def test_apply_in_several_batches_equals_replay(spark, tmp_path):
     _, changes = random_case(11, keys=12, loaded=0)
     ordered = in_order(changes)
     src = str(tmp_path / "records")
-    table = KeyedTable(spark, str(tmp_path / "table"), SINK_SINGLE, [YEAR], buckets=4)
+    table = ChangeLog(spark, str(tmp_path / "table"), SINK_SINGLE, [YEAR])
     cut = len(ordered) // 2
     for part in (ordered[:cut], ordered[cut:]):
         messages(spark, part, company=False).coalesce(1).write.mode("append").parquet(src)
@@ -58,7 +58,7 @@ def test_apply_in_several_batches_equals_replay(spark, tmp_path):
 
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
-    table = KeyedTable(spark, str(tmp_path / "table"), SINK_SINGLE, [YEAR], buckets=4)
+    table = ChangeLog(spark, str(tmp_path / "table"), SINK_SINGLE, [YEAR])
     records = encode(audit(spark, [(1, 1, "UPDATE", "Mar 1", 2.0), (2, 2, "INSERT", "Mar 1", 1.0)]), company=False)
     for _ in range(2):
         J.apply_records(table, records, 0, "stream", company=False)
@@ -76,7 +76,7 @@ def test_multi_company_apply(spark, tmp_path, skip, held):
     ]
     src, bad = str(tmp_path / "records"), str(tmp_path / "rejects")
     encode(audit(spark, rows)).coalesce(1).write.parquet(src)
-    table = KeyedTable(spark, str(tmp_path / "table"), SINK_MULTI, [YEAR, COMPANY], "bag", buckets=4)
+    table = ChangeLog(spark, str(tmp_path / "table"), SINK_MULTI, [YEAR, COMPANY], "bag")
     J.apply_stream(
         source(spark, src), table, str(tmp_path / "checkpoint"), J.AVAILABLE_NOW, skip_periods=skip, rejects_path=bad
     ).awaitTermination()
