@@ -64,10 +64,11 @@ def decode_rare_entities(markup: Column) -> Column:
 
 def cell_text(markup: Column) -> Column:
     """Text of a cell: no tags, entities decoded, stripped."""
-    text = F.when(markup.contains("<"), F.regexp_replace(markup, "<[^>]*>", "")).otherwise(markup)
+    bare = F.when(markup.contains("<"), F.regexp_replace(markup, "<[^>]*>", "")).otherwise(markup)
+    text = bare
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip_text(text)
+    return strip_text(F.when(bare.contains("&"), text).otherwise(bare))
 
 
 def _elements(markup: Column, tag: str) -> Column:
@@ -75,6 +76,38 @@ def _elements(markup: Column, tag: str) -> Column:
     return F.regexp_extract_all(markup, F.lit(pattern), 1)
 
 
+def _open_elements(markup: Column, tag: str, ends: str) -> Column:
+    """Elements that may lack their end tags: each goes to its end tag, or to what ends it as well."""
+    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)(?=</{tag}\s*>|{ends}|\z)"
+    return F.regexp_extract_all(markup, F.lit(pattern), 1)
+
+
+_NEXT_CELL, _NEXT_ROW = r"<t[hdr]\b|</t(?:r|able|head|body|foot)\b", r"<tr\b|</table\b"
+
+
+def _with_table(pages: DataFrame, section_id: str) -> DataFrame:
+    """Pages with ``_section``, what stands from the first such section on, and ``_table``, its
+    first table; both empty where there is none.
+
+    One column after the other, so that each page-wide pattern runs once.
+    """
+    opening = rf"(?is)<section[^>]*\sid\s*=\s*([\"']?){re.escape(section_id)}\1(?=[\s>])[^>]*>.*"
+    # Inner sections may open and close before the table; once the depth is 0 the section is over.
+    steps = F.transform(
+        F.regexp_extract_all("_before", F.lit(r"(?i)(</?)section\b"), 1), lambda t: F.when(t == "<", 1).otherwise(-1)
+    )
+    depth = F.aggregate(steps, F.lit(1), lambda d, t: F.when(d == 0, 0).otherwise(d + t))
+    inside = ~F.contains("_before", F.lit("</")) | (depth > 0)
+    after = F.substr("_inner", F.length("_before") + 1, F.length("_inner"))
+    return (
+        pages.withColumn("_section", F.regexp_extract(F.regexp_replace("html", _INVISIBLE, ""), opening, 0))
+        .withColumn("_inner", F.substr("_section", F.instr("_section", ">") + 1, F.length("_section")))
+        .withColumn("_before", F.regexp_extract("_inner", r"(?is)\A.*?(?=<table\b|\z)", 0))
+        .withColumn("_after", F.when(inside, after).otherwise(""))
+        .withColumn("_table", F.regexp_extract("_after", r"(?is)\A<table\b.*?</table\s*>", 0))
+    )
+
+
 def _first_element(markup: Column, tag: str, element_id: str | None = None) -> Column:
     """Whole first element, or empty text where there is none."""
     wanted = rf"[^>]*\sid\s*=\s*([\"']?){re.escape(element_id)}\1(?=[\s>])" if element_id else r"\b"
@@ -105,39 +138,40 @@ def statement_tables(
 ) -> DataFrame:
     """One row per page: header texts, body rows ``array<struct<row_idx, cells>>`` and ``reason``.
 
-    ``header_cells_anywhere``: the header is every ``th`` of the table and body cells are ``td``
+    Inner sections before the table, and cells and rows without end tags, are read; a table that
+    holds another is a reason. ``header_cells_anywhere``: the header is every ``th`` of the table and body cells are ``td``
     only; otherwise the first row is the header and both kinds are cells everywhere.
     ``reason`` says why a page gives no statement and is null for a good page.
     """
-    visible = F.regexp_replace("html", _INVISIBLE, "")
     kept = [c for c in pages.columns if c != "html"]
     found = (
-        pages.withColumn("_section", _first_element(visible, "section", section_id))
-        .withColumn("_table", _first_element(F.col("_section"), "table"))
+        _with_table(pages, section_id)
         .withColumn("_table", decode_rare_entities(F.col("_table")))
-        .withColumn("_rows", _elements(F.col("_table"), "tr"))
+        .withColumn("_rows", _open_elements(F.col("_table"), "tr", _NEXT_ROW))
     )
+    nested = F.regexp_count("_table", F.lit(r"(?i)<table\b")) > 1
     cell_tag = "td" if header_cells_anywhere else "t[hd]"
     head = (
-        _elements(F.col("_table"), "th")
+        _open_elements(F.col("_table"), "th", _NEXT_CELL)
         if header_cells_anywhere
-        else _elements(F.coalesce(F.get("_rows", F.lit(0)), F.lit("")), "t[hd]")
+        else _open_elements(F.coalesce(F.get("_rows", F.lit(0)), F.lit("")), "t[hd]", _NEXT_CELL)
     )
     body = F.transform(
         F.slice("_rows", F.lit(2), F.greatest(F.size("_rows") - 1, F.lit(0))),
         lambda row, i: F.struct(
             (i + 1).cast("int").alias("row_idx"),
-            F.transform(_elements(row, cell_tag), cell_text).alias("cells"),
+            F.transform(_open_elements(row, cell_tag, _NEXT_CELL), cell_text).alias("cells"),
         ),
     )
     reason = (
         F.when(F.col("html").isNull(), "not_loaded")
         .when(F.col("_section") == "", "no_section")
         .when(F.col("_table") == "", "no_table")
+        .when(nested, "nested_table")
         .when(F.size("_rows") < 2, "empty_table")
     )
     # Without body rows header and body are empty, so such a page unfolds to nothing.
-    usable = F.size("_rows") >= 2
+    usable = reason.isNull()
     shown = F.when(usable, F.transform(head, cell_text)).otherwise(F.array().cast("array<string>"))
     held = F.when(usable, body).otherwise(F.array().cast("array<struct<row_idx: int, cells: array<string>>>"))
     return found.select(*kept, shown.alias("header"), held.alias("body"), reason.alias("reason"))
@@ -171,39 +205,50 @@ def drop_last_cells(cells: Column, n: int) -> Column:
     return F.slice(cells, F.lit(1), F.greatest(F.size(cells) - n, F.lit(0)))
 
 
-def transpose_statement(
-    tables: DataFrame,
-    metrics: list[str] = SCRAPED,
-    drop_last: int = 0,
-    label_mark: str = LABEL_MARK,
-) -> DataFrame:
-    """Metric-by-period tables turned into one row per period, one text column per metric.
+def _picked(tables: DataFrame, metrics: list[str], drop_last: int, label_mark: str) -> tuple[DataFrame, Column]:
+    """Per page the periods and, per metric, its cells; with the array that unfolds to periods.
 
-    Each metric's cells are picked once as an array; zipping the arrays with the periods is the
-    transposition. ``pos`` numbers the periods of a page from 1 in document order.
+    A metric without a row has empty cells. One whose row doesn't fit the header has null cells:
+    which of them belongs where can't be known.
     """
     width = F.size("header")
     rows = F.transform(
-        F.filter(
-            "body", lambda r: (F.size(r["cells"]) == width) & ~F.contains(F.get(r["cells"], F.lit(0)), F.lit(label_mark))
-        ),
+        F.filter("body", lambda r: ~F.contains(F.coalesce(F.get(r["cells"], F.lit(0)), F.lit("")), F.lit(label_mark))),
         lambda r: F.struct(
             normalize_header(F.get(r["cells"], F.lit(0))).alias("metric"),
-            drop_last_cells(F.slice(r["cells"], F.lit(2), F.greatest(width - 1, F.lit(0))), drop_last).alias("cells"),
+            F.when(
+                F.size(r["cells"]) == width,
+                drop_last_cells(F.slice(r["cells"], F.lit(2), F.greatest(width - 1, F.lit(0))), drop_last),
+            ).alias("cells"),
         ),
     )
-    kept = [c for c in tables.columns if c not in ("header", "body", "reason")]
     periods = drop_last_cells(F.slice("header", F.lit(2), F.greatest(width - 1, F.lit(0))), drop_last)
-    shaped = tables.select(*kept, periods.alias("_periods"), rows.alias("_rows"))
+    shaped = tables.withColumns({"_periods": periods, "_rows": rows}).withColumn("_labels", F.col("_rows.metric"))
 
     def cells_of(metric: str) -> Column:
-        first = F.get(F.filter("_rows", lambda r: r["metric"] == metric), F.lit(0))
-        return F.coalesce(first["cells"], F.array().cast("array<string>"))
+        place = F.array_position("_labels", metric)
+        nothing = F.array_repeat(F.lit(""), F.size("_periods"))
+        lost = F.array_repeat(F.lit(None).cast("string"), F.size("_periods"))
+        found = F.get("_rows", (place - 1).cast("int"))["cells"]
+        return F.when(place == 0, nothing).otherwise(F.coalesce(found, lost))
 
-    picked = shaped.select(
-        *kept, F.col("_periods"), *[cells_of(m).alias(f"_m{i}") for i, m in enumerate(metrics)]
-    )
-    zipped = F.arrays_zip("_periods", *[f"_m{i}" for i in range(len(metrics))])
+    picked = shaped.withColumns({f"_m{i}": cells_of(m) for i, m in enumerate(metrics)})
+    return picked, F.arrays_zip("_periods", *[f"_m{i}" for i in range(len(metrics))])
+
+
+def transpose_statement(
+    tables: DataFrame,
+    metrics: list[str] = SCRAPED,
+    drop_last: int = 0,
+    label_mark: str = LABEL_MARK,
+) -> DataFrame:
+    """Metric-by-period tables turned into one row per period, one text column per metric.
+
+    Each metric's cells are picked once as an array; zipping the arrays with the periods is the
+    transposition. ``pos`` numbers the periods of a page from 1 in document order.
+    """
+    kept = [c for c in tables.columns if c not in ("header", "body", "reason")]
+    picked, zipped = _picked(tables, metrics, drop_last, label_mark)
     unfolded = picked.select(*kept, F.posexplode_outer(zipped).alias("_i", "_z"))
     return unfolded.where(F.col("_i").isNotNull()).select(
         *kept,
@@ -213,6 +258,79 @@ def transpose_statement(
     )
 
 
+REJECTS = "array<struct<reason: string, raw: string>>"
+
+
+def read_statements(
+    pages: DataFrame, metrics: list[str] = SCRAPED, label_mark: str = LABEL_MARK, allow_negative: bool = True
+) -> DataFrame:
+    """Facts and rejects of pages from one reading: page_id, url, pos, Year, metrics, rejects.
+
+    A page has a row for each period, with the cells of that period that are no number, and a row
+    of ``pos`` 0 with what concerns the whole page: why it gives no statement, rows that don't fit
+    the header, labels that are no metric. ``facts_of`` and ``rejects_of`` take the two apart;
+    store the frame first, so that pages are parsed once.
+    """
+    tables = statement_tables(pages)
+    picked, zipped = _picked(tables, metrics, 0, label_mark)
+    width, label = F.size("header"), lambda r: F.coalesce(F.get(r["cells"], F.lit(0)), F.lit(""))
+    told = lambda reason, raw: F.struct(F.lit(reason).alias("reason"), raw.alias("raw"))
+    ragged = F.transform(
+        F.filter("body", lambda r: F.size(r["cells"]) != width),
+        lambda r: told("ragged_row", F.array_join(r["cells"], "|")),
+    )
+    unknown = F.transform(
+        F.filter(
+            "body",
+            lambda r: (F.size(r["cells"]) == width)
+            & ~F.contains(label(r), F.lit(label_mark))
+            & ~normalize_header(label(r)).isin(metrics),
+        ),
+        lambda r: told("unknown_metric", label(r)),
+    )
+    whole = F.array(F.struct("reason", F.lit(None).cast("string").alias("raw"))).cast(REJECTS)
+    page = F.when(F.col("reason").isNotNull(), whole).otherwise(F.concat(ragged.cast(REJECTS), unknown.cast(REJECTS)))
+    kind = picked.select(zipped.alias("z")).schema["z"].dataType.elementType
+    lead = F.array(F.lit(None).cast(kind))
+    unfolded = picked.select("page_id", "url", page.alias("_page"), F.posexplode(F.concat(lead, zipped)).alias("pos", "_z"))
+    texts = unfolded.select(
+        "page_id",
+        "url",
+        "pos",
+        F.when(F.col("pos") == 0, F.col("_page")).alias("_page"),
+        F.col("_z._periods").alias(YEAR),
+        *[number_text(F.col(f"_z._m{i}")).alias(m) for i, m in enumerate(metrics)],
+        *[F.col(f"_z._m{i}").alias(f"_raw{i}") for i in range(len(metrics))],
+    )
+    values = {m: number_value(F.col(f"`{m}`"), allow_negative) for m in metrics}
+    bad = F.array(
+        *[
+            F.when(F.col(f"_raw{i}").isNotNull() & values[m].isNull(), told(f"not_a_number:{m}", F.col(f"_raw{i}")))
+            for i, m in enumerate(metrics)
+        ]
+    )
+    return texts.select(
+        "page_id",
+        "url",
+        "pos",
+        YEAR,
+        *[v.alias(SCRAPED_TO_METRIC[m]) for m, v in values.items()],
+        F.when(F.col("pos") == 0, F.col("_page")).otherwise(F.array_compact(bad).cast(REJECTS)).alias("rejects"),
+    )
+
+
+def facts_of(read: DataFrame, skip_period: str | None = TRAILING_PERIOD) -> DataFrame:
+    facts = read.where("pos > 0")
+    if skip_period is not None:
+        facts = facts.where(~F.col(YEAR).eqNullSafe(F.lit(skip_period)))
+    return facts.select(YEAR, *METRICS, page_key(F.col("url")).alias("Company_id"))
+
+
+def rejects_of(read: DataFrame) -> DataFrame:
+    key = F.concat_ws("/", F.col("page_id").cast("string"), F.when(F.col("pos") > 0, F.col(YEAR)))
+    return read.select(F.lit("pages").alias("source"), key.alias("key"), F.inline("rejects"))
+
+
 def unknown_metrics(tables: DataFrame, metrics: list[str] = SCRAPED, label_mark: str = LABEL_MARK) -> DataFrame:
     """Row labels that are no declared metric; their rows are left out of the statement."""
     rows = fits_header(table_rows(tables)).select("page_id", F.get("cells", F.lit(0)).alias("raw"))
@@ -230,14 +348,14 @@ def clean_statement(
 ) -> DataFrame:
     """Text columns as numbers under the message spelling.
 
-    Empty and absent cells are 0.0; text that is no number is null here and listed by
-    ``rejected_cells``.
+    Empty cells, and those of a metric without a row, are 0.0. Text that is no number, and the
+    cells of a row that doesn't fit the header, are null here and listed as rejects.
     """
     found = [c for c in texts.columns if c in SCRAPED_TO_METRIC]
     rest = [c for c in texts.columns if c not in SCRAPED_TO_METRIC]
 
     def bare(name: str) -> Column:
-        text = F.coalesce(F.col(f"`{name}`"), F.lit(""))
+        text = F.col(f"`{name}`")
         cleaned = number_text(text).alias("bare")
         return F.struct(cleaned, strip_text(text).endswith("%").alias("percent")) if percent_as_fraction else cleaned
 

@@ -256,6 +256,17 @@ def statement_pages(spark: SparkSession, sf_dir: str, damaged: bool = False) ->
     )
 
 
+def loose_pages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    """The same pages as loosely written: an inner section before the table, and cells and rows
+    left open, the cells on every third page only in part."""
+    pages = statement_pages(spark, sf_dir, damaged)
+    inner = F.regexp_replace("html", "<table class", '<section class="tabs"><p>Tabs</p></section><table class')
+    rows_open = F.replace(inner, F.lit("</tr>"), F.lit(""))
+    some = F.replace(rows_open, F.lit("0</td>"), F.lit("0"))
+    every = F.replace(rows_open, F.lit("</td>"), F.lit(""))
+    return pages.withColumn("html", F.when(F.col("page_id") % 3 == 0, some).otherwise(every))
+
+
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 

@@ -257,6 +257,13 @@ ORACLES: dict[str, str] = {
     "html_table_rows": f"with {PAGE_FACTS} {_page_rows()}",
     "html_loose_rows": f"with {PAGE_FACTS} {_page_rows()}",
     "statements_from_pages": f"with {PAGE_FACTS} select {_FACT_COLUMNS} from facts where {YEAR} <> 'TTM'",
+    "statements_and_rejects": f"""with {PAGE_FACTS}
+        select {COMPANY}, {YEAR}, Sales_plus, case when n_periods % 2 = 1 then null else Interest end as Interest,
+          cast(null as varchar) as reason from numbered where n_periods > 5 and {YEAR} <> 'TTM'
+        union all
+        select cast(o_custkey as varchar), null, null, null, case when n_periods <= 3 then 'no_section'
+          when n_periods = 4 then 'no_table' when n_periods = 5 then 'empty_table' else 'ragged_row' end
+        from numbered where pos = 1 and (n_periods <= 5 or n_periods % 2 = 1)""",
     "html_row_arity": f"""with {PAGE_FACTS} select o_custkey as page_id, 6 as row_idx, cast(any_value(n_periods) + 1 as int) as n_header,
         cast(any_value(n_periods) as int) as n_cells, 'Interest' as label from numbered
         where n_periods > 5 and n_periods % 2 = 1 group by o_custkey""",

@@ -21,7 +21,6 @@ from tallystream.operators import keyed as K
 from tallystream.operators import layout as L
 from tallystream.operators import summary as S
 from tallystream.operators.fold import BAG, IGNORE, apply_changes
-from tallystream.operators.html_tree import loose_statement_tables
 from tallystream.operators.joins import key_list, only_keys
 from tallystream.plans import bindings as B
 from tallystream.schemas import COMPANY, METRICS, SCRAPED, SINK_MULTI, SINK_SINGLE, YEAR
@@ -264,7 +263,7 @@ def transpose_statement(spark, sf_dir):
 
 @query
 def html_loose_rows(spark, sf_dir):
-    rows = H.table_rows(loose_statement_tables(B.statement_pages(spark, sf_dir)))
+    rows = H.table_rows(H.statement_tables(B.loose_pages(spark, sf_dir)))
     return rows.select("page_id", "row_idx", "n_header", F.array_join("cells", "|").alias("cells"))
 
 
@@ -273,6 +272,16 @@ def statements_from_pages(spark, sf_dir):
     return H.extract_statements(B.statement_pages(spark, sf_dir))
 
 
+@query
+def statements_and_rejects(spark, sf_dir):
+    """Facts and rejects of loose and damaged pages, from one reading that is stored."""
+    read = settle(H.read_statements(B.loose_pages(spark, sf_dir, damaged=True)))
+    facts = H.facts_of(read).select(COMPANY, YEAR, "Sales_plus", "Interest", F.lit(None).cast("string").alias("reason"))
+    nothing = [F.lit(None).cast("double").alias(m) for m in ("Sales_plus", "Interest")]
+    rejects = H.rejects_of(read).select(F.col("key").alias(COMPANY), F.lit(None).cast("string").alias(YEAR), *nothing, "reason")
+    return facts.unionByName(rejects)
+
+
 @query
 def period_row_id(spark, sf_dir):
     texts = H.transpose_statement(H.statement_tables(B.statement_pages(spark, sf_dir)))

@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from tallystream.operators import html as H
-from tallystream.operators.html_tree import loose_statement_tables
 from tallystream.schemas import METRICS, SCRAPED, YEAR
 
 PAGE = """<html><!-- <section id="profit-loss"><table><tr><th>no</th></tr></table></section> -->
@@ -39,33 +38,6 @@ def test_table_rows_and_arity(spark):
     assert H.fits_header(rows).count() == 7
 
 
-def rows_of(tables):
-    return [(r.page_id, r.header, [(b.row_idx, b.cells) for b in r.body], r.reason) for r in tables.orderBy("page_id").collect()]
-
-
-def test_the_parser_gives_the_same_tables(spark):
-    df = pages(
-        spark,
-        PAGE,
-        "<html><p>gone</p></html>",
-        '<section id="profit-loss"><p>soon</p></section>',
-        '<section id="profit-loss"><table><tr><th></th><th>Mar 2023</th></tr></table></section>',
-        None,
-    )
-    for anywhere in (True, False):
-        got = loose_statement_tables(df, header_cells_anywhere=anywhere)
-        assert rows_of(got) == rows_of(H.statement_tables(df, header_cells_anywhere=anywhere))
-    assert H.transpose_statement(loose_statement_tables(df)).count() == 3
-
-
-def test_the_parser_reads_loose_markup(spark):
-    html = """<section id=profit-loss><table><tr><th><th>A<th>B<tr><td>Sales<td>1<td>2</tr>
-    <tr><td>Notes <table><tr><td>in</td></tr></table></td><td>x</td></tr></table><p>after</section>"""
-    assert rows_of(loose_statement_tables(pages(spark, html))) == [
-        (0, ["", "A", "B"], [(1, ["Sales", "1", "2"]), (2, ["Notes in", "in", "x"]), (3, ["in"])], None)
-    ]
-
-
 def test_both_kinds_of_cells(spark):
     html = '<section id="profit-loss"><table><tr><th></th><td>A</td><td>B</td></tr><tr><th>Sales</th><td>1</td><td>2</td></tr></table></section>'
     tables = H.statement_tables(pages(spark, html), header_cells_anywhere=False)
@@ -87,7 +59,7 @@ def test_transpose_and_clean(spark):
     assert (first.Sales_plus, second.Sales_plus, third.Sales_plus) == (1234.0, 2000.5, 3.0)
     assert (first.OPM_percent, second.OPM_percent) == (25.0, -3.0)
     assert (first.Tax_percent, second.Tax_percent, third.Tax_percent) == (None, 0.0, 0.0)
-    assert (first.Interest, first.Depreciation, second.Depreciation) == (0.0, 0.0, 10.0)
+    assert (first.Interest, first.Depreciation, second.Depreciation) == (None, 0.0, 10.0)
     fractions = H.clean_statement(texts, percent_as_fraction=True).collect()
     assert [r.OPM_percent for r in fractions] == [0.25, -0.03, 0.01]
 
@@ -151,4 +123,48 @@ def test_extraction_needs_no_shuffle_and_reads_each_page_once(spark):
     plan = H.clean_statement(H.transpose_statement(H.statement_tables(pages(spark, PAGE))))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text
-    assert text.count("ArrowEvalPython") == 1 and text.count("<section") == 1
+    assert text.count("ArrowEvalPython") == 1 and text.count("<section") == 1 and text.count(r"\A.*?(?=<table") == 1
+
+
+LOOSE = """<section id="profit-loss"><section class="tabs"><p>x</p></section>
+<table><tr><th><th>Mar 2023<th>Mar 2024
+<tr><td>Sales<td>1<td>2</tr>
+<tr><td>Interest<td>3</td></tr>
+<tr><td>Tax %</td><td>n/a</td><td>5</td></tr>
+<tr><td>Odd</td><td>1</td><td>2</td></tr></table></section>"""
+
+
+def test_inner_sections_and_open_cells_are_read(spark):
+    row = H.statement_tables(pages(spark, LOOSE)).first()
+    assert row.header == ["", "Mar 2023", "Mar 2024"] and row.reason is None
+    assert [b.cells for b in row.body] == [["Sales", "1", "2"], ["Interest", "3"], ["Tax %", "n/a", "5"], ["Odd", "1", "2"]]
+
+
+def test_a_table_after_the_section_or_around_another_is_no_statement(spark):
+    df = pages(
+        spark,
+        '<section id="profit-loss"><section></section></section><table><tr><th>A<tr><td>1</table>',
+        '<section id="profit-loss"><table><tr><th>A<tr><td><table><tr><td>1</table></table></section>',
+    )
+    assert [r.reason for r in H.statement_tables(df).orderBy("page_id").collect()] == ["no_table", "nested_table"]
+
+
+def test_facts_and_rejects_from_one_reading(spark):
+    df = pages(spark, LOOSE, "<p></p>", None, PAGE)
+    read = H.read_statements(df)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Scan") == 1
+    facts = H.facts_of(read).where("Company_id is not null").collect()
+    assert sorted((r[YEAR], r.Sales_plus, r.Interest, r.Tax_percent, r.Depreciation) for r in facts)[0::2][0:1] == [
+        ("Mar 2023", 1.0, None, None, 0.0)
+    ]
+    rejects = {(r.key, r.reason, r.raw) for r in H.rejects_of(read).collect() if not r.key.startswith("3")}
+    assert rejects == {
+        ("0", "ragged_row", "Interest|3"),
+        ("0", "unknown_metric", "Odd"),
+        ("0/Mar 2023", "not_a_number:Tax_%", "n/a"),
+        ("1", "no_section", None),
+        ("2", "not_loaded", None),
+    }
+    same = [tuple(r) for r in H.extract_statements(df).orderBy("Company_id", YEAR, "Sales_plus").collect()]
+    assert same == [tuple(r) for r in H.facts_of(read).orderBy("Company_id", YEAR, "Sales_plus").collect()]
