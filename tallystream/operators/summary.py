@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallystream.functions.clean import fill_number, is_digits
+from tallystream.functions.clean import fill_number, is_digits, percent_fraction
 from tallystream.schemas import AVERAGE_KEY, METRICS, TRAILING_PERIOD, YEAR
 
 
@@ -53,6 +53,20 @@ def column_profile(texts: DataFrame, columns: list[str], order: list[str]) -> Da
     return texts.agg(*parts).select(F.inline(rows))
 
 
+def convert_by_profile(texts: DataFrame, columns: list[str], order: list[str]) -> DataFrame:
+    """Text columns as their profile says: all digits to a number, else a first value with ``%`` to
+    fractions, else left as text. The profile is one row per column."""
+    profile = {r.column: r for r in column_profile(texts, columns, order).collect()}
+
+    def converted(name: str):
+        text = F.col(f"`{name}`")
+        if profile[name].all_digits:
+            return text.try_cast("double")
+        return percent_fraction(text) if profile[name].first_has_percent else text
+
+    return texts.withColumns({c: converted(c) for c in columns})
+
+
 def fill_metrics(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Null and NaN metrics as zero; other columns stay as they are."""
     return df.withColumns({c: fill_number(F.col(c)) for c in (columns or METRICS)})

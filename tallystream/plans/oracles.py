@@ -325,6 +325,10 @@ ORACLES: dict[str, str] = {
         {_target(True).replace("target as", "held_plain as", 1)},
         target as (select {YEAR}, {COMPANY}, {_DERIVED_METRICS}, {_DERIVE} from held_plain),
         {_replay([YEAR, COMPANY], _SINK, True)} select * from applied""",
+    "pages_to_sink": f"""with {PAGE_FACTS} select {YEAR}, {_DERIVED_METRICS}, {COMPANY}, {_DERIVE} from facts
+        where {YEAR} <> 'TTM' and Sales_plus <> 0""",
+    "profile_conversion": f"""with {CELLS} select l_orderkey, l_linenumber, cast(q as double) as digits,
+        cast(q as double) / 100 as percent, p from cells""",
     "publish_increment": f"""with {LOG} select audit_id, operation_type, changed_at, {_FACT_COLUMNS} from log
         where changed_at is not null""",
     "key_list_filter": f"""with {FACTS} select {_FACT_COLUMNS} from facts

@@ -165,16 +165,24 @@ def percent_fraction_(spark, sf_dir):
 
 
 
-@query
-def column_profile(spark, sf_dir):
-    texts = B.cell_texts(spark, sf_dir).select(
+def _profiled(spark, sf_dir):
+    return B.cell_texts(spark, sf_dir).select(
         "l_orderkey",
         "l_linenumber",
         F.col("q").alias("digits"),
         F.concat("q", F.lit("%")).alias("percent"),
         "p",
     )
-    return S.column_profile(texts, ["digits", "percent", "p"], ["l_orderkey", "l_linenumber"])
+
+
+@query
+def column_profile(spark, sf_dir):
+    return S.column_profile(_profiled(spark, sf_dir), ["digits", "percent", "p"], ["l_orderkey", "l_linenumber"])
+
+
+@query
+def profile_conversion(spark, sf_dir):
+    return S.convert_by_profile(_profiled(spark, sf_dir), ["digits", "percent", "p"], ["l_orderkey", "l_linenumber"])
 
 
 @query
@@ -485,6 +493,19 @@ def publish_increment(spark, sf_dir):
     return M.decode(published).select("audit_id", "operation_type", "changed_at", YEAR, *METRICS, COMPANY)
 
 
+@query
+def pages_to_sink(spark, sf_dir):
+    """Pages to facts, audit records, messages, and from those to the folded sink."""
+    root = fresh_dir(spark, "flow")
+    facts = H.facts_of(settle(H.read_statements(B.statement_pages(spark, sf_dir))))
+    audit = settle(A.audit_seed(facts, F.lit(CLOCK).cast("timestamp"), F.lit("loader")))
+    R.publish_increment(audit, f"{root}/mark", "parquet", path=f"{root}/records")
+    sink = ChangeLog(spark, f"{root}/table", SINK_MULTI, [YEAR, COMPANY], BAG)
+    _applied(spark, f"{root}/records", sink, root, company=True)
+    sink.fold()
+    return sink.read()
+
+
 # sinks
 
 
