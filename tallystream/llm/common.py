@@ -44,8 +44,12 @@ def portions(texts: Sequence[str], chars: int = PORTION_CHARS) -> Iterator[list[
         yield some
 
 
+#: Longer words are rarely seen again, and would hold unbounded memory.
+REMEMBERED_LENGTH = 64
+
+
 class Memo(dict):
-    """Results by word, filled by ``work`` and emptied when ``most`` are held."""
+    """Results by word, filled by ``work`` and emptied when ``most`` are held; long words pass through."""
 
     def __init__(self, work: Callable[[str], object], most: int = 400_000):
         super().__init__()
@@ -53,9 +57,11 @@ class Memo(dict):
         self._most = most
 
     def __missing__(self, word: str):
-        if len(self) >= self._most:
-            self.clear()
-        self[word] = found = self._work(word)
+        found = self._work(word)
+        if len(word) <= REMEMBERED_LENGTH:
+            if len(self) >= self._most:
+                self.clear()
+            self[word] = found
         return found
 
 

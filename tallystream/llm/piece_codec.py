@@ -139,20 +139,21 @@ class PieceEncoder:
         choices: list[list[str]] = [[c] for c in text]
         for last, piece in self._matches(text):  # at one start the longer ones come later
             choices[last - len(piece) + 1].append(piece)
-        fits, failed, at = self._fits, 0, 0
+        fits, failed, at = self._fits, bytearray(size // 8 + 1), 0  # a bit for each position
         path: list[str] = []
         tries = [len(choices[0]) - 1]
         while True:
             options, k = choices[at], tries[-1]
             while k >= 0:
                 piece = options[k]
-                if not failed >> (at + len(piece)) & 1 and (not path or fits[path[-1], piece]):
+                after = at + len(piece)
+                if not failed[after >> 3] >> (after & 7) & 1 and (not path or fits[path[-1], piece]):
                     break
                 k -= 1
             if k >= 0:
                 tries[-1] = k
                 path.append(piece)
-                at += len(piece)
+                at = after
                 if at == size:
                     return path
                 tries.append(len(choices[at]) - 1)
@@ -160,7 +161,7 @@ class PieceEncoder:
                 if not path:
                     raise ValueError("no sequence of pieces fits")
                 tries.pop()
-                failed |= 1 << at
+                failed[at >> 3] |= 1 << (at & 7)
                 at -= len(path.pop())
                 tries[-1] -= 1
 

@@ -14,6 +14,7 @@ import base64
 import binascii
 import re
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 
@@ -114,7 +115,7 @@ def _unicode(run: str) -> list[tuple[str, int]]:
 
 def _rewritten(layer: Layer, name: str, pattern: re.Pattern, undo) -> Layer | None:
     """The layer with all runs of one escape undone in place."""
-    text, parts, starts, ends, at = layer.text, [], [], [], 0
+    text, parts, starts, ends, at = layer.text, [], array("q"), array("q"), 0
     for m in pattern.finditer(text):
         parts.append(text[at : m.start()])
         starts.extend(range(at, m.start()))
@@ -134,7 +135,8 @@ def _rewritten(layer: Layer, name: str, pattern: re.Pattern, undo) -> Layer | No
     if layer.whole:
         return Layer("".join(parts), layer.below(name), whole=layer.whole)
     if layer.starts is not None:
-        starts, ends = [layer.starts[i] for i in starts], [layer.ends[i - 1] for i in ends]
+        starts = array("q", (layer.starts[i] for i in starts))
+        ends = array("q", (layer.ends[i - 1] for i in ends))
     return Layer("".join(parts), layer.below(name), starts=starts, ends=ends)
 
 
