@@ -98,61 +98,102 @@ def unpack_sequence(payload: bytes) -> tuple[int | None, np.ndarray]:
     return doc_id if known else None, np.frombuffer(payload, f"<u{width}", offset=_HEAD.size)
 
 
-# White space as the tokenizer's pattern takes it.
-_WS = "\t-\r \x85\xa0  -     　"
-_LOOSE = re.compile(f" (?:[{_WS}]|$)")
-_BOUNDARY = re.compile(f" (?=[^{_WS}])")
+# White space as the tokenizer's pattern takes it: ASCII, and other blocks.
+_ASCII_WS, _OTHER_WS = "\t-\r ", "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_ASCII_LOOSE = tuple(" " + c for c in "\t\n\x0b\x0c\r")
+_HAS_OTHER_WS = re.compile(f"[{_OTHER_WS}]")
+_BOUNDARY = re.compile(f" (?=[^{_ASCII_WS}{_OTHER_WS}])")
+#: Words that go to the library as one text.
+WORDS_TOGETHER = 2000
 
 
 class ByteLevelEncoder:
     """Ids of a byte-level tokenizer, by words.
 
     Its pattern always starts a new pre-token at a space that is followed by no white space, so
-    the stretches between such spaces encode independently. Each distinct stretch goes to the
-    library once while it is remembered; texts with special strings go there whole.
+    the stretches between such spaces encode independently. Each distinct one goes to the library
+    once while it is remembered, many in one text: a token that begins with a space begins a
+    stretch. Texts with special strings go there whole.
     """
 
-    def __init__(self, path: str, kept: int = 400_000):
+    def __init__(self, path: str, kept: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self._code = "H" if self.width == 2 else "I"
+        self._starts_word = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        self._starts_word[[n for token, n in self._tokenizer.get_vocab().items() if token.startswith(space)]] = True
         self._spaced: dict[str, bytes] = {}
         self._bare: dict[str, bytes] = {}
         self._kept = kept
 
-    def _pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self._code}", *ids)
-
-    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        missing = sorted(w for w in words if w not in known)
-        if missing:
-            found = self._tokenizer.encode_batch_fast([before + w for w in missing], add_special_tokens=False)
-            known.update(zip(missing, (self._pack(e.ids) for e in found)))
+    def pack(self, ids: list[int]) -> bytes:
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def _alone(self, text: str) -> bytes:
+        return self.pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _learn(self, missing: set[str]) -> None:
+        """Ids of words after a space."""
+        words = [w for w in missing if " " not in w]
+        groups = [words[lo : lo + WORDS_TOGETHER] for lo in range(0, len(words), WORDS_TOGETHER)]
+        texts = ["".join([" " + w for w in some]) for some in groups]
+        odd = [w for w in missing if " " in w]
+        for some, found in zip(groups, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids)
+            starts = np.flatnonzero(self._starts_word[ids])
+            if len(starts) != len(some):
+                odd += some
+                continue
+            packed, ends = self.pack(ids), (starts * self.width).tolist()
+            ends.append(len(packed))
+            self._spaced.update((w, packed[a:b]) for w, a, b in zip(some, ends, ends[1:]))
+        for word in odd:
+            self._spaced[word] = self._alone(" " + word)
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        words = text.split(" ")
+        if "" in words or any(p in text for p in _ASCII_LOOSE) or not text.isascii() and _HAS_OTHER_WS.search(text):
+            return _BOUNDARY.split(text)
+        return words
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         for known in (self._spaced, self._bare):
             if len(known) > self._kept:
                 known.clear()
-        split: list[list[str] | None] = []
-        for text in texts:
+        whole: dict[int, bytes] = {}
+        heads: list[str] = []
+        words: list[str] = []
+        ends = [0]
+        for n, text in enumerate(texts):
             if any(s in text for s in self._special):
-                split.append(None)
-            else:
-                split.append(_BOUNDARY.split(text) if _LOOSE.search(text) else text.split(" "))
-        self._learn(self._bare, {words[0] for words in split if words}, "")
-        self._learn(self._spaced, {w for words in split if words for w in words[1:]}, " ")
-        out = []
-        for text, words in zip(texts, split):
-            if words is None:
-                out.append(self._pack(self._tokenizer.encode(text, add_special_tokens=False).ids))
+                whole[n] = self._alone(text)
+                heads.append("")
             else:
-                first = self._bare[words[0]]
-                out.append(first + b"".join(map(self._spaced.__getitem__, words[1:])))
-        return out
+                split = self._split(text)
+                heads.append(split[0])
+                words += split[1:]
+            ends.append(len(words))
+        bare, spaced = self._bare, self._spaced
+        for head in heads:
+            if head and head not in bare:
+                bare[head] = self._alone(head)
+        ids = list(map(spaced.get, words))
+        missing, at = [], -1
+        for _ in range(ids.count(None)):
+            at = ids.index(None, at + 1)
+            missing.append(at)
+        self._learn({words[at] for at in missing})
+        for at in missing:
+            ids[at] = spaced[words[at]]
+        return [
+            whole[n] if n in whole else (bare[head] if head else b"") + b"".join(ids[ends[n] : ends[n + 1]])
+            for n, head in enumerate(heads)
+        ]
 
 
 @lru_cache(maxsize=2)
@@ -175,7 +216,7 @@ def write_records(documents: DataFrame, tokenizer: str, end_id: int, folder: str
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
-        end = encoder._pack([end_id])
+        end = encoder.pack([end_id])
         part = TaskContext.get().partitionId()
         system, path = _file(folder, part)
         attempt = f"{path}.{uuid.uuid4().hex}"
