@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from tallystream.llm.common import fields, portions, stored, text_or_empty
+from tallystream.llm.common import REMEMBERED_LENGTH, Memo, fields, portions, stored, text_or_empty
 from tallystream.session import fresh_dir
 
 _LENGTH, _CHECK, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BqB")
@@ -127,7 +127,7 @@ class ByteLevelEncoder:
         space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
         self._starts_word[[n for token, n in self._tokenizer.get_vocab().items() if token.startswith(space)]] = True
         self._spaced: dict[str, bytes] = {}
-        self._bare: dict[str, bytes] = {}
+        self._bare = Memo(self._alone, kept)
         self._kept = kept
 
     def pack(self, ids: list[int]) -> bytes:
@@ -162,9 +162,8 @@ class ByteLevelEncoder:
         return words
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        for known in (self._spaced, self._bare):
-            if len(known) > self._kept:
-                known.clear()
+        if len(self._spaced) > self._kept:
+            self._spaced.clear()
         whole: dict[int, bytes] = {}
         heads: list[str] = []
         words: list[str] = []
@@ -179,9 +178,6 @@ class ByteLevelEncoder:
                 words += split[1:]
             ends.append(len(words))
         bare, spaced = self._bare, self._spaced
-        for head in heads:
-            if head and head not in bare:
-                bare[head] = self._alone(head)
         ids = list(map(spaced.get, words))
         missing, at = [], -1
         for _ in range(ids.count(None)):
@@ -190,6 +186,8 @@ class ByteLevelEncoder:
         self._learn({words[at] for at in missing})
         for at in missing:
             ids[at] = spaced[words[at]]
+        for word in {words[at] for at in missing if len(words[at]) > REMEMBERED_LENGTH}:
+            del spaced[word]
         return [
             whole[n] if n in whole else (bare[head] if head else b"") + b"".join(ids[ends[n] : ends[n + 1]])
             for n, head in enumerate(heads)
