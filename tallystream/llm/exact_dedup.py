@@ -27,7 +27,9 @@ STATE_SETTINGS = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    # A store's memory goes when its task ends; the next batch, if any, opens it again.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     # Many small stores: no space is set aside for files that stay short.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }

@@ -37,6 +37,9 @@ _ESCAPE = 0xDC00
 _EACH_BYTE = "tallystream.each_byte"
 codecs.register_error(_EACH_BYTE, lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
+#: Words, and parts of words, whose ids a worker remembers.
+KEPT = 500_000
+
 RESULT = fields(
     ("n_tokens", T.LongType()),
     ("ids_sha256", T.StringType()),
@@ -106,7 +109,7 @@ class MergeModel:
 class PieceEncoder:
     """Ids of texts under a merge-type model."""
 
-    def __init__(self, path: str, kept: int = 500_000):
+    def __init__(self, path: str, kept: int = KEPT):
         self.model = model = MergeModel(path)
         automaton = ahocorasick.Automaton()
         for piece in model.ids:
@@ -114,11 +117,11 @@ class PieceEncoder:
                 automaton.add_word(piece, piece)
         automaton.make_automaton()
         self._matches = automaton.iter
-        self._fits = Memo(lambda pair: model.merge(pair[0] + pair[1]) == [*pair], 1_000_000)
+        self._fits = Memo(lambda pair: model.merge(pair[0] + pair[1]) == [*pair], 300_000)
         self._inside = {piece[i : i + 2] for piece in model.ids for i in range(len(piece) - 1)}
         #: No piece goes on with a space mark after another character, so words stand alone.
         self._words_apart = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self._inside)
-        self._packed = Memo(self._pack, 1_000_000)
+        self._packed = Memo(self._pack, 100_000)
         self._part = Memo(self._encode_part, kept)
         self._word = Memo(self._encode_word, kept)
         self._spaced = Memo(lambda word: self._encode_word(SPACE + word), kept)
@@ -235,8 +238,8 @@ class PieceDecoder:
 
 
 @lru_cache(maxsize=4)
-def _codec(path: str) -> tuple[PieceEncoder, PieceDecoder]:
-    return PieceEncoder(path), PieceDecoder(path)
+def _codec(path: str, kept: int = KEPT) -> tuple[PieceEncoder, PieceDecoder]:
+    return PieceEncoder(path, kept), PieceDecoder(path)
 
 
 def encode_pieces(text: Column, path: str) -> Column:
@@ -269,16 +272,16 @@ def decode_pieces(ids: Column, path: str) -> Column:
     return decode(ids)
 
 
-def piece_digests(documents: DataFrame, path: str) -> DataFrame:
+def piece_digests(documents: DataFrame, path: str, kept: int = KEPT) -> DataFrame:
     """Per row: doc_id, number of ids, digest of the ids, digest of the text decoded from them.
 
-    Null texts count as empty; every row of a repeated ``doc_id`` has its own result; other
+    ``kept`` bounds what a worker remembers, at the price of encoding more words again. Null texts count as empty; every row of a repeated ``doc_id`` has its own result; other
     columns are not read.
     """
 
     @F.pandas_udf(RESULT)
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder, decoder = _codec(path)
+        encoder, decoder = _codec(path, kept)
         begin, end = (np.array([n], "<u4").tobytes() for n in (encoder.model.begin, encoder.model.end))
         for batch in batches:
             rows = []
