@@ -37,8 +37,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Counts and digests of the ids, and of the texts decoded from them."""
-    return piece_digests(docs, vocabulary("piece_bpe_32k.model"))
+    """Counts and digests of the ids, and of the texts decoded from them.
+
+    Workers go on to other stages with what they remember, so it is less here.
+    """
+    return piece_digests(docs, vocabulary("piece_bpe_32k.model"), kept=150_000)
 
 
 STAGES = [
