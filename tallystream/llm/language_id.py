@@ -7,14 +7,16 @@ the sample: ``phrases * log2(sample size) / text size`` estimates the bits a cha
 the language with the fewest bits wins.
 
 The sample is bounded (``texts`` texts and ``chars`` characters a language), so the automata have a
-proven size, are built on the driver and broadcast as one transition table. Tasks parse many
-stretches of text at once, one character a step. Texts are parsed whole, in stretches of
+proven size, are built on the driver and broadcast as one hashed transition table, which grows with
+the transitions there are and not with the alphabet. Every letter of the samples is a symbol. Tasks
+parse many stretches of text at once, one character a step. Texts are parsed whole, in stretches of
 ``STRETCH`` characters; a phrase ends where its stretch does.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -91,7 +93,7 @@ class Alphabet:
 
     def __init__(self, letters: list[str]):
         self.letters = letters
-        points = np.full(0x110000, GAP, np.uint8)
+        points = np.full(0x110000, GAP, np.int32)
         alphabetic = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
         points[alphabetic] = STRANGE
         for n, letter in enumerate(letters):
@@ -167,56 +169,102 @@ def suffix_automaton(symbols: list[int | None]) -> list[dict[int, int]]:
     return edges
 
 
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Transitions:
+    """Where a state and a symbol lead, by open addressing; half of the slots stay free."""
+
+    def __init__(self, width: int, states: np.ndarray, symbols: np.ndarray, to: np.ndarray):
+        self.width = width
+        wanted = states * np.int64(width) + symbols
+        size = 2 * len(wanted) + 1
+        self.keys = np.full(size, -1, np.int64)
+        self.to = np.zeros(size, np.int32)
+        at = self._slots(wanted)
+        while len(wanted):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = wanted[free]
+            placed = self.keys[at] == wanted
+            self.to[at[placed]] = to[placed]
+            wanted, to, at = wanted[~placed], to[~placed], self._next(at[~placed])
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.view(np.uint64) * _MIX >> np.uint64(32)
+        return (mixed * np.uint64(len(self.keys)) >> np.uint64(32)).view(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        at = at + 1
+        at[at == len(self.keys)] = 0
+        return at
+
+    def follow(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The next states; 0 where there is none."""
+        wanted = (states * np.int64(self.width) + symbols).ravel()
+        at = self._slots(wanted)
+        there = self.keys.take(at)
+        same = there == wanted
+        out = self.to.take(at) * same
+        left = np.flatnonzero(~same & (there >= 0))
+        wanted, at = wanted[left], at[left]
+        while len(left):
+            at = self._next(at)
+            there = self.keys.take(at)
+            same = there == wanted
+            out[left[same]] = self.to[at[same]]
+            more = ~same & (there >= 0)
+            left, wanted, at = left[more], wanted[more], at[more]
+        return out.reshape(states.shape)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Languages, letters, and one transition table for all automata.
+    """Languages, letters, and the transitions of all automata.
 
-    A state is the place of its row in ``table``; row 0 has no transitions, so that a parse there
-    begins a phrase. ``first`` has, per language, where a phrase's first symbol leads.
+    State 0 has no transitions, so that a parse there begins a phrase. ``first`` has, per language,
+    where a phrase's first symbol leads.
     """
 
     languages: list[str]
     letters: list[str]
-    table: np.ndarray
+    table: Transitions
     first: np.ndarray
     bits: np.ndarray
 
 
 def learn(texts: dict[str, list[str]], bound: Sample) -> Model:
     lowered = {lang: [t.lower() for t in some] for lang, some in texts.items()}
-    counts: dict[str, int] = {}
-    for some in lowered.values():
-        for text in some:
-            for c in text:
-                if c.isalpha():
-                    counts[c] = counts.get(c, 0) + 1
-    letters = sorted(sorted(counts, key=lambda c: (-counts[c], c))[:253])
+    letters = sorted({c for some in lowered.values() for text in some for c in set(text) if c.isalpha()})
     alphabet = Alphabet(letters)
-    languages, rows, first, bits = [], 1, [], []
-    parts = [np.zeros((1, alphabet.size), np.int32)]
+    languages, rows, first, bits, empty = [], 1, [], [], []
+    states, labels, targets = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
     for lang in sorted(lowered):
         symbols: list[int | None] = []
         for text in lowered[lang]:
             if len(symbols) < bound.chars:
-                symbols += [*(s if s != STRANGE else None for s in alphabet.symbols(text).tolist()), None]
+                symbols += [*alphabet.symbols(text).tolist(), None]
         symbols = symbols[: bound.chars]
         if all(s is None or s == GAP for s in symbols):
+            empty.append(lang)
             continue
         edges = suffix_automaton(symbols)
-        part = np.zeros((len(edges), alphabet.size), np.int32)
-        for state, out in enumerate(edges):
-            for symbol, to in out.items():
-                part[state, symbol] = (rows + to) * alphabet.size
-        parts.append(part)
+        count = sum(map(len, edges))
+        states.append(rows + np.repeat(np.arange(len(edges)), np.fromiter(map(len, edges), np.int64, len(edges))))
+        labels.append(np.fromiter((s for out in edges for s in out), np.int64, count))
+        targets.append(rows + np.fromiter((to for out in edges for to in out.values()), np.int32, count))
+        begin = np.zeros(alphabet.size, np.int32)
+        begin[list(edges[0])] = [rows + to for to in edges[0].values()]
         languages.append(lang)
-        first.append(part[0])
+        first.append(begin)
         bits.append(math.log2(max(2, len(symbols))))
         rows += len(edges)
+    if empty:
+        warnings.warn(f"no letter in the samples of {empty}; these labels are not learned", stacklevel=2)
     width = alphabet.size
     return Model(
         languages,
         letters,
-        np.concatenate(parts).ravel(),
+        Transitions(width, *map(np.concatenate, (states, labels, targets))),
         np.array(first, np.int32).reshape(len(languages), width),
         np.array(bits),
     )
@@ -249,7 +297,7 @@ class Parser:
         for step in range(int(size[0])):
             n = int(active[step])
             symbol = joined[start[:n] + step]
-            to = model.table.take(state[:, :n] + symbol)
+            to = model.table.follow(state[:, :n], symbol)
             ended = to == 0
             count[:, :n] += ended
             state[:, :n] = np.where(ended, model.first[:, symbol], to)

@@ -334,6 +334,35 @@ def test_languages_of_held_out_rows(spark):
         predict_languages(docs, Sample(languages=1, texts=4))
 
 
+def test_every_letter_of_every_script_is_learned():
+    import random
+
+    random.seed(9)
+
+    def prose(letters, n):
+        return " ".join("".join(random.choices(letters, k=6)) for _ in range(n))
+
+    scripts = {f"s{k:02d}": [chr(c) for c in range(lo, lo + 30)] for k, lo in enumerate(
+        (0x430, 0x561, 0x5D0 - 3, 0x627, 0x905, 0x985, 0xA05, 0xB85, 0xC05, 0xE01, 0x10D0, 0x1200, 0x13A0 - 32, 0x1780)
+    )}
+    scripts = {lang: [c for c in some if c.isalpha() and c == c.lower()] for lang, some in scripts.items()}
+    scripts["zh"] = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    scripts["ja"] = [chr(c) for c in range(0x3041, 0x3097)] + scripts["zh"][:200]
+    samples = {lang: [prose(some, 3 if lang == "s13" else 200)] for lang, some in scripts.items()}
+    model = learn(samples, Sample())
+    assert model.languages == sorted(scripts)
+    assert set("".join(t for some in samples.values() for t in some)) - {" "} <= set(model.letters)
+    parser = Parser(model)
+    for lang, some in samples.items():
+        (found, score, _), = parser.identify([some[0][:14]])
+        assert found == lang and score > 0
+    # Without any break a text of the sample is one phrase a stretch.
+    text = samples["zh"][0]
+    assert parser.phrases([parser.alphabet.symbols(text[:1000])])[0, model.languages.index("zh")] == 1
+    with pytest.warns(UserWarning, match="'none'"):
+        assert learn({"a": ["abc"], "none": ["1 2 3"]}, Sample()).languages == ["a"]
+
+
 def test_odd_letters():
     alphabet = Alphabet(["a"])
     assert alphabet.symbols("A1a..日").tolist() == [2, 1, 2, 1, 0]
