@@ -341,6 +341,12 @@ def identify_language(text, model_of, key: str):
     return identify(F.coalesce(text, F.lit("")))
 
 
+@F.pandas_udf(T.BooleanType())
+def has_letter(texts: pd.Series) -> pd.Series:
+    """Whether language identification sees a letter; false for null."""
+    return texts.map(lambda t: t is not None and any(map(str.isalpha, t.lower()))).astype(bool)
+
+
 def learned(documents: DataFrame, bound: Sample = Sample()):
     """Broadcast model of a table's labelled rows, and its name in the workers."""
     model = learn(sample_texts(documents, bound), bound)
@@ -363,8 +369,15 @@ def predict_languages(documents: DataFrame, bound: Sample = Sample()) -> DataFra
 
 def keep_identified(documents: DataFrame, bound: Sample = Sample(), most_bits: float | None = None) -> DataFrame:
     """Rows whose language is found, with all their columns; ``und`` goes, and with ``most_bits``
-    also what is that unlike every learned language."""
+    also what is that unlike every learned language.
+
+    Where nothing could be learned, no language can be told from another: all rows whose text has a
+    letter stay, whatever ``most_bits``, and a warning says so.
+    """
     model, key = learned(documents, bound)
+    if not model.value.languages:
+        warnings.warn("no label could be learned; all documents with a letter are kept", stacklevel=2)
+        return documents.where(has_letter(F.col("text")))
     rows = documents.select(
         F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("whole"),
         identify_language(F.col("text"), model, key).alias("r"),

@@ -334,6 +334,23 @@ def test_languages_of_held_out_rows(spark):
         predict_languages(docs, Sample(languages=1, texts=4))
 
 
+def test_nothing_learned_keeps_what_has_letters(spark):
+    texts = [(0, "abc"), (1, None), (2, ""), (3, "12 !?"), (4, "日本"), (5, "é"), (None, "no id"), (6, "½²")]
+    held = [n for n in range(100) if zlib.crc32(str(n).encode()) % 5 == 0][:2]
+    for docs in (
+        C.documents(spark, texts).withColumn("lang", F.lit(None).cast("string")),
+        spark.createDataFrame([(held[0], "abc", "en"), (held[1], "12", "fr"), (None, "x", "en")], "doc_id long, text string, lang string"),
+        spark.createDataFrame([(1, "12 3", "en"), (2, "", "fr"), (3, "abc", None)], "doc_id long, text string, lang string"),
+    ):
+        want = sorted(str(r.doc_id) for r in docs.collect() if any(map(str.isalpha, r.text or "")))
+        assert want
+        for most in (None, 1.0):
+            with pytest.warns(UserWarning, match="no label"):
+                left = keep_identified(docs, most_bits=most)
+            assert left.columns == docs.columns
+            assert sorted(str(r.doc_id) for r in left.collect()) == want
+
+
 def test_every_letter_of_every_script_is_learned():
     import random
 
