@@ -1,8 +1,9 @@
 """Secrets in texts, also below layers of encoding.
 
 Three kinds are looked for in the text as it stands (*base* spans). Then a worklist unwraps what
-is encoded in it: percent escapes and Unicode escapes are undone in place, base64 runs that hold
-text or compressed data become layers of their own, compressed data are inflated. Every layer is
+is encoded in it: percent escapes and Unicode escapes are undone in place, base64 runs become layers
+of their own at each of four alignments, so that what stands in front of a code doesn't hide it, and
+compressed data that begin anywhere in them are inflated. Every layer is
 scanned and unwrapped again until nothing new comes out; a layer that has been seen for the same
 place in the document is not taken up again, which ends cycles. What a layer holds is reported
 with the span of the original text that it comes from, in code points.
@@ -11,7 +12,6 @@ with the span of the original text that it comes from, in code points.
 from __future__ import annotations
 
 import base64
-import binascii
 import re
 import zlib
 from array import array
@@ -36,7 +36,8 @@ _HEX = re.compile("[0-9a-f]{32,}")
 _PERCENT = re.compile("(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}")
 _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
-_CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+#: How gzip and zlib data (without a dictionary) begin.
+_COMPRESSED = re.compile(b"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78]", re.DOTALL)
 _URL_SAFE = str.maketrans("-_", "+/")
 #: Inflated data are scanned in stretches of this size, each beginning with the end of the last.
 INFLATE_BYTES, OVERLAP_CHARS = 8 << 20, 1 << 16
@@ -157,14 +158,23 @@ def _inflated(data: bytes) -> Iterator[str]:
         return
 
 
-def _base64(run: str) -> bytes | None:
+def _base64(run: str) -> Iterator[bytes]:
+    """What a run holds from each alignment on. A code that begins after other base64 characters is
+    whole in one of them; a last character that makes no byte is left."""
     bare = run.rstrip("=").translate(_URL_SAFE)
-    if len(bare) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(bare + "=" * (-len(bare) % 4))
-    except binascii.Error:
-        return None
+    for skip in range(4):
+        size = len(bare) - skip
+        part = bare[skip : len(bare) - (size % 4 == 1)]
+        if data := base64.b64decode(part + "=" * (-len(part) % 4)):
+            yield data
+
+
+def _compressed(data: bytes) -> Iterator[str]:
+    """Text of the compressed data that begin anywhere in ``data``."""
+    for m in _COMPRESSED.finditer(data):
+        at = m.start()
+        if len(m.group()) > 1 or at + 1 < len(data) and (data[at] << 8 | data[at + 1]) % 31 == 0 and not data[at + 1] & 32:
+            yield from _inflated(memoryview(data)[at:])
 
 
 def unwrapped(layer: Layer) -> Iterator[Layer]:
@@ -175,18 +185,14 @@ def unwrapped(layer: Layer) -> Iterator[Layer]:
     if "\\" in text and (below := _rewritten(layer, "unicode", _ESCAPE, _unicode)):
         yield below
     for m in _BASE64.finditer(text):
-        data = _base64(m.group())
-        if not data:
-            continue
         place = layer.origin(m.start(), m.end())
-        if data[:2] == b"\x1f\x8b" or data[0] == 0x78 and (data[0] << 8 | data[1]) % 31 == 0:
-            for inside in _inflated(data):
+        for data in _base64(m.group()):
+            for inside in _compressed(data):
                 yield Layer(inside, layer.below("base64>compressed"), whole=place)
-        try:
-            inside = data.decode()
-        except UnicodeDecodeError:
-            continue
-        if not _CONTROL.search(inside):
+            try:
+                inside = data.decode()
+            except UnicodeDecodeError:
+                inside = data.decode("latin-1")
             yield Layer(inside, layer.below("base64"), whole=place)
 
 

@@ -251,6 +251,34 @@ def test_wrapped_secrets_map_to_what_wraps_them(wrapped, layers):
     assert found[0][2] <= end and found[0][2] > start + len(wrapped) // 2
 
 
+@pytest.mark.parametrize("prefix", ["https://ex.com/reset/", "/", "sess_", "id-", "com/a/b/", "ab", "k=x/yz-", "abcdefghijklm"])
+@pytest.mark.parametrize(
+    "payload,layers",
+    [
+        (INNER.encode(), "base64"),
+        (b"\xff\xfe\x00" + INNER.encode() + b"\x00\x01\x80", "base64"),
+        (b"\x07" + INNER.encode(), "base64"),
+        (_b64(INNER).encode(), "base64>base64"),
+        (gzip.compress(INNER.encode()), "base64>compressed"),
+        (zlib.compress(INNER.encode()), "base64>compressed"),
+    ],
+)
+def test_what_stands_before_a_code_does_not_hide_it(prefix, payload, layers):
+    for code in (_b64(payload), base64.urlsafe_b64encode(payload).decode().rstrip("=")):
+        found = scan(f"é see {prefix}{code} after")
+        start = 6 + len(prefix)
+        assert [(s[0], s[3]) for s in found] == [("assign", layers)]
+        assert found[0][1] <= start and found[0][2] == start + len(code)
+
+
+def test_binary_base64_without_secrets():
+    import random
+
+    data = random.Random(4).randbytes(300_000)
+    assert scan(_b64(data)) == []
+    assert scan("A" * 300_000) == [] and scan("a/" * 100_000) == []
+
+
 def test_escapes_inside_a_secret_and_cycles():
     text = "a pass%77ord=abcdefgh12 b"
     assert [(k, text[s:e]) for k, s, e, _ in scan(text)] == [("assign", "pass%77ord=abcdefgh12")]
