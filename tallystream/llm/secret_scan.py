@@ -3,10 +3,10 @@
 Three kinds are looked for in the text as it stands (*base* spans). Then a worklist unwraps what
 is encoded in it: percent escapes and Unicode escapes are undone in place, base64 runs become layers
 of their own at each of four alignments, so that what stands in front of a code doesn't hide it, and
-compressed data that begin anywhere in them are inflated. Every layer is
-scanned and unwrapped again until nothing new comes out; a layer that has been seen for the same
-place in the document is not taken up again, which ends cycles. What a layer holds is reported
-with the span of the original text that it comes from, in code points.
+compressed data that begin anywhere in them, or in the bytes of percent and ``\\x`` escapes, are
+inflated. Every layer is scanned and unwrapped again until nothing new comes out; a layer that has
+been seen for the same place in the document is not taken up again, which ends cycles. What a layer
+holds is reported with the span of the original text that it comes from, in code points.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import re
 import zlib
 from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -39,7 +39,15 @@ _BASE64 = re.compile("[A-Za-z0-9+/_-]{16,}={0,2}")
 #: How gzip and zlib data (without a dictionary) begin.
 _COMPRESSED = re.compile(b"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78]", re.DOTALL)
 _URL_SAFE = str.maketrans("-_", "+/")
-#: Inflated data are scanned in stretches of this size, each beginning with the end of the last.
+#: Runs that may be bytes in escapes, and what makes one byte of them.
+_BYTES = {
+    "percent": ("%", re.compile("[A-Za-z0-9%_.~!*'()$,;:@/+-]+"), re.compile("%([0-9A-Fa-f]{2})|([^\n])")),
+    "unicode": ("\\x", re.compile("[\x20-\x7e]+"), re.compile(r"\\x([0-9A-Fa-f]{2})|(\\[abfnrtv0\\'\"]|[^\n])")),
+}
+_SHORT = {f"\\{c}": ord(b) for c, b in zip("abfnrtv0\\'\"", "\a\b\f\n\r\t\v\0\\'\"")}
+_RUN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\{}"
+#: Inflated data are scanned in stretches of this size, each beginning with the end of the last:
+#: so many characters, and the whole of a run that may be a code and is not over.
 INFLATE_BYTES, OVERLAP_CHARS = 8 << 20, 1 << 16
 
 SPANS = T.ArrayType(
@@ -141,21 +149,33 @@ def _rewritten(layer: Layer, name: str, pattern: re.Pattern, undo) -> Layer | No
     return Layer("".join(parts), layer.below(name), starts=starts, ends=ends)
 
 
-def _inflated(data: bytes) -> Iterator[str]:
-    """Text of zlib or gzip data, in overlapping stretches; ends where the data are damaged."""
-    machine, tail = zlib.decompressobj(47), ""
-    try:
-        while data and not machine.eof:
-            out = machine.decompress(data, INFLATE_BYTES)
-            data = machine.unconsumed_tail
-            if out:
-                text = tail + out.decode("utf-8", "replace")
+def _inflated(data: bytes | memoryview) -> Generator[str, None, int]:
+    """Text of zlib or gzip data, member after member, in overlapping stretches; ends where the data
+    are damaged. Returns the size of the members that are whole."""
+    size, whole, held = len(data), 0, [""]
+    while len(data):
+        machine = zlib.decompressobj(47)
+        while not machine.eof:
+            try:
+                out = machine.decompress(data, INFLATE_BYTES)
+            except zlib.error:
+                out, data, broken = b"", b"", True
+            else:
+                data, broken = machine.unused_data if machine.eof else machine.unconsumed_tail, False
+            part = out.decode("utf-8", "replace")
+            if len(data) and not part.rstrip(_RUN):
+                held.append(part)
+                continue
+            if part or len(held) > 1:
+                text = "".join([*held, part])
                 yield text
-                tail = text[-OVERLAP_CHARS:] if data else ""
-            elif not data:
+                held = [text[-max(OVERLAP_CHARS, len(part) - len(part.rstrip(_RUN))) :]]
+            if broken or not out and not len(data):
                 break
-    except zlib.error:
-        return
+        if not machine.eof:
+            break
+        whole = size - len(data)
+    return whole
 
 
 def _base64(run: str) -> Iterator[bytes]:
@@ -169,12 +189,45 @@ def _base64(run: str) -> Iterator[bytes]:
             yield data
 
 
-def _compressed(data: bytes) -> Iterator[str]:
-    """Text of the compressed data that begin anywhere in ``data``."""
-    for m in _COMPRESSED.finditer(data):
+def _compressed(data: bytes) -> Iterator[tuple[str, int]]:
+    """Text of the compressed data that begin anywhere in ``data``, and where."""
+    at = 0
+    while m := _COMPRESSED.search(data, at):
         at = m.start()
         if len(m.group()) > 1 or at + 1 < len(data) and (data[at] << 8 | data[at + 1]) % 31 == 0 and not data[at + 1] & 32:
-            yield from _inflated(memoryview(data)[at:])
+            size, texts = 0, _inflated(memoryview(data)[at:])
+            while True:
+                try:
+                    text = next(texts)
+                except StopIteration as over:
+                    size = over.value
+                    break
+                yield text, at
+            at += max(1, size)
+        else:
+            at += 1
+
+
+def _escaped(layer: Layer, name: str) -> Iterator[Layer]:
+    """Compressed data whose bytes are escaped, or stand as they are between escapes."""
+    mark, runs, byte = _BYTES[name]
+    for m in runs.finditer(layer.text):
+        run = m.group()
+        if mark not in run:
+            continue
+        data, starts = bytearray(), array("q")
+        for unit in byte.finditer(run):
+            starts.append(m.start() + unit.start())
+            plain = unit.group(2)
+            data.append(int(unit.group(1), 16) if plain is None else _SHORT[plain] if len(plain) > 1 else ord(plain))
+        starts.append(m.end())
+        tries = [bytes(data)]
+        if name == "percent" and "+" in run:  # a space in forms
+            tries.append(bytes(32 if run[at - m.start()] == "+" else b for b, at in zip(data, starts)))
+        for some in tries:
+            for inside, at in _compressed(some):
+                place = layer.origin(starts[at], starts[-1])
+                yield Layer(inside, layer.below(f"{name}>compressed"), whole=place)
 
 
 def unwrapped(layer: Layer) -> Iterator[Layer]:
@@ -184,10 +237,13 @@ def unwrapped(layer: Layer) -> Iterator[Layer]:
         yield below
     if "\\" in text and (below := _rewritten(layer, "unicode", _ESCAPE, _unicode)):
         yield below
+    for name, (mark, _, _) in _BYTES.items():
+        if mark in text:
+            yield from _escaped(layer, name)
     for m in _BASE64.finditer(text):
         place = layer.origin(m.start(), m.end())
         for data in _base64(m.group()):
-            for inside in _compressed(data):
+            for inside, _ in _compressed(data):
                 yield Layer(inside, layer.below("base64>compressed"), whole=place)
             try:
                 inside = data.decode()

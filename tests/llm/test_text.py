@@ -271,6 +271,31 @@ def test_what_stands_before_a_code_does_not_hide_it(prefix, payload, layers):
         assert found[0][1] <= start and found[0][2] == start + len(code)
 
 
+def test_compressed_layers_are_whole():
+    import random
+
+    two = gzip.compress(b"nothing here, pass") + gzip.compress(f"word=abcdefgh12 {INNER}".encode()) + gzip.compress(b"end")
+    code = _b64(two)
+    assert [(k, s, e, how) for k, s, e, how in scan(f"a {code} b")] == [("assign", 2, 2 + len(code), "base64>compressed")]
+    spaced = zlib.compress(("    " + INNER + "  +  ").encode(), 0)
+    for data in (gzip.compress(INNER.encode()), zlib.compress(INNER.encode()), two, spaced):
+        for wrapped, name in (
+            (urllib.parse.quote(data, safe=""), "percent"),
+            (urllib.parse.quote_plus(data, safe=""), "percent"),
+            ("".join(f"%{b:02x}" for b in data), "percent"),
+            ("".join(f"\\x{b:02x}" for b in data), "unicode"),
+            (repr(data)[2:-1], "unicode"),
+        ):
+            found = [f for f in scan(f"é see {wrapped} after") if f[3].endswith("compressed")]
+            assert [(f[0], f[3]) for f in found] == [("assign", f"{name}>compressed")], (wrapped, found)
+            assert found[0][1] == 6 and found[0][2] >= 6 + len(wrapped)
+    # An encoded run across the end of a stretch, longer than the overlap.
+    inner = _b64(gzip.compress(random.Random(1).randbytes(150_000) + f" {INNER} ".encode(), 0))
+    body = b"z " * ((4 << 20) - 50_000) + inner.encode() + b" z" * 100
+    big = _b64(gzip.compress(body, 1))
+    assert [f[0] for f in scan(big)] == ["assign"]
+
+
 def test_binary_base64_without_secrets():
     import random
 
