@@ -23,10 +23,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write once into the shared folder and read again: lineage is cut and files can be located."""
+def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """Write once into the shared folder and read again: lineage is cut and files can be located.
+
+    ``by`` are columns that name folders, so that a filter on them reads its folders only.
+    """
     where = fresh_dir(df.sparkSession, label)
-    df.write.parquet(where)
+    df.write.partitionBy(*by).parquet(where) if by else df.write.parquet(where)
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 

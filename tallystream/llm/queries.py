@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallystream.llm.best_fit import pack_documents
 from tallystream.llm.chat_format import conversation_digests, format_conversations
 from tallystream.llm.common import table, vocabulary
 from tallystream.llm.decontaminate import contamination
 from tallystream.llm.exact_dedup import exact_groups
+from tallystream.llm.hard_negatives import hard_negatives
 from tallystream.llm.jaccard_join import near_groups
 from tallystream.llm.language_id import predict_languages
+from tallystream.llm.phrase_mining import collocations
 from tallystream.llm.piece_codec import piece_digests
 from tallystream.llm.secret_scan import scan_secrets, span_digests
 from tallystream.llm.substring_dedup import remove_repeats
@@ -174,3 +177,60 @@ def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
+
+
+@query
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrase_mining"] = r"""
+with doc as (select row_number() over () d, coalesce(lang, 'und') lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+piece as (select lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') w from doc),
+total as (select lang, cast(sum(len(w)) as bigint) n from piece group by 1),
+gram as (select lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') phrase
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) i from piece, range(1, 6) t(k) where len(w) >= k)),
+often as (select lang, k size, phrase, count(*) a from gram group by all having count(*) >= 100),
+cut as (select o.lang, o.phrase, o.size, o.a, k, array_to_string(list_slice(string_split(o.phrase, ' '), 1, k), ' ') p,
+    array_to_string(list_slice(string_split(o.phrase, ' '), k + 1, o.size), ' ') q
+  from (select *, unnest(range(1, size)) k from often where size > 1) o),
+score as (select c.lang, c.phrase, c.a, c.k, x.a l, y.a r, n,
+    cast((1000::hugeint * c.a * n) // (x.a::hugeint * y.a) as bigint) score
+  from cut c join often x on x.lang = c.lang and x.phrase = c.p join often y on y.lang = c.lang and y.phrase = c.q
+  join total on total.lang = c.lang),
+low as (select * from score qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+inner_phrase as (select lang, a, array_to_string(list_slice(string_split(phrase, ' '), i, i + k - 1), ' ') phrase
+  from (select lang, phrase, size, a, k, unnest(range(1, size - k + 2)) i from often, range(2, 5) t(k) where size > k)),
+kept as (select low.* from low where not exists (
+  select 1 from inner_phrase i where i.lang = low.lang and i.phrase = low.phrase and 100 * i.a >= 100 * low.a))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) "rank", phrase, a, l, r, n, score
+from kept qualify "rank" <= 2000
+"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), every=100, label=label)
+
+
+ORACLES["op12_hard_negatives"] = r"""
+with vec as (select row_number() over () u, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end lab,
+    [floor(256 * cast(x as double)) for x in embedding] v
+  from embeddings where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+pair as (select a.u, a.vec_id anchor_id, a.lab = b.lab same, b.vec_id, b.u other, cast(list_inner_product(a.v, b.v) as bigint) s
+  from vec a join vec b on a.u <> b.u where a.vec_id % 100 = 0),
+positive as (select *, row_number() over (partition by u order by s desc, vec_id nulls last, other) n from pair where same qualify n <= 5),
+negative as (select p.u, p.anchor_id, p.n, p.vec_id positive_id, p.s positive_score, q.vec_id negative_id, q.s negative_score,
+    row_number() over (partition by p.u, p.n order by q.s desc, q.vec_id nulls last, q.other) k
+  from positive p join pair q on p.u = q.u and not q.same
+  where 80 * p.s <= 100 * q.s and 100 * q.s <= 100 * p.s qualify k <= 5)
+select anchor_id, positive_id, cast(k as integer) "rank", negative_id, positive_score, negative_score from negative
+"""
+
+
+@query
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
