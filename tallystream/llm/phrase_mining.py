@@ -7,12 +7,15 @@ threshold, and until the scan has come back to where it began: one full cycle, s
 is complete. Lengths are thus counted side by side, and the scan ends when the last
 cycle does.
 
-Counters are slots of a table of fixed size, found by a hash of language and words. A slot's count
-is never less than that of any of its phrases, so no frequent phrase is missed; phrases that share
-a slot may let an infrequent one through. One last scan therefore counts the phrases of full slots
-by their very words, exactly. The table bounds what is broadcast, what a task holds and what the
-driver sums up, however large the corpus is; a smaller table costs work in the last scan, never
-a result.
+Counters are slots of two tables of fixed size, in which a phrase is found by two hashes of language
+and words. Either slot's count is never less than that of any of its phrases, so no frequent phrase is
+missed; an infrequent one gets through only if it shares both slots with others that fill them. One last
+scan therefore counts the phrases of full slots by their very words, exactly. The tables bound what
+is broadcast, what a task holds and what the driver sums up, however large the corpus is; smaller
+tables cost work in the last scan, never a result.
+
+Texts are split into words once and written down as portions: the portion's distinct words, their
+hashes, and the text as numbers of those words. The scans read the numbers only.
 
 Texts are lower-cased (A to Z) and split into pieces and words by byte. A null text has no words, a
 null language is ``und``. Repeated rows count as often as they are there. Scores are exact in
@@ -29,7 +32,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallystream.llm.common import stored
@@ -43,47 +46,39 @@ _BYTES = bytes(
 NEVER = 255
 #: Slots whose counts travel together.
 RUN = 1 << 16
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
 class Counting:
     """``threshold`` occurrences make a phrase frequent; phrases have up to ``longest`` words.
 
-    ``shards`` are scanned in turn; the table has 2 ** ``slot_bits`` slots. Texts are worked on in
-    portions of ``portion_bytes``; hashes of ``kept_words`` words are remembered by a task.
+    ``shards`` are scanned in turn; each of two tables has 2 ** ``slot_bits`` slots. Portions have about
+    ``portion_bytes`` of text; a task counts up to ``kept_phrases`` phrases before it hands them on.
     """
 
     threshold: int = 100
     longest: int = 5
     shards: int = 4
     slot_bits: int = 23
-    portion_bytes: int = 4 << 20
-    kept_words: int = 500_000
+    portion_bytes: int = 2 << 20
+    kept_phrases: int = 500_000
 
     def __post_init__(self):
-        # Steps are kept in a byte. Every length may take one cycle more than the one before.
-        if self.shards * (self.longest + 1) >= NEVER or self.longest < 2 or self.threshold < 1:
+        # Steps are kept in a byte.
+        if not 0 < self.shards < 20 or self.longest < 2 or self.threshold < 1 or self.slot_bits < 1:
             raise ValueError("too many shards, or a limit too small")
 
 
-class _Hashes(dict):
-    """Hash of each word, remembered."""
+class _Codes(dict):
+    """Number of each word in order of appearance; 0 is the end mark."""
 
-    def __init__(self, most: int):
+    def __init__(self):
         super().__init__({_END: 0})
-        self._most = most
 
     def __missing__(self, word: bytes) -> int:
-        found = xxhash.xxh64_intdigest(word) or 1  # 0 is the end mark
-        if len(self) < self._most:
-            self[word] = found
-        return found
-
-    def renew(self) -> None:
-        if len(self) >= self._most:
-            self.clear()
-            self[_END] = 0
+        self[word] = code = len(self)
+        return code
 
 
 def words_of(texts: list[bytes]) -> list[bytes]:
@@ -92,7 +87,7 @@ def words_of(texts: list[bytes]) -> list[bytes]:
     return joined.replace(_END, b" \xff ").split()
 
 
-def _portions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[bytes]]]:
+def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[bytes]]]:
     """Texts of one language, about ``size`` bytes together; of all, twice that are held at most."""
     held: dict[str, tuple[list[bytes], int]] = {}
     total = 0
@@ -113,27 +108,64 @@ def _portions(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[st
         yield lang, some
 
 
+_PORTION = "lang string, words binary, hashes binary, width int, codes binary, shard int"
+
+
+def portions_of(documents: DataFrame, counting: Counting) -> DataFrame:
+    """Stored portions of the texts (columns lang and text, not null), dealt to shards in turn."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId()
+        for lang, texts in _gathered(batches, counting.portion_bytes):
+            words, numbers = words_of(texts), _Codes()
+            codes = np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words))
+            distinct = list(numbers)[1:]
+            width = 2 if len(distinct) < 1 << 16 else 4
+            hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct], np.uint64)
+            shard += 1
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "lang": pa.array([lang], pa.string()),
+                    "words": pa.array([_END.join(distinct)], pa.binary()),
+                    "hashes": pa.array([hashes.tobytes()], pa.binary()),
+                    "width": pa.array([width], pa.int32()),
+                    "codes": pa.array([codes.astype(f"<u{width}").tobytes()], pa.binary()),
+                    "shard": pa.array([shard % counting.shards], pa.int32()),
+                }
+            )
+
+    return stored(documents.select("lang", "text").mapInArrow(encode, _PORTION), "phrase-portions", "shard")
+
+
 class Slots:
     """Slots of the phrases of a portion, for one length after the other."""
 
-    def __init__(self, lang: str, words: list[bytes], hashes: _Hashes, counting: Counting):
+    def __init__(self, lang: str, hashes: np.ndarray, codes: np.ndarray, counting: Counting):
         self.counting = counting
-        self._words = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-        inside = self._words != 0
+        self._words = np.concatenate(([np.uint64(0)], hashes))[codes]
+        self._inside = codes != 0
         self._so_far = (self._words ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))) * _MIX
         #: Where a phrase of the present length begins.
-        self.starts = np.flatnonzero(inside)
-        self._inside = inside
+        self.starts = np.flatnonzero(self._inside)
         self.length = 1
         self.slots = self._slots()
 
     def _slots(self) -> np.ndarray:
+        """Two rows: a slot of the first table and one of the second, which lies behind it."""
         h = self._so_far[self.starts]
-        h = (h ^ (h >> np.uint64(29))) * _MIX
         bits = np.uint64(64 - self.counting.slot_bits + 1)
         # The longest phrases have slots of their own: nothing grows from them.
-        last = self.length == self.counting.longest
-        return ((h >> bits << np.uint64(1)) | np.uint64(last)).astype(np.int64)
+        last = np.uint64(self.length == self.counting.longest)
+        both = np.empty((2, len(h)), np.int64)
+        for row, mix in enumerate((_MIX, _MIX_2)):
+            h = (h ^ (h >> np.uint64(29))) * mix
+            both[row] = (h >> bits << np.uint64(1)) | last
+        both[1] += 1 << self.counting.slot_bits
+        return both
+
+    def reached(self, table: np.ndarray) -> np.ndarray:
+        """When each phrase's slots had both reached the threshold."""
+        return np.maximum(table[self.slots[0]], table[self.slots[1]])
 
     def grow(self, reached: np.ndarray) -> np.ndarray | None:
         """On to phrases of one word more.
@@ -157,9 +189,17 @@ class Slots:
         return both
 
 
+def _opened(batches: Iterator[pa.RecordBatch], counting: Counting) -> Iterator[tuple[dict, Slots]]:
+    for batch in batches:
+        for n in range(batch.num_rows):
+            row = {c: batch.column(c)[n].as_py() for c in batch.schema.names}
+            row["codes"] = np.frombuffer(row["codes"], f"<u{row['width']}")
+            yield row, Slots(row["lang"], np.frombuffer(row["hashes"], "<u8"), row["codes"], counting)
+
+
 def _scan(shard: DataFrame, step: int, reached: Broadcast, counting: Counting) -> DataFrame:
     """Counts that one scan adds to the slots: one row per task and run of slots."""
-    size = 1 << counting.slot_bits
+    size = 2 << counting.slot_bits
     run = min(size, RUN)
     kind = np.min_scalar_type(counting.threshold)
 
@@ -168,19 +208,17 @@ def _scan(shard: DataFrame, step: int, reached: Broadcast, counting: Counting) -
         return zlib.compress(np.minimum(sums, counting.threshold).astype(kind).tobytes(), 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, table = _Hashes(counting.kept_words), reached.value
-        counts = np.zeros(size, np.uint32)
-        for lang, texts in _portions(batches, counting.portion_bytes):
-            hashes.renew()
-            phrases = Slots(lang, words_of(texts), hashes, counting)
+        table, counts = np.frombuffer(zlib.decompress(reached.value), np.uint8), np.zeros(size, np.uint32)
+        for _, phrases in _opened(batches, counting):
             since = np.zeros(len(phrases.starts), np.int16)
             while True:
                 # Counted from the scan after ``since`` on, for one cycle; words from the first scan on.
                 active = (since <= step) & (step < since + counting.shards)
-                np.add.at(counts, phrases.slots[active], 1)
+                for slots in phrases.slots:
+                    np.add.at(counts, slots[active], 1)
                 if phrases.length == counting.longest:
                     break
-                later = phrases.grow(table[phrases.slots])
+                later = phrases.grow(phrases.reached(table))
                 if later is None:
                     break
                 since = later.astype(np.int16) + 1
@@ -192,14 +230,15 @@ def _scan(shard: DataFrame, step: int, reached: Broadcast, counting: Counting) -
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(zlib.decompress(data), kind).astype(np.uint64)
-                sums[n] = sums[n] + part if n in sums else part
+                part = np.frombuffer(zlib.decompress(data), kind).astype(np.uint32)
+                sums[n] = np.minimum(sums[n] + part, counting.threshold) if n in sums else part
         runs = sorted(sums)
         data = [packed(sums[n]) for n in runs]
         yield pa.RecordBatch.from_pydict({"run": pa.array(runs, pa.int32()), "counts": pa.array(data, pa.binary())})
 
     layout = "run int, counts binary"
-    return shard.mapInArrow(count, layout).repartition("run").mapInArrow(add, layout)
+    scanned = shard.select("lang", "hashes", "width", "codes").mapInArrow(count, layout)
+    return scanned.repartition("run").mapInArrow(add, layout)
 
 
 @dataclass
@@ -213,12 +252,14 @@ class Cycle:
 def count_cyclically(shards: list[DataFrame], counting: Counting) -> Cycle:
     """Dynamic itemset counting over slots, shard after shard, until every cycle is complete."""
     spark = shards[0].sparkSession
-    size = 1 << counting.slot_bits
+    size = 2 << counting.slot_bits
     run, kind = min(size, RUN), np.min_scalar_type(counting.threshold)
     counts, reached = np.zeros(size, np.uint32), np.full(size, NEVER, np.uint8)
     step, last = 0, -1  # the last scan after which something that others grow from was new
     while step < counting.shards or last > step - 1 - counting.shards:
-        sent = spark.sparkContext.broadcast(reached)
+        if step == NEVER:
+            raise RuntimeError("more scans than a byte holds")
+        sent = spark.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))
         for row in _scan(shards[step % counting.shards], step, sent, counting).collect():
             part = slice(row.run * run, (row.run + 1) * run)
             counts[part] += np.frombuffer(zlib.decompress(row.counts), kind)
@@ -227,12 +268,12 @@ def count_cyclically(shards: list[DataFrame], counting: Counting) -> Cycle:
         reached[new] = step
         if new[::2].any():  # even slots: all but the longest phrases
             last = step
-        sent.unpersist()
+        sent.destroy(blocking=True)
         step += 1
     return Cycle(reached, step)
 
 
-def _exact(documents: DataFrame, reached: Broadcast, counting: Counting) -> DataFrame:
+def _exact(portions: DataFrame, reached: Broadcast, counting: Counting) -> DataFrame:
     """(lang, phrase, size, n): occurrences of the phrases of full slots; size 0: of all words."""
 
     def batch(counts: Counter) -> pa.RecordBatch:
@@ -247,30 +288,30 @@ def _exact(documents: DataFrame, reached: Broadcast, counting: Counting) -> Data
         )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, table = _Hashes(counting.kept_words), reached.value
-        counts: Counter = Counter()
-        for lang, texts in _portions(batches, counting.portion_bytes):
-            hashes.renew()
-            words = words_of(texts)
-            phrases = Slots(lang, words, hashes, counting)
+        table, counts = np.frombuffer(zlib.decompress(reached.value), np.uint8), Counter()
+        for row, phrases in _opened(batches, counting):
+            lang, codes = row["lang"], row["codes"].astype(np.int64)
+            words = [_END, *row["words"].split(_END)]
             counts[lang, b"", 0] += len(phrases.starts)
-            while True:
-                when, n = table[phrases.slots], phrases.length
-                full = phrases.starts[when != NEVER].tolist()
-                if n == 1:
-                    found = Counter(map(words.__getitem__, full))
-                else:
-                    found = Counter([b" ".join(words[i : i + n]) for i in full])
-                for phrase, times in found.items():
-                    counts[lang, phrase, n] += times
+            # A phrase's number: the words' own first, then that of all but its last word, and that word.
+            numbers = codes.copy()
+            while len(phrases.starts):
+                when, n = phrases.reached(table), phrases.length
+                full = phrases.starts[when != NEVER]
+                found, first, times = np.unique(numbers[full], return_index=True, return_counts=True)
+                for i, k in zip(full[first].tolist(), times.tolist()):
+                    counts[lang, b" ".join([words[c] for c in codes[i : i + n].tolist()]), n] += k
                 if n == counting.longest or phrases.grow(when) is None:
                     break
-            if len(counts) > counting.kept_words:
+                longer = np.searchsorted(found, numbers[phrases.starts]) * len(words) + codes[phrases.starts + n]
+                numbers[phrases.starts] = longer
+            if len(counts) > counting.kept_phrases:
                 yield batch(counts)
                 counts.clear()
         yield batch(counts)
 
-    counted = documents.mapInArrow(count, "lang string, phrase string, size int, n long")
+    rows = portions.select("lang", "words", "hashes", "width", "codes")
+    counted = rows.mapInArrow(count, "lang string, phrase string, size int, n long")
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
@@ -284,13 +325,11 @@ def frequent_phrases(documents: DataFrame, counting: Counting | None = None) ->
     rows = documents.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.pmod(F.monotonically_increasing_id(), F.lit(counting.shards)).cast("int").alias("shard"),
     )
-    dealt = stored(rows, "phrase-shards", "shard")
-    shards = [dealt.where(F.col("shard") == n).select("lang", "text") for n in range(counting.shards)]
+    portions = portions_of(rows, counting)
+    shards = [portions.where(F.col("shard") == n) for n in range(counting.shards)]
     cycle = count_cyclically(shards, counting)
-    sent = spark.sparkContext.broadcast(cycle.reached)
-    found = _exact(dealt.select("lang", "text"), sent, counting)
+    found = _exact(portions, spark.sparkContext.broadcast(zlib.compress(cycle.reached.tobytes(), 1)), counting)
     kept = (F.col("n") >= counting.threshold) | (F.col("size") == 0)
     return stored(found.where(kept), "phrases")
 

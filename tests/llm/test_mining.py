@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 from tallystream.llm.best_fit import Packing, Underfull, best_fit, cuts, pack, pack_documents, pack_pieces
 from tallystream.llm.hard_negatives import Block, Mining, Search, hard_negatives, pack_blocks, search_block, usable
-from tallystream.llm.phrase_mining import Counting, Slots, _Hashes, collocations, count_cyclically, frequent_phrases, words_of
+from tallystream.llm.phrase_mining import Counting, collocations, count_cyclically, frequent_phrases, portions_of, words_of, _opened
 from tests.llm import cases as C
 
 # op11
@@ -71,7 +71,7 @@ def test_words_and_pieces():
     "counting",
     [
         Counting(threshold=7, shards=4, slot_bits=16),
-        Counting(threshold=7, shards=1, slot_bits=16, portion_bytes=50, kept_words=5),
+        Counting(threshold=7, shards=1, slot_bits=16, portion_bytes=50, kept_phrases=5),
         Counting(threshold=3, shards=7, slot_bits=3),
         Counting(threshold=300, shards=3, slot_bits=20),
     ],
@@ -98,15 +98,13 @@ def test_no_phrases(spark):
 
 
 def test_lengths_are_interleaved(spark):
-    rows = [("en", "a b c d e")] * 40
-    df = spark.createDataFrame(rows, "lang string, text string").repartition(1)
-    shards = [df.limit(10)] * 4
     counting = Counting(threshold=10, shards=4, slot_bits=12)
-    cycle = count_cyclically(shards, counting)
-    phrases = Slots("en", words_of([b"a b c d e"]), _Hashes(100), counting)
-    steps = []
+    shard = portions_of(spark.createDataFrame([("en", "a b c d e")] * 10, "lang string, text string").coalesce(1), counting)
+    cycle = count_cyclically([shard] * 4, counting)
+    row = shard.limit(1).select("lang", "hashes", "width", "codes").toArrow().to_batches()
+    phrases, steps = next(_opened(iter(row), counting))[1], []
     while True:
-        when = cycle.reached[phrases.slots]
+        when = phrases.reached(cycle.reached)
         steps.append(set(when.tolist()))
         if phrases.length == 5:
             break
@@ -115,6 +113,18 @@ def test_lengths_are_interleaved(spark):
     assert steps == [{0}, {1}, {2}, {3}, {4}] and cycle.steps == 8
 
 
+def test_shards_are_a_partition_of_the_texts(spark):
+    rows = [(lang, text) for lang, text in chatter(3, 100) if lang and text]
+    counting = Counting(shards=3, portion_bytes=200)
+    portions = portions_of(spark.createDataFrame(rows, "lang string, text string").repartition(2), counting).collect()
+    assert {r.shard for r in portions} == {0, 1, 2} and {r.width for r in portions} == {2}
+    found = Counter()
+    for r in portions:
+        words = [b"\xff", *r.words.split(b"\xff")]
+        found.update((r.lang, words[c]) for c in np.frombuffer(r.codes, "<u2").tolist() if c)
+    assert found == Counter((lang, w) for lang, text in rows for w in words_of([text.encode()]) if w != b"\xff")
+
+
 def test_too_many_shards():
     with pytest.raises(ValueError):
         Counting(shards=60)
