@@ -273,26 +273,53 @@ def count_cyclically(shards: list[DataFrame], counting: Counting) -> Cycle:
     return Cycle(reached, step)
 
 
-def _exact(portions: DataFrame, reached: Broadcast, counting: Counting) -> DataFrame:
-    """(lang, phrase, size, n): occurrences of the phrases of full slots; size 0: of all words."""
+_BLOCK, _COUNTED = "lang string, range int, phrases binary, counts binary", "lang string, phrase string, size int, n long"
+
+
+def _blocks(counts: dict[str, dict[bytes, int]], ranges: int) -> Iterator[pa.RecordBatch]:
+    """Counts as blocks: the phrases of a language whose hashes fall into one range, in order, with their counts."""
+    for lang, found in counts.items():
+        some: dict[int, list[bytes]] = {}
+        for phrase in sorted(found):
+            some.setdefault(zlib.crc32(phrase) % ranges, []).append(phrase)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "lang": pa.array([lang] * len(some), pa.string()),
+                "range": pa.array(list(some), pa.int32()),
+                "phrases": pa.array([zlib.compress(_END.join(p), 1) for p in some.values()], pa.binary()),
+                "counts": pa.array([np.array([found[x] for x in p], "<i8").tobytes() for p in some.values()], pa.binary()),
+            }
+        )
 
-    def batch(counts: Counter) -> pa.RecordBatch:
-        keys = list(counts)
-        return pa.RecordBatch.from_pydict(
+
+def _rows(counts: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+    for lang, found in counts.items():
+        yield pa.RecordBatch.from_pydict(
             {
-                "lang": pa.array([k[0] for k in keys], pa.string()),
-                "phrase": pa.array([k[1] for k in keys], pa.string()),
-                "size": pa.array([k[2] for k in keys], pa.int32()),
-                "n": pa.array(list(counts.values()), pa.int64()),
+                "lang": pa.array([lang] * len(found), pa.string()),
+                "phrase": pa.array(list(found), pa.string()),
+                "size": pa.array([p.count(b" ") + 1 if p else 0 for p in found], pa.int32()),
+                "n": pa.array(list(found.values()), pa.int64()),
             }
         )
 
+
+def _exact(portions: DataFrame, reached: Broadcast, counting: Counting) -> DataFrame:
+    """(lang, phrase, size, n): occurrences of the phrases of full slots; size 0: of all words.
+
+    Tasks hand on their counts in blocks by ranges of hashes; those of a range are added up where they
+    meet, each phrase once, before they become rows. A task that holds too many hands on what it has.
+    """
+    ranges = max(64, int(portions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, counts = np.frombuffer(zlib.decompress(reached.value), np.uint8), Counter()
+        table = np.frombuffer(zlib.decompress(reached.value), np.uint8)
+        counts: dict[str, Counter] = {}
         for row, phrases in _opened(batches, counting):
-            lang, codes = row["lang"], row["codes"].astype(np.int64)
+            own = counts.setdefault(row["lang"], Counter())
+            codes = row["codes"].astype(np.int64)
             words = [_END, *row["words"].split(_END)]
-            counts[lang, b"", 0] += len(phrases.starts)
+            own[b""] += len(phrases.starts)
             # A phrase's number: the words' own first, then that of all but its last word, and that word.
             numbers = codes.copy()
             while len(phrases.starts):
@@ -300,18 +327,30 @@ def _exact(portions: DataFrame, reached: Broadcast, counting: Counting) -> DataF
                 full = phrases.starts[when != NEVER]
                 found, first, times = np.unique(numbers[full], return_index=True, return_counts=True)
                 for i, k in zip(full[first].tolist(), times.tolist()):
-                    counts[lang, b" ".join([words[c] for c in codes[i : i + n].tolist()]), n] += k
+                    own[b" ".join([words[c] for c in codes[i : i + n].tolist()])] += k
                 if n == counting.longest or phrases.grow(when) is None:
                     break
                 longer = np.searchsorted(found, numbers[phrases.starts]) * len(words) + codes[phrases.starts + n]
                 numbers[phrases.starts] = longer
-            if len(counts) > counting.kept_phrases:
-                yield batch(counts)
+            if sum(map(len, counts.values())) > counting.kept_phrases:
+                yield from _blocks(counts, ranges)
                 counts.clear()
-        yield batch(counts)
+        yield from _blocks(counts, ranges)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, Counter] = {}
+        for batch in batches:
+            for lang, phrases, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrases", "counts"))):
+                own = sums.setdefault(lang, Counter())
+                for phrase, n in zip(zlib.decompress(phrases).split(_END), np.frombuffer(counts, "<i8").tolist()):
+                    own[phrase] += n
+                if sum(map(len, sums.values())) > counting.kept_phrases:
+                    yield from _rows(sums)
+                    sums.clear()
+        yield from _rows(sums)
 
     rows = portions.select("lang", "words", "hashes", "width", "codes")
-    counted = rows.mapInArrow(count, "lang string, phrase string, size int, n long")
+    counted = rows.mapInArrow(count, _BLOCK).repartition("range").mapInArrow(add, _COUNTED)
     return counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
