@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystream.operators.joins import lookup_join
+from tallystream.operators.sequence import dense_ids
 from tallystream.schemas import AUDIT, DELETE, INSERT, UPDATE
 from tallystream.session import settle
 
@@ -25,10 +26,10 @@ def _next_id(after: int) -> Column:
     return F.lit(after + 1).cast("long") + F.monotonically_increasing_id()
 
 
-def _audit_columns(df: DataFrame, clock: Column | None, user: Column | None, after: int) -> DataFrame:
+def audit_records(df: DataFrame, clock: Column | None, user: Column | None) -> DataFrame:
+    """Rows with ids and operations in the audit layout; columns that are missing are null."""
     stamped = df.withColumns(
         {
-            "audit_id": _next_id(after),
             "changed_at": F.current_timestamp() if clock is None else clock,
             "changed_by": F.current_user() if user is None else user,
         }
@@ -41,11 +42,26 @@ def _audit_columns(df: DataFrame, clock: Column | None, user: Column | None, aft
     )
 
 
+def _audit_columns(df: DataFrame, clock: Column | None, user: Column | None, after: int) -> DataFrame:
+    return audit_records(df.withColumn("audit_id", _next_id(after)), clock, user)
+
+
 def audit_seed(
-    snapshot: DataFrame, clock: Column | None = None, user: Column | None = None, after: int = 0
+    snapshot: DataFrame,
+    clock: Column | None = None,
+    user: Column | None = None,
+    after: int = 0,
+    order: list[str] | None = None,
 ) -> DataFrame:
-    """Every row of a table as an INSERT record."""
-    return _audit_columns(snapshot.withColumn("operation_type", F.lit(INSERT)), clock, user, after)
+    """Every row of a table as an INSERT record.
+
+    With ``order`` ids are after + 1, after + 2, ... in that order, the same however the table is split;
+    that sorts the table. Without, they ascend in scan order and have gaps.
+    """
+    inserts = snapshot.withColumn("operation_type", F.lit(INSERT))
+    if order is not None:
+        return audit_records(dense_ids(inserts, "audit_id", order, after), clock, user)
+    return _audit_columns(inserts, clock, user, after)
 
 
 def snapshot_diff(

@@ -40,7 +40,7 @@ def one_of(rows: DataFrame, keys: list[str], image: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
 
 
-def _effects(
+def effects_of(
     changes: DataFrame, keys: list[str], values: list[str], order: tuple[str, ...], limits: JoinLimits
 ) -> DataFrame:
     """Marks of every updated or deleted key, with the last update's image."""
@@ -70,7 +70,7 @@ def apply_changes(
     """
     values = [c for c in target.columns if c not in keys]
     image = F.struct(*values)
-    effects = _effects(changes, keys, values, order, limits)
+    effects = effects_of(changes, keys, values, order, limits)
 
     def shown(newer: Column) -> Column:
         return F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_row")

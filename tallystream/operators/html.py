@@ -23,6 +23,7 @@ from tallystream.functions.clean import (
     number_value,
     strip_text,
 )
+from tallystream.operators.nested import balanced_table, nested_rows
 from tallystream.schemas import LABEL_MARK, METRICS, SCRAPED, SCRAPED_TO_METRIC, TRAILING_PERIOD, YEAR
 
 SECTION_ID = "profit-loss"
@@ -105,6 +106,8 @@ def _with_table(pages: DataFrame, section_id: str) -> DataFrame:
         .withColumn("_before", F.regexp_extract("_inner", r"(?is)\A.*?(?=<table\b|\z)", 0))
         .withColumn("_after", F.when(inside, after).otherwise(""))
         .withColumn("_table", F.regexp_extract("_after", r"(?is)\A<table\b.*?</table\s*>", 0))
+        .withColumn("_nested", F.regexp_count("_table", F.lit(r"(?i)<table\b")) > 1)
+        .withColumn("_table", F.when(F.col("_nested"), balanced_table(F.col("_after"))).otherwise(F.col("_table")))
     )
 
 
@@ -138,8 +141,9 @@ def statement_tables(
 ) -> DataFrame:
     """One row per page: header texts, body rows ``array<struct<row_idx, cells>>`` and ``reason``.
 
-    Inner sections before the table, and cells and rows without end tags, are read; a table that
-    holds another is a reason. ``header_cells_anywhere``: the header is every ``th`` of the table and body cells are ``td``
+    Inner sections before the table, and cells and rows without end tags, are read. Where a table holds
+    another, the inner one's rows are rows of the outer as well, and its cells cells of the row that
+    holds it (see ``operators.nested``). ``header_cells_anywhere``: the header is every ``th`` of the table and body cells are ``td``
     only; otherwise the first row is the header and both kinds are cells everywhere.
     ``reason`` says why a page gives no statement and is null for a good page.
     """
@@ -149,7 +153,6 @@ def statement_tables(
         .withColumn("_table", decode_rare_entities(F.col("_table")))
         .withColumn("_rows", _open_elements(F.col("_table"), "tr", _NEXT_ROW))
     )
-    nested = F.regexp_count("_table", F.lit(r"(?i)<table\b")) > 1
     cell_tag = "td" if header_cells_anywhere else "t[hd]"
     head = (
         _open_elements(F.col("_table"), "th", _NEXT_CELL)
@@ -167,12 +170,21 @@ def statement_tables(
         F.when(F.col("html").isNull(), "not_loaded")
         .when(F.col("_section") == "", "no_section")
         .when(F.col("_table") == "", "no_table")
-        .when(nested, "nested_table")
         .when(F.size("_rows") < 2, "empty_table")
     )
+    kinds = ("td",) if header_cells_anywhere else ("td", "th")
+    nested, deep_rows = F.col("_nested"), F.col("_deep.rows")
+    found = found.withColumn("_deep", F.when(nested, nested_rows(F.col("_table"), cell_text, kinds, ("th",))))
+    deep_head = F.col("_deep.head") if header_cells_anywhere else F.get(deep_rows, F.lit(0))
+    deep_body = F.transform(
+        F.slice(deep_rows, F.lit(2), F.greatest(F.size(deep_rows) - 1, F.lit(0))),
+        lambda cells, i: F.struct((i + 1).cast("int").alias("row_idx"), cells.alias("cells")),
+    )
+    head = F.when(nested, deep_head).otherwise(F.transform(head, cell_text))
+    body = F.when(nested, deep_body).otherwise(body)
     # Without body rows header and body are empty, so such a page unfolds to nothing.
     usable = reason.isNull()
-    shown = F.when(usable, F.transform(head, cell_text)).otherwise(F.array().cast("array<string>"))
+    shown = F.when(usable, head).otherwise(F.array().cast("array<string>"))
     held = F.when(usable, body).otherwise(F.array().cast("array<struct<row_idx: int, cells: array<string>>>"))
     return found.select(*kept, shown.alias("header"), held.alias("body"), reason.alias("reason"))
 
@@ -395,3 +407,58 @@ def extract_statements(pages: DataFrame, skip_period: str | None = TRAILING_PERI
     if skip_period is not None:
         facts = facts.where(~F.col(YEAR).eqNullSafe(F.lit(skip_period)))
     return facts.select(YEAR, *METRICS, "Company_id")
+
+
+#: Most metrics that pages may name; more are a sign that labels aren't metrics.
+MOST_METRICS = 1000
+
+
+def page_metrics(tables: DataFrame, label_mark: str = LABEL_MARK) -> DataFrame:
+    """The metrics that the pages name: metric, kind, n_pages, n_cells, in the order of their names.
+
+    ``kind`` is the least of ``integer``, ``number`` and ``text`` that holds all the metric's cells on all
+    pages; an empty cell is an integer. One aggregate over the rows that fit their header.
+    """
+    rows = fits_header(table_rows(tables)).where(~F.contains(F.coalesce(F.get("cells", F.lit(0)), F.lit("")), F.lit(label_mark)))
+    cells = F.slice("cells", F.lit(2), F.greatest(F.size("cells") - 1, F.lit(0)))
+
+    def level(text: Column) -> Column:
+        bare = number_text(text)
+        whole = bare.rlike(r"^-?[0-9]{1,15}\z")
+        return F.when(whole, 0).when(number_value(bare).isNotNull(), 1).otherwise(2)
+
+    highest = F.coalesce(F.array_max(F.transform(cells, level)), F.lit(0))
+    named = rows.select("page_id", normalize_header(F.get("cells", F.lit(0))).alias("metric"), highest.alias("l"), F.size(cells).alias("n"))
+    kinds = F.array(*[F.lit(k) for k in ("integer", "number", "text")])
+    # Pages are counted per page first, so a page that names a metric twice counts once.
+    per_page = named.groupBy("page_id", "metric").agg(F.max("l").alias("l"), F.sum("n").alias("n"))
+    found = per_page.groupBy("metric").agg(F.max("l").alias("l"), F.count(F.lit(1)).alias("n_pages"), F.sum("n").alias("n_cells"))
+    return found.select("metric", F.get(kinds, F.col("l")).alias("kind"), "n_pages", "n_cells")
+
+
+def stack_statements(
+    tables: DataFrame, skip_period: str | None = TRAILING_PERIOD, label_mark: str = LABEL_MARK
+) -> DataFrame:
+    """Pages with whatever metrics they name, one row per page and period: page_id, url, pos, Year, metrics.
+
+    The metrics are found by ``page_metrics`` and are columns in the order of their names, each of the kind
+    that holds all its cells: bigint, double, or text without commas. An empty cell, and a metric that a
+    page lacks, is 0, or empty text; the cells of a row that doesn't fit its header are null. Pages are
+    parsed twice, so store ``tables`` first where that is dear.
+    """
+    found = sorted((r.metric, r.kind) for r in page_metrics(tables, label_mark).limit(MOST_METRICS + 1).collect())
+    if len(found) > MOST_METRICS:
+        raise ValueError(f"pages name more than {MOST_METRICS} metrics")
+    texts = transpose_statement(tables, [m for m, _ in found], 0, label_mark)
+    rest = [c for c in texts.columns if c not in {m for m, _ in found}]
+    if skip_period is not None:
+        texts = texts.where(~F.col(YEAR).eqNullSafe(F.lit(skip_period)))
+
+    def value(name: str, kind: str) -> Column:
+        text = F.col(f"`{name}`")
+        if kind == "text":
+            return F.when(text != "", number_text(text)).otherwise(text)
+        number = number_value(number_text(text))
+        return number.cast("long") if kind == "integer" else number
+
+    return texts.select(*rest, *[value(m, k).alias(m) for m, k in found])

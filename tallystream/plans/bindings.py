@@ -151,6 +151,39 @@ def damaged_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"))
 
 
+def in_batches(rows: DataFrame, number: str, n: int = 4) -> list[DataFrame]:
+    """Batches in no order of time: each row in one of them, every tenth in all of them."""
+    return [rows.where((F.pmod(F.xxhash64(number), F.lit(n)) == i) | (F.col(number) % 10 == 0)) for i in range(n)]
+
+
+def row_versions(source: DataFrame) -> DataFrame:
+    """Events, batch or stream, as versions of a user's row; an error removes the row."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    return source.select(
+        F.col("user_id").cast("string").alias(YEAR),
+        F.col("event_id").alias("place"),
+        F.col("ts").alias("at"),
+        (F.col("event_type") == "error").alias("gone"),
+        (k % 3).cast("double").alias("Sales_plus"),
+        F.when(k % 2 == 0, F.col("event_type")).alias("kind"),
+    )
+
+
+# Read by Spark and by the oracle: an order in its second version, and how often it is there.
+ORDER_STATUS = "case when o_orderkey % 5 = 0 then concat(o_orderstatus, '+') else o_orderstatus end"
+ORDER_COPIES = "case when o_orderkey % 17 = 0 then 0 when o_orderkey % 23 = 0 then 2 else 1 end"
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two versions of a table without a key: a customer has many rows, some of them equal."""
+    orders = table(spark, sf_dir, "orders")
+    columns = [F.col("o_custkey").cast("string").alias(YEAR), "status", F.year("o_orderdate").alias("y"), "o_orderpriority"]
+    old = orders.withColumn("status", F.col("o_orderstatus")).select(*columns)
+    copies = F.explode(F.expr(f"array_repeat(0, {ORDER_COPIES})"))
+    new = orders.withColumn("status", F.expr(ORDER_STATUS)).withColumn("_copy", copies).select(*columns)
+    return old, new
+
+
 def preloaded(spark: SparkSession, sf_dir: str, company: bool) -> DataFrame:
     """A target that already holds rows, some under keys the log touches.
 
@@ -267,6 +300,24 @@ def loose_pages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> Data
     return pages.withColumn("html", F.when(F.col("page_id") % 3 == 0, some).otherwise(every))
 
 
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages with a row before the sixth in which a cell holds a table."""
+    notes = '<tr><td>Notes</td><td><table><tr><td>n1</td><td>n2</td></tr></table></td></tr>'
+    at = '<tr><td class="text">Interest'
+    return statement_pages(spark, sf_dir).withColumn("html", F.replace("html", F.lit(at), F.lit(notes + at)))
+
+
+def labelled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same pages with labels of their own: every third names one metric otherwise, every fifth has one more."""
+    pages = statement_pages(spark, sf_dir)
+    renamed = F.replace("html", F.lit(">Interest<"), F.lit(">Financing Cost +<"))
+    renamed = F.when(F.col("page_id") % 3 == 0, renamed).otherwise(F.col("html"))
+    cells = F.array_join(F.array_repeat(F.lit("<td>AA, ok</td>"), F.regexp_count("html", F.lit("<th>")) - 1), "")
+    row = F.concat(F.lit("<tr><td>Rating</td>"), cells, F.lit("</tr></tbody>"))
+    more = F.when(F.col("page_id") % 5 == 1, F.replace(renamed, F.lit("</tbody>"), row)).otherwise(renamed)
+    return pages.withColumn("html", more)
+
+
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 

@@ -7,7 +7,7 @@ formula with the Spark side.
 from __future__ import annotations
 
 from tallystream.plans import bindings as B
-from tallystream.schemas import COMPANY, METRICS, YEAR
+from tallystream.schemas import COMPANY, METRICS, SCRAPED, SCRAPED_TO_METRIC, YEAR
 
 CLOCK = "timestamp '2024-02-01 06:30:00.000001'"
 _names = ", ".join(METRICS)
@@ -194,6 +194,47 @@ def _profile() -> str:
     return " union all ".join(parts)
 
 
+def _exact_average() -> str:
+    """Means of exact sums, rounded from the quotient, half away from zero."""
+    parts = []
+    for m in METRICS:
+        units = f"cast(replace(cast(sum(cast({m} as decimal(28,10))) as varchar), '.', '') as hugeint)"
+        n = f"(count({m}) * 100000000::hugeint)"
+        parts.append(f"cast(sign({units}) * ((2 * abs({units}) + {n}) // (2 * {n})) as double) / 100 as {m}")
+    return ", ".join(parts)
+
+
+_VERSIONS = f"""
+versions as (
+  select cast(user_id as varchar) as {YEAR}, event_id, ts, event_type = 'error' as gone, cast(k % 3 as double) as Sales_plus,
+    case when k % 2 = 0 then event_type end as kind
+  from (select *, cast(json_extract_string(props, '$.k') as int) as k from events)
+),
+placed as (
+  select *, lag(event_id) over w as last, lag(gone) over w as was_gone, lag(Sales_plus) over w as old_sales, lag(kind) over w as old_kind
+  from versions window w as (partition by {YEAR} order by event_id)
+),
+captured as (
+  select event_id as audit_id, case when gone then 'DELETE' when last is null or was_gone then 'INSERT' else 'UPDATE' end as operation_type,
+    ts as changed_at, {YEAR}, case when gone then old_sales else Sales_plus end as Sales_plus,
+    case when gone then old_kind else kind end as kind
+  from placed
+  where case when last is null or was_gone then not gone
+    else gone or Sales_plus is distinct from old_sales or kind is distinct from old_kind end
+)
+select * from captured"""
+
+_BAGS = f"""
+old as (
+  select cast(o_custkey as varchar) as {YEAR}, o_orderstatus as status, cast(year(o_orderdate) as int) as y, o_orderpriority from orders
+),
+new as (
+  select {YEAR}, status, y, o_orderpriority from (
+    select cast(o_custkey as varchar) as {YEAR}, {B.ORDER_STATUS} as status, cast(year(o_orderdate) as int) as y, o_orderpriority,
+      unnest(range({B.ORDER_COPIES}))
+    from orders)
+)"""
+
 ORACLES: dict[str, str] = {
     "table_scan": "select * from orders",
     "head_rows": "select * from orders order by o_orderdate, o_orderkey limit 5",
@@ -354,3 +395,47 @@ ORACLES: dict[str, str] = {
     "statement_flow": f"""{KEYED} select {YEAR}, {_names} from applied
         union all select 'AVERAGE', {AVERAGE} from applied""",
 }
+_LATER = {
+    "html_nested_rows": f"""with {PAGE_FACTS}, plain as ({_page_rows()})
+        select page_id, case when row_idx < 6 then row_idx else row_idx + 2 end as row_idx, n_header, cells from plain
+        union all select page_id, 6, n_header, 'Notes|n1n2|n1|n2' from plain where row_idx = 1
+        union all select page_id, 7, n_header, 'n1|n2' from plain where row_idx = 1""",
+    "statements_from_nested": ORACLES["statements_from_pages"],
+    "page_metrics": f"""with {PAGE_FACTS}, page as (select o_custkey, count(*) as n from facts group by 1),
+        named as (
+          {" union all ".join(f"select '{m}' as metric, 'number' as kind, o_custkey, n from page" for m in SCRAPED if m != "Interest")}
+          union all select case when o_custkey % 3 = 0 then 'Financing_Cost' else 'Interest' end, 'number', o_custkey, n from page
+          union all select 'Rating', 'text', o_custkey, n from page where o_custkey % 5 = 1)
+        select metric, kind, count(*) as n_pages, cast(sum(n) as bigint) as n_cells from named group by metric, kind""",
+    "stack_statements": f"""with {PAGE_FACTS}
+        select o_custkey as page_id, pos, {YEAR}, {", ".join(f"{SCRAPED_TO_METRIC[m]} as {m.replace('%', 'percent')}" for m in SCRAPED if m != "Interest")},
+          case when o_custkey % 3 = 0 then 0 else Interest end as Interest,
+          case when o_custkey % 3 = 0 then Interest else 0 end as Financing_Cost,
+          case when o_custkey % 5 = 1 then 'AAok' else '' end as Rating
+        from numbered where {YEAR} <> 'TTM'""",
+    "cdc_apply_any_order": ORACLES["cdc_apply_keyed"],
+    "cdc_apply_once": ORACLES["cdc_apply_bag"],
+    "cdc_repeats": """select count(*) as n_changes, 3 * count(*) filter (event_id % 10 = 0) as n_repeated, 0 as n_late from events""",
+    "kept_average": f"""{KEYED} select 'AVERAGE' as {YEAR}, {_exact_average()} from applied
+        where {YEAR} not in ('TTM', 'AVERAGE')""",
+    "audit_sequence": f"""with {FACTS} select 41 + row_number() over (order by {YEAR}, {COMPANY}) as audit_id,
+        'INSERT' as operation_type, {_AUDIT_TAIL}, {_FACT_COLUMNS} from facts""",
+    "bag_diff": f"""with {_BAGS},
+        surplus as (
+          select {YEAR}, sum(greatest(-n, 0)) as gone, sum(greatest(n, 0)) as come
+          from (select {YEAR}, status, y, o_orderpriority, sum(s) as n
+            from (select *, -1 as s from old union all select *, 1 from new) group by all)
+          group by {YEAR}
+        )
+        select {YEAR}, operation_type, cast(n as bigint) as n from (
+          select {YEAR}, 'UPDATE' as operation_type, least(gone, come) as n from surplus
+          union all select {YEAR}, 'DELETE', gone - least(gone, come) from surplus
+          union all select {YEAR}, 'INSERT', come - least(gone, come) from surplus)
+        where n > 0""",
+    "bag_replay": f"with {_BAGS} select * from new",
+    "bag_to_sink": f"""with {_BAGS} select {YEAR}, cast(y as double) as Interest, status as {COMPANY} from new""",
+    "polled_stream_publish": ORACLES["cdc_stream_publish"],
+    "capture_stream": f"with {_VERSIONS}",
+    "capture_versions": f"with {_VERSIONS}",
+}
+ORACLES |= _LATER

@@ -16,6 +16,7 @@ from tallystream.functions.clean import (
 )
 from tallystream.functions.derive import derive_profit
 from tallystream.operators import audit as A
+from tallystream.operators import bag_diff as D
 from tallystream.operators import html as H
 from tallystream.operators import keyed as K
 from tallystream.operators import layout as L
@@ -27,6 +28,8 @@ from tallystream.schemas import COMPANY, METRICS, SCRAPED, SINK_MULTI, SINK_SING
 from tallystream.session import apply_settings, fresh_dir, settle
 from tallystream.sources import tables as R
 from tallystream.sources.change_log import ChangeLog
+from tallystream.sources.polled import PolledAudit
+from tallystream.streaming import capture as C
 from tallystream.streaming import jobs as J
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -275,6 +278,32 @@ def html_loose_rows(spark, sf_dir):
     return rows.select("page_id", "row_idx", "n_header", F.array_join("cells", "|").alias("cells"))
 
 
+@query
+def html_nested_rows(spark, sf_dir):
+    """Rows of pages in which a cell holds a table."""
+    rows = H.table_rows(H.statement_tables(B.nested_pages(spark, sf_dir)))
+    return rows.select("page_id", "row_idx", "n_header", F.array_join("cells", "|").alias("cells"))
+
+
+@query
+def statements_from_nested(spark, sf_dir):
+    return H.extract_statements(B.nested_pages(spark, sf_dir))
+
+
+@query
+def page_metrics(spark, sf_dir):
+    """Metrics that pages with labels of their own name, and what their cells hold."""
+    return H.page_metrics(H.statement_tables(B.labelled_pages(spark, sf_dir)))
+
+
+@query
+def stack_statements(spark, sf_dir):
+    """Pages with labels of their own, stacked over all metrics that they name."""
+    tables = settle(H.statement_tables(B.labelled_pages(spark, sf_dir)))
+    stacked = H.stack_statements(tables).drop("url")
+    return stacked.toDF(*[c.replace("%", "percent") for c in stacked.columns])
+
+
 @query
 def statements_from_pages(spark, sf_dir):
     return H.extract_statements(B.statement_pages(spark, sf_dir))
@@ -350,6 +379,39 @@ def audit_seed(spark, sf_dir):
     return seeded.withColumn("audit_id", F.col("audit_id") > 41).withColumnRenamed("audit_id", "id_is_new")
 
 
+@query
+def audit_sequence(spark, sf_dir):
+    """Ids without gaps, in order of period and company."""
+    facts = _facts(spark, sf_dir).repartition(7)
+    return A.audit_seed(facts, F.lit(CLOCK).cast("timestamp"), F.lit("loader"), after=41, order=[YEAR, COMPANY])
+
+
+@query
+def bag_diff(spark, sf_dir):
+    """Records per key and operation, where keys have several rows."""
+    records = D.bag_diff(*B.order_versions(spark, sf_dir), [YEAR])
+    key = F.coalesce(f"new.{YEAR}", f"old.{YEAR}").alias(YEAR)
+    return records.groupBy(key, "operation_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def bag_replay(spark, sf_dir):
+    """The second version, from the first and the records between them."""
+    old, new = B.order_versions(spark, sf_dir)
+    return D.replay_bag(old, D.bag_diff(old, new, [YEAR]))
+
+
+@query
+def bag_to_sink(spark, sf_dir):
+    """The second version, from the first and audit records that a sink applies by key."""
+    old, new = (
+        df.select(YEAR, F.col("y").cast("double").alias("Interest"), F.col("status").alias(COMPANY))
+        for df in B.order_versions(spark, sf_dir)
+    )
+    audit = settle(D.keyed_audit(old, new, [YEAR, COMPANY], F.lit(CLOCK).cast("timestamp"), F.lit("loader")))
+    return apply_changes(old, audit, [YEAR, COMPANY], BAG)
+
+
 @query
 def audit_ids(spark, sf_dir):
     """Ids of two captures, the second after the first's largest: how many, how many different, and
@@ -433,6 +495,45 @@ def cdc_apply_bag(spark, sf_dir):
     return apply_changes(target, changes, [YEAR, COMPANY], BAG)
 
 
+def _in_batches(spark, sf_dir, company: bool, folds: set[int]) -> ChangeLog:
+    """Changes of two writers into a loaded table, in batches that are in no order and overlap."""
+    layout, keys, mode = (SINK_MULTI, [YEAR, COMPANY], BAG) if company else (SINK_SINGLE, [YEAR], IGNORE)
+    sink = ChangeLog(spark, fresh_dir(spark, "sink"), layout, keys, mode)
+    loaded = B.preloaded(spark, sf_dir, company)
+    sink.load_initial(L.conform(derive_profit(loaded), SINK_MULTI) if company else loaded)
+    for n, batch in enumerate(B.in_batches(B.change_log(B.events(spark, sf_dir)), "audit_id")):
+        J.apply_records(sink, M.encode(batch, company), n // 2, "ab"[n % 2], company)
+        if n in folds:
+            sink.fold()
+    return sink
+
+
+@query
+def cdc_apply_any_order(spark, sf_dir):
+    """Late and repeated changes, of which half are folded and half are not."""
+    return _in_batches(spark, sf_dir, company=False, folds={1}).read()
+
+
+@query
+def cdc_apply_once(spark, sf_dir):
+    """Late and repeated changes in a bag, where an insert that counts twice shows."""
+    return _in_batches(spark, sf_dir, company=True, folds={0, 2}).read()
+
+
+@query
+def cdc_repeats(spark, sf_dir):
+    """How many changes were applied, and how many refused as repeated."""
+    sink = _in_batches(spark, sf_dir, company=False, folds={0, 3})
+    sums = [F.sum(c).alias(c) for c in ("n_changes", "n_repeated", "n_late")]
+    return sink.notes().agg(*sums)
+
+
+@query
+def kept_average(spark, sf_dir):
+    """The average moved by the rows that changes concern, from the sums of the last fold."""
+    return _in_batches(spark, sf_dir, company=False, folds={1, 2}).average()
+
+
 @query
 def maintained_average(spark, sf_dir):
     return S.average_row(QUERIES["cdc_apply_keyed"](spark, sf_dir))
@@ -482,6 +583,36 @@ def cdc_stream_apply_companies(spark, sf_dir):
     return sink.read()
 
 
+@query
+def polled_stream_publish(spark, sf_dir):
+    """A table that grows between two polls, published by a query whose checkpoint is the mark."""
+    spark.dataSource.register(PolledAudit)
+    root = fresh_dir(spark, "polled")
+    log = B.change_log(B.events(spark, sf_dir))
+    edge = F.lit(MARK).cast("timestamp")
+    for rows in (log.where(F.col("changed_at") <= edge), log.where(F.col("changed_at") > edge)):
+        R.append_table(rows, f"{root}/audit")
+        polled = spark.readStream.format("polled_audit").load(f"{root}/audit")
+        J.publish_stream(polled, f"{root}/checkpoint", "parquet", J.AVAILABLE_NOW, path=f"{root}/records").awaitTermination()
+    published = spark.read.schema("key binary, value binary").parquet(f"{root}/records")
+    return M.decode(published).select("audit_id", "operation_type", "changed_at", YEAR, *METRICS, COMPANY)
+
+
+@query
+def capture_stream(spark, sf_dir):
+    """A stream of row versions as audit records, from the last image per key."""
+    out = fresh_dir(spark, "captured")
+    captured = C.capture_stream(B.row_versions(B.events_stream(spark, sf_dir)), [YEAR], "place", "at", "gone")
+    stream = captured.writeStream.format("parquet").option("checkpointLocation", f"{out}-checkpoint")
+    stream.trigger(**J.AVAILABLE_NOW).start(out).awaitTermination()
+    return spark.read.schema(captured.schema).parquet(out)
+
+
+@query
+def capture_versions(spark, sf_dir):
+    return C.capture(B.row_versions(B.events(spark, sf_dir)), [YEAR], "place", "at", "gone")
+
+
 @query
 def publish_increment(spark, sf_dir):
     """Two polls: what is older than the mark first, then everything after the stored cursor."""

@@ -1,6 +1,7 @@
 """Publish and apply as checkpointed queries.
 
-The checkpoint is the progress mark: each record is published at least once and applied once.
+The checkpoint is the progress mark. Each record is published at least once, and applied once: the
+table refuses a record whose audit id it has applied.
 """
 
 from __future__ import annotations

@@ -140,13 +140,123 @@ def test_inner_sections_and_open_cells_are_read(spark):
     assert [b.cells for b in row.body] == [["Sales", "1", "2"], ["Interest", "3"], ["Tax %", "n/a", "5"], ["Odd", "1", "2"]]
 
 
-def test_a_table_after_the_section_or_around_another_is_no_statement(spark):
+def test_a_table_after_the_section_is_no_statement(spark):
+    df = pages(spark, '<section id="profit-loss"><section></section></section><table><tr><th>A<tr><td>1</table>')
+    assert [r.reason for r in H.statement_tables(df).collect()] == ["no_table"]
+
+
+INNER = """<section id="profit-loss"><table class=a><tr><th>x</th><th>Mar 2023</th></tr>
+<tr><td>Sales</td><td>1 <b>2</b></td></tr>
+<tr><td>Notes<TABLE><tr><td>a</td><td>b &amp; c<table><tr><td>deep</td></tr></table>tail</td></tr><tr><th>inner</th></tr></TABLE></td><td>end</td></tr>
+<tr><td>Interest</td><td>3</td></tr></table><table><tr><td>second</td></tr></table></section>"""
+
+
+def reference_reading(markup, header_anywhere=True):
+    """Cells of rows as a tree parser finds them: all descendants, in document order."""
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.root = ("root", [])
+            self.stack = [self.root]
+
+        def handle_starttag(self, tag, attrs):
+            node = (tag, [])
+            self.stack[-1][1].append(node)
+            self.stack.append(node)
+
+        def handle_endtag(self, tag):
+            while len(self.stack) > 1 and self.stack.pop()[0] != tag:
+                pass
+
+        def handle_data(self, data):
+            self.stack[-1][1].append(data)
+
+    def walk(node, kinds):
+        for child in node[1]:
+            if not isinstance(child, str):
+                if child[0] in kinds:
+                    yield child
+                yield from walk(child, kinds)
+
+    def text(node):
+        return "".join(c if isinstance(c, str) else text(c) for c in node[1])
+
+    tree = Tree()
+    tree.feed(markup)
+    table = next(walk(tree.root, ("table",)))
+    rows = list(walk(table, ("tr",)))
+    kinds = ("td",) if header_anywhere else ("td", "th")
+    cells = [[text(c).strip() for c in walk(r, kinds)] for r in rows]
+    return ([text(c).strip() for c in walk(table, ("th",))] if header_anywhere else cells[0]), cells[1:]
+
+
+def test_tables_in_cells_are_read_as_a_tree_parser_does(spark):
+    again = INNER.replace("<td>Interest</td><td>3</td>", "<td><table><tr><td>Interest</td></tr></table></td><td>3</td>")
+    for markup in (INNER, again, INNER.replace("end", "<table></table>")):
+        for anywhere in (True, False):
+            row = H.statement_tables(pages(spark, markup), header_cells_anywhere=anywhere).first()
+            assert row.reason is None
+            assert (row.header, [b.cells for b in row.body]) == reference_reading(markup, anywhere)
+            assert [b.row_idx for b in row.body] == list(range(1, len(row.body) + 1))
+
+
+def test_rows_of_inner_tables_are_rows(spark):
+    header = "<th>y</th>" * 0
+    tables = H.statement_tables(pages(spark, INNER.replace("<tr><th>inner</th></tr>", header)))
+    texts = H.transpose_statement(tables).collect()
+    assert [(r[YEAR], r.Sales, r.Interest) for r in texts] == [("Mar 2023", "1 2", "3")]
+
+
+def test_inner_tables_with_open_tags(spark):
     df = pages(
         spark,
-        '<section id="profit-loss"><section></section></section><table><tr><th>A<tr><td>1</table>',
         '<section id="profit-loss"><table><tr><th>A<tr><td><table><tr><td>1</table></table></section>',
+        '<section id="profit-loss"><table><tr><th>A<th>B<tr><td>1<td><table><tr><td>x<td>y</table>z<tr><td>2<td>3</table><table></table></section>',
+        '<section id="profit-loss"><table><tr><th>A<tr><td><table><tr><td>1</table>rest</section>',
     )
-    assert [r.reason for r in H.statement_tables(df).orderBy("page_id").collect()] == ["no_table", "nested_table"]
+    found = [(r.header, [b.cells for b in r.body], r.reason) for r in H.statement_tables(df).orderBy("page_id").collect()]
+    assert found == [
+        (["A"], [["1", "1"], ["1"]], None),
+        (["A", "B"], [["1", "xyz", "x", "y"], ["x", "y"], ["2", "3"]], None),
+        (["A"], [["1", "1"], ["1"]], None),
+    ]
+
+
+def own_page(*rows):
+    head = "<tr><th></th><th>Mar 2023</th><th>TTM</th></tr>"
+    body = "".join(f"<tr><td>{label}</td><td>{a}</td><td>{b}</td></tr>" for label, a, b in rows)
+    return f'<section id="profit-loss"><table>{head}{body}</table></section>'
+
+
+def test_metrics_found_on_the_pages(spark):
+    df = pages(
+        spark,
+        own_page(("Sales&nbsp;<b>+</b>", "1,000", "2"), ("Net Interest Income", "1.5", ""), ("Rating", "", ""), ("TTL", "1", "2")),
+        own_page(("Sales", "7", "8"), ("Rating", "AA, stable", "9"), ("Branches", "12", ""), ("Branches", "1", "2")),
+        "<p></p>",
+    )
+    tables = H.statement_tables(df)
+    found = {r.metric: (r.kind, r.n_pages, r.n_cells) for r in H.page_metrics(tables).collect()}
+    assert found == {
+        "Sales": ("integer", 2, 4), "Net_Interest_Income": ("number", 1, 2), "Rating": ("text", 2, 4), "Branches": ("integer", 1, 4),
+    }
+    stacked = H.stack_statements(tables)
+    assert stacked.columns == ["page_id", "url", "pos", YEAR, "Branches", "Net_Interest_Income", "Rating", "Sales"]
+    assert [k for _, k in stacked.dtypes[4:]] == ["bigint", "double", "string", "bigint"]
+    rows = sorted(tuple(r)[0:1] + tuple(r)[3:] for r in stacked.collect())
+    assert rows == [(0, "Mar 2023", 0, 1.5, "", 1000), (1, "Mar 2023", 12, 0.0, "AAstable", 7)]
+    assert H.stack_statements(tables, skip_period=None).count() == 4
+    assert H.stack_statements(H.statement_tables(pages(spark, "<p></p>"))).collect() == []
+
+
+def test_too_many_metrics(spark, monkeypatch):
+    monkeypatch.setattr(H, "MOST_METRICS", 1)
+    import pytest
+
+    with pytest.raises(ValueError, match="more than 1"):
+        H.stack_statements(H.statement_tables(pages(spark, own_page(("A", "1", "2"), ("B", "1", "2")))))
 
 
 def test_facts_and_rejects_from_one_reading(spark):
