@@ -23,8 +23,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallystream.llm.common import text_or_empty
+from tallystream.llm.common import stored, text_or_empty
 from tallystream.llm.wordhash import PORTION_BYTES, Words, pieces
+from tallystream.operators.joins import lookup_join
 
 SPAN = 13
 #: Bytes of text a bucket is meant for, windows beyond which it is dealt out again (about four
@@ -39,6 +40,7 @@ REPEATS = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("key", T.LongType()),
+        T.StructField("more", T.LongType()),
         T.StructField("first", T.LongType()),
         T.StructField("windows", T.LongType()),
     ]
@@ -54,17 +56,17 @@ KEPT = T.StructType(
 
 
 def _portions(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray]]:
-    """Words of about PORTION_BYTES of text, with id, key and words before for each text."""
+    """Words of about PORTION_BYTES of text, with id, both parts of the key and words before for each text."""
     texts, ids, keys, befores, held = [], [], [], [], 0
     for batch in batches:
-        for doc, key, text in zip(*(batch.column(n) for n in ("id", "key", "text"))):
+        for doc, key, more, text in zip(*(batch.column(n) for n in ("id", "key", "more", "text"))):
             for piece, before in pieces(text.as_py().encode(), span):
                 if texts and held + len(piece) > PORTION_BYTES:
                     yield Words(texts), np.array(ids), np.array(keys), np.array(befores)
                     texts, ids, keys, befores, held = [], [], [], [], 0
                 texts.append(piece)
                 ids.append(doc.as_py())
-                keys.append(key.as_py())
+                keys.append((key.as_py(), more.as_py()))
                 befores.append(before)
                 held += len(piece)
     if texts:
@@ -98,7 +100,7 @@ class _Gathered:
 
     def block(self, zip_) -> bytes:
         strings = list(self.strings)
-        ids = np.array(self.ids, np.int64)
+        ids, keys = np.array(self.ids, np.int64), np.array(self.keys, np.int64).reshape(-1, 2)
         return zip_.compress(
             b"".join(
                 (
@@ -106,7 +108,9 @@ class _Gathered:
                     np.array([len(s) for s in strings], "<u4").tobytes(),
                     np.array(self.index, "<u4").tobytes(),
                     np.diff(ids, prepend=0).astype("<i8").view("u1").reshape(-1, 8).T.tobytes(),
-                    np.array(self.keys, "<u4").tobytes(),
+                    keys[:, 0].astype("<u4").tobytes(),
+                    # Nearly always all zero, so it takes no room.
+                    keys[:, 1].astype("<i8").tobytes(),
                     np.array(self.firsts, "<u4").view("u1").reshape(-1, 4).T.tobytes(),
                     *strings,
                 )
@@ -124,8 +128,11 @@ def _open(block: bytes, unzip) -> tuple[list[bytes], np.ndarray, np.ndarray, np.
     at += 4 * m
     ids = np.cumsum(np.ascontiguousarray(np.frombuffer(data, "u1", 8 * m, at).reshape(8, m).T).view("<i8").ravel())
     at += 8 * m
-    keys = np.frombuffer(data, "<u4", m, at)
+    keys = np.empty((m, 2), np.int64)
+    keys[:, 0] = np.frombuffer(data, "<u4", m, at)
     at += 4 * m
+    keys[:, 1] = np.frombuffer(data, "<i8", m, at)
+    at += 8 * m
     firsts = np.ascontiguousarray(np.frombuffer(data, "u1", 4 * m, at).reshape(4, m).T).view("<u4").ravel()
     at += 4 * m
     ends = (at + np.cumsum(sizes, dtype=np.int64)).tolist()
@@ -259,15 +266,16 @@ def _find_repeats(span: int):
             edges = np.flatnonzero(np.diff(repeated, prepend=False, append=False))
             n = len(edges) // 2
             starts = firsts[o].astype(np.int64) + edges[::2]
-            out.append((np.full(n, ids[o]), np.full(n, keys[o]), starts, edges[1::2] - edges[::2]))
-        columns = [np.concatenate([o[k] for o in out]).astype(np.int64) for k in range(4)]
+            out.append((np.full(n, ids[o]), np.tile(keys[o], (n, 1)), starts, edges[1::2] - edges[::2]))
+        found_ids, found_keys, *rest = (np.concatenate([o[k] for o in out]).astype(np.int64) for k in range(4))
+        columns = [found_ids, found_keys[:, 0], found_keys[:, 1], *rest]
         return pa.Table.from_arrays([pa.array(c) for c in columns], REPEATS.names)
 
     return find
 
 
 def repeats(rows: DataFrame, span: int = SPAN, bucket_bytes: int = BUCKET_BYTES, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
-    """Runs of repeated windows in rows of id, key, text: id, key, first word, windows."""
+    """Runs of repeated windows in rows of id, key, more, text: id, key, more, first word, windows."""
     spark = rows.sparkSession
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(-(-size // bucket_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -321,16 +329,26 @@ def remove_repeats(documents: DataFrame, span: int = SPAN, **sizes: int) -> Data
     doc_id don't repeat each other. Only doc_id and text are read. An empty table stays empty.
     """
     text = text_or_empty()
-    rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
-        # Tells rows of one id apart; rows alike in both have the same text.
-        F.crc32(text).alias("key"),
-        text.alias("text"),
+    ids = documents.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
+    several = stored(ids.where("n > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    alone = F.col("doc_id").isNotNull()
+    if not several.isEmpty():
+        rows = lookup_join(rows, several.withColumn("_several", F.lit(True)), ["doc_id"])
+        alone = alone & F.col("_several").isNull()
+    # Rows of one id are told apart by 96 bits of their texts; rows alike in those have the same text.
+    # Where the id tells the row, most of the bits are zero.
+    rows = rows.select(
+        "doc_id",
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
+        F.crc32("text").alias("key"),
+        F.when(alone, F.lit(0).cast("long")).otherwise(F.xxhash64("text")).alias("more"),
+        "text",
     )
-    found = repeats(rows.select("id", "key", "text"), span, **sizes)
-    spans = found.groupBy("id", "key").agg(
+    key = ["id", "key", "more"]
+    found = repeats(rows.select(*key, "text"), span, **sizes)
+    spans = found.groupBy(*key).agg(
         F.collect_list(F.struct("first", "windows")).alias("s")
-    ).select("id", "key", F.col("s.first").alias("firsts"), F.col("s.windows").alias("windows"))
-    joined = rows.join(spans, ["id", "key"], "left").select("doc_id", "text", "firsts", "windows")
+    ).select(*key, F.col("s.first").alias("firsts"), F.col("s.windows").alias("windows"))
+    joined = rows.join(spans, key, "left").select("doc_id", "text", "firsts", "windows")
     return joined.mapInArrow(_strip(span), KEPT)

@@ -37,6 +37,55 @@ def test_exact_state_goes_on_from_its_checkpoint(spark, tmp_path):
     assert (base.keep.doc_id, base.n) == (20, 5)
 
 
+def files_of(spark, path, *tables):
+    """Tables read from files of their own."""
+    for n, rows in enumerate(tables):
+        C.documents(spark, rows).write.parquet(f"{path}/d{n}")
+    return [spark.read.parquet(f"{path}/d{n}") for n in range(len(tables))]
+
+
+GROUPS = ("doc_id", "file", "row", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@pytest.mark.parametrize("key_bytes", [32, 1, 0])
+def test_two_runs_over_one_checkpoint_equal_one_over_both_tables(spark, tmp_path, key_bytes):
+    more = C.DOCUMENTS[::2] + [(90, "new"), (91, "new"), (92, C.BASE + " other")]
+    first, second = files_of(spark, tmp_path, C.DOCUMENTS, more)
+    checkpoint = f"{tmp_path}/checkpoint"
+    exact_groups(first, checkpoint, key_bytes=key_bytes).count()
+    twice = C.rows_of(exact_groups(second, checkpoint, key_bytes=key_bytes), *GROUPS)
+    both = spark.read.parquet(f"{tmp_path}/d0", f"{tmp_path}/d1")
+    once = C.rows_of(exact_groups(both, key_bytes=key_bytes), *GROUPS)
+    assert twice == once and len(twice) == len(C.DOCUMENTS) + len(more)
+    # Run again, over files that have been seen.
+    assert C.rows_of(exact_groups(second, checkpoint, key_bytes=key_bytes), *GROUPS) == once
+    assert C.rows_of(exact_groups(first, checkpoint, key_bytes=key_bytes), *GROUPS) == once
+
+
+def test_a_run_that_died_goes_on(spark, tmp_path, monkeypatch):
+    import tallystream.llm.exact_dedup as E
+
+    (docs,) = files_of(spark, tmp_path, C.DOCUMENTS)
+    checkpoint = f"{tmp_path}/checkpoint"
+
+    def die(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(E, "_mixed_digests", die)  # after the batches were committed
+        with pytest.raises(RuntimeError):
+            exact_groups(docs, checkpoint, files_per_batch=1)
+    assert C.rows_of(exact_groups(docs, checkpoint), *GROUPS) == C.rows_of(exact_groups(docs), *GROUPS)
+
+
+def test_copies_of_a_frame_without_files(spark):
+    docs = C.documents(spark)
+    left = drop_exact_copies(docs.withColumn("extra", F.lit(1)))
+    assert left.columns == [*docs.columns, "extra"] and left.count() == len({t or "" for _, t in C.DOCUMENTS})
+    with pytest.raises(Exception, match="doc_id"):
+        exact_groups(docs.drop("doc_id"))
+
+
 def test_drop_exact_copies_keeps_columns(spark, tmp_path):
     C.documents(spark).write.parquet(f"{tmp_path}/d")
     docs = spark.read.parquet(f"{tmp_path}/d")
@@ -51,6 +100,19 @@ def test_remove_repeats_against_all_windows(spark, sizes):
     assert C.rows_of(found, "doc_id", "n_words", "n_removed", "kept_text") == C.sorted_rows(C.without_repeats(C.DOCUMENTS))
 
 
+@pytest.mark.parametrize("ids", [(None, None), (7, 7), (None, 7)])
+def test_texts_of_one_id_and_equal_checksums(spark, ids):
+    import zlib
+
+    # Two texts of one CRC-32.
+    first, base = C.prose(21, 40) + " end", C.prose(22, 60) + " "
+    found = base + "bmaddaanki"
+    assert zlib.crc32(found.encode()) == zlib.crc32(first.encode())
+    rows = [(0, " ".join(first.split()[5:30])), (1, " ".join(base.split()[20:50])), (ids[0], first), (ids[1], found)]
+    got = remove_repeats(C.documents(spark, rows))
+    assert C.rows_of(got, "doc_id", "n_words", "n_removed", "kept_text") == C.sorted_rows(C.without_repeats(rows))
+
+
 def test_a_passage_inside_other_text_goes_once(spark):
     passage = C.prose(9, 60)
     rows = [(i, f"{C.prose(100 + i, 20, 10**9)} {passage} {C.prose(200 + i, 20, 10**9)}") for i in range(40)]
