@@ -5,7 +5,8 @@ is encoded in it: percent escapes and Unicode escapes are undone in place, base6
 of their own at each of four alignments, so that what stands in front of a code doesn't hide it, and
 compressed data that begin anywhere in them, or in the bytes of percent and ``\\x`` escapes, are
 inflated. Every layer is scanned and unwrapped again until nothing new comes out; a layer that has
-been seen for the same place in the document is not taken up again, which ends cycles. What a layer
+been seen for the same place in the document is not taken up again at the same depth or a deeper one, which
+ends cycles. What a layer
 holds is reported with the span of the original text that it comes from, in code points.
 """
 
@@ -15,7 +16,6 @@ import base64
 import re
 import zlib
 from array import array
-from collections import deque
 from collections.abc import Generator, Iterator
 
 import pyarrow as pa
@@ -253,21 +253,37 @@ def unwrapped(layer: Layer) -> Iterator[Layer]:
 
 
 def scan(text: str) -> list[tuple[str, int, int, str]]:
-    """All spans (kind, start, end, layers) of a text by start and kind; base spans have no layers."""
-    found: dict[tuple[str, int, int], str] = {}
+    """All spans (kind, start, end, layers) of a text by start and kind; base spans have no layers.
+
+    The worklist is a stack of layers that are being unwrapped: a layer is scanned as soon as it comes out,
+    and what lies below it before the next one of the same depth, so only one layer of each depth is held
+    at a time, however much is inflated. A layer that was met deeper before is taken up again,
+    so a span keeps the name of the outermost layers that show it.
+    """
+    found: dict[tuple[str, int, int], tuple[int, str]] = {}
+    seen: dict[tuple, int] = {}
+
+    def look(layer: Layer, depth: int) -> None:
+        for kind, start, end in matches(layer.text):
+            span = (kind, *layer.origin(start, end))
+            if span not in found or depth < found[span][0]:
+                found[span] = depth, layer.how
+
     first = Layer(text, "")
-    work, seen = deque([first] if text else []), set()
+    look(first, 0)
+    work = [(first, unwrapped(first))] if text else []
     while work:
-        layer = work.popleft()
-        for kind, start, end in matches(layer.text):
-            found.setdefault((kind, *layer.origin(start, end)), layer.how)
-        for below in unwrapped(layer):
-            if below.text and below.text != layer.text:
-                key = below.key()
-                if key not in seen:
-                    seen.add(key)
-                    work.append(below)
-    return sorted(((k, s, e, how) for (k, s, e), how in found.items()), key=lambda x: (x[1], _ORDER[x[0]], x[2]))
+        above, rest = work[-1]
+        below = next(rest, None)
+        if below is None:
+            work.pop()
+        elif below.text and below.text != above.text:
+            depth, key = len(work), below.key()
+            if depth < seen.get(key, depth + 1):
+                seen[key] = depth
+                look(below, depth)
+                work.append((below, unwrapped(below)))
+    return sorted(((k, s, e, how) for (k, s, e), (_, how) in found.items()), key=lambda x: (x[1], _ORDER[x[0]], x[2]))
 
 
 def scan_secrets(documents: DataFrame) -> DataFrame:

@@ -304,6 +304,59 @@ def test_binary_base64_without_secrets():
     assert scan("A" * 300_000) == [] and scan("a/" * 100_000) == []
 
 
+def test_layers_come_out_one_by_one():
+    import subprocess
+    import sys
+
+    # 1 GB of text in a code of 1.4 MB; what is held is a few stretches of it.
+    script = (
+        "import base64, resource, zlib\n"
+        "from tallystream.llm.secret_scan import scan\n"
+        "z = zlib.compressobj(9)\n"
+        "data = b''.join(z.compress(b'x ' * (1 << 22)) for _ in range(125)) + z.compress(b' password=abcdefgh12 ') + z.flush()\n"
+        "text = base64.b64encode(data).decode()\n"
+        "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss\n"
+        "found = scan(text)\n"
+        "print(len(found), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)\n"
+    )
+    run = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=600)
+    spans, grown = map(int, run.stdout.split())
+    assert spans == 1 and grown < 300, run.stderr
+
+
+def _nested(rng, text, depth):
+    """The text below some layers, and how many code points the outermost has."""
+    for _ in range(depth):
+        text = rng.choice(
+            [
+                lambda t: _b64(t.encode()),
+                lambda t: _b64(gzip.compress(t.encode())),
+                lambda t: urllib.parse.quote(t, safe=""),
+                lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+                lambda t: "".join(f"%{b:02x}" for b in zlib.compress(t.encode())),
+            ]
+        )(text)
+    return text
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_random_nestings_are_unwrapped(seed):
+    import random
+
+    rng = random.Random(seed)
+    secrets = ["password=abcdefgh12", "AKIA" + "Q7" * 10, "0123456789abcdef" * 3]
+    text, places = "", []
+    for secret in rng.sample(secrets, rng.randint(1, 3)):
+        wrapped = _nested(rng, f" {secret} ", rng.randint(1, 4))
+        text += "~ é ~ "
+        places.append((len(text), len(text) + len(wrapped), {"p": "assign", "A": "access", "0": "hex"}[secret[0]]))
+        text += wrapped + " "
+    found = scan(text)
+    for start, end, kind in places:
+        assert any(k == kind and s < end and e > start for k, s, e, _ in found), (kind, text[start:end][:80])
+    assert all(any(s < end and e > start for start, end, _ in places) for _, s, e, _ in found)
+
+
 def test_escapes_inside_a_secret_and_cycles():
     text = "a pass%77ord=abcdefgh12 b"
     assert [(k, text[s:e]) for k, s, e, _ in scan(text)] == [("assign", "pass%77ord=abcdefgh12")]
