@@ -48,7 +48,7 @@ def cut(changes, seed, parts):
 
 
 @pytest.mark.parametrize("mode, loaded", [(IGNORE, 1), (BAG, 3)])
-@pytest.mark.parametrize("seed, folds", [(1, ()), (2, (0, 1, 2, 3)), (3, (1,)), (4, (2, 3))])
+@pytest.mark.parametrize("seed, folds", [(1, ()), (2, (0, 1, 2, 3)), (3, (1,))])
 def test_batches_of_two_writers_in_any_order(spark, tmp_path, mode, loaded, seed, folds):
     target, changes = random_case(seed, keys=25, loaded=loaded)
     log = table(spark, tmp_path / "t", mode, target)
@@ -68,7 +68,7 @@ def test_batches_of_two_writers_in_any_order(spark, tmp_path, mode, loaded, seed
 def test_two_writers_with_and_without_a_fold_between(spark, tmp_path):
     first = [("INSERT", START, 1, "k", 0.0, "x"), ("UPDATE", START + dt.timedelta(seconds=1), 2, "k", 1.0, "x")]
     second = [("UPDATE", START + dt.timedelta(seconds=2), 3, "k", 2.0, "x")]
-    for n, (order, folds) in enumerate(itertools.product(([0, 1], [1, 0]), ([], [0], [0, 1]))):
+    for n, (order, folds) in enumerate(itertools.product(([0, 1], [1, 0]), ([], [0]))):
         log = table(spark, tmp_path / str(n), IGNORE)
         for i in order:
             log.append(spark.createDataFrame((first, second)[i], CHANGES), (100, 0)[i], "ab"[i])
@@ -92,7 +92,7 @@ def test_a_late_deletion_shows_the_insert_that_waited(spark, tmp_path, mode):
     changes = [("INSERT", at(1), 1, "k", 1.0, "x"), ("INSERT", at(5), 5, "k", 5.0, "y"), ("DELETE", at(3), 3, "k", None, None)]
     changes += [("UPDATE", at(2), 2, "k", 9.0, "z"), ("INSERT", at(0), 9, "k", 7.0, "w"), ("DELETE", at(6), 6, "l", None, None)]
     changes += [("INSERT", at(4), 10, "l", 1.0, "gone"), ("UPDATE", at(7), 11, "l", 1.0, "nothing to update")]
-    for n, order in enumerate(random.Random(1).sample(list(itertools.permutations(changes)), 4)):
+    for n, order in enumerate(random.Random(1).sample(list(itertools.permutations(changes)), 2)):
         log = table(spark, tmp_path / str(n), mode)
         for i, change in enumerate(order):
             log.append(spark.createDataFrame([change], CHANGES), i)
