@@ -41,7 +41,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Workers go on to other stages with what they remember, so it is less here.
     """
-    return piece_digests(docs, vocabulary("piece_bpe_32k.model"), kept=150_000)
+    return piece_digests(docs, vocabulary("piece_bpe_32k.model"), kept=40_000)
 
 
 STAGES = [
