@@ -9,8 +9,10 @@ the language with the fewest bits wins.
 The sample is bounded (``texts`` texts and ``chars`` characters a language), so the automata have a
 proven size, are built on the driver and broadcast as one hashed transition table, which grows with
 the transitions there are and not with the alphabet. Every letter of the samples is a symbol. Tasks
-parse many stretches of text at once, one character a step. Texts are parsed whole, in stretches of
-``STRETCH`` characters; a phrase ends where its stretch does.
+parse many stretches of ``STRETCH`` characters at once, one character a step, each as if a phrase
+began with it. A phrase that goes on beyond its stretch is then followed into the next one, until a
+phrase begins where one was taken to begin before: from there on both parses are the same. So texts
+of any length are parsed whole, as from left to right.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tallystream.llm.common import fields, portions
 
 STRETCH = 1024
+#: Times that all unfinished stretches are followed together.
+ROUNDS = 4
 #: Characters parsed together by one task.
 TOGETHER = 3 << 20
 UNKNOWN = "und"
@@ -37,7 +41,7 @@ STRANGE, GAP = 0, 1
 
 @dataclass(frozen=True)
 class Sample:
-    """Bounds of what is learned from: languages, texts and characters of each."""
+    """Bounds of what is learned from: languages, and of each texts and, in all of them, characters."""
 
     languages: int = 200
     texts: int = 64
@@ -45,46 +49,78 @@ class Sample:
 
 
 def labelled(documents: DataFrame) -> DataFrame:
-    """Rows that may be learned from: labelled, with text, and not held out."""
-    return documents.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """Rows that may be learned from: labelled, with id and text, and not held out."""
+    known = [F.col(c).isNotNull() for c in ("doc_id", "lang", "text")]
+    return documents.where(~held_out() & known[0] & known[1] & known[2])
 
 
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
+def known_labels(documents: DataFrame, bound: Sample) -> list[str]:
+    """The labels of most rows, ties to the smallest; with more than ``bound.languages`` a warning says so."""
+    counted = labelled(documents).groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    found = [r.lang for r in counted.limit(bound.languages + 1).collect()]
+    if len(found) > bound.languages:
+        warnings.warn(f"only the {bound.languages} labels of most rows are learned; see Sample.languages", stacklevel=2)
+    return found[: bound.languages]
+
+
+def allotments(sizes: list[int], total: int) -> list[int]:
+    """``total`` dealt out so that none gets more than its size and what is left is shared alike."""
+    given = [0] * len(sizes)
+    waiting = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))
+    for n, i in enumerate(waiting):
+        given[i] = min(sizes[i], total // (len(waiting) - n))
+        total -= given[i]
+    return given
+
+
 def sample_texts(documents: DataFrame, bound: Sample) -> dict[str, list[str]]:
-    """Texts per language, the same for every partitioning: of each of ``bound.texts`` hash
-    classes of ids the row whose id hashes lowest."""
-    rows = labelled(documents).where(F.col("doc_id").isNotNull())
-    mixed = F.xxhash64("doc_id")
+    """Stretches of texts per language, the same for every partitioning.
+
+    Of the rows that have a letter, those ``bound.texts`` whose id and text hash lowest are taken;
+    equal rows are one text. ``bound.chars`` characters are dealt over them: short texts are taken
+    whole, and a longer one gives one stretch that begins where its hash says.
+    """
+    labels = known_labels(documents, bound)
+    if not labels:
+        return {}
+    rows = (
+        labelled(documents)
+        .where(F.col("lang").isin(labels) & F.col("text").rlike(r"\p{L}"))
+        .select("lang", "text", F.xxhash64("doc_id", "text").alias("h"))
+    )
+    # The rank is bounded before the shuffle too, so a label that most rows have stays small.
+    lowest = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     chosen = (
-        rows.select("lang", "doc_id", mixed.alias("h"), F.pmod(mixed, F.lit(bound.texts)).alias("class"))
-        .groupBy("lang", "class")
-        .agg(F.min(F.struct("h", "doc_id")).alias("first"))
-        .select("lang", "first.doc_id")
-        .limit(bound.languages * bound.texts + 1)
+        rows.select("lang", "h", F.length("text").alias("size"))
+        .withColumn("rank", lowest)
+        .where(F.col("rank") <= bound.texts)
+        .select("lang", "h", "size")
+        .distinct()
         .collect()
     )
-    if len(chosen) > bound.languages * bound.texts:
-        raise ValueError(f"more than {bound.languages} labels; raise Sample.languages")
-    ids = sorted({r.doc_id for r in chosen})
-    if not ids:
+    by_label: dict[str, list] = {}
+    for r in sorted(chosen, key=lambda r: (r.lang, r.h)):
+        by_label.setdefault(r.lang, []).append(r)
+    if missing := sorted(set(labels) - set(by_label)):
+        warnings.warn(f"no letter in the texts of {missing}; these labels are not learned", stacklevel=2)
+    plan = [
+        (r.lang, r.h, r.h % (r.size - given + 1) + 1, given)
+        for some in by_label.values()
+        for r, given in zip(some, allotments([r.size for r in some], bound.chars))
+    ]
+    if not plan:
         return {}
-    share = -(-bound.chars // bound.texts)
-    # Texts enter the sample with their share of characters, from the front; several rows of one
-    # id are one text, the largest.
-    taken = (
-        rows.where(F.col("doc_id").isin(ids))
-        .groupBy("lang", "doc_id")
-        .agg(F.max(F.substring("text", 1, 2 * share)).alias("text"))
-        .collect()
-    )
-    wanted = {(r.lang, r.doc_id) for r in chosen}
+    # At most languages * texts rows.
+    planned = documents.sparkSession.createDataFrame(plan, "lang string, h long, start int, taken int")
+    stretch = F.col("text").substr(F.col("start"), F.col("taken"))
+    taken = rows.join(F.broadcast(planned), ["lang", "h"]).select("lang", "h", stretch.alias("text")).distinct().collect()
     found: dict[str, list[str]] = {}
-    for r in sorted(taken, key=lambda r: (r.lang, r.doc_id)):
-        if (r.lang, r.doc_id) in wanted:
-            found.setdefault(r.lang, []).append(r.text)
+    for r in sorted(taken, key=lambda r: (r.lang, r.h, r.text)):
+        found.setdefault(r.lang, []).append(r.text)
     return found
 
 
@@ -216,6 +252,16 @@ class Transitions:
             left, wanted, at = left[more], wanted[more], at[more]
         return out.reshape(states.shape)
 
+    def follow_one(self, state: int, symbol: int) -> int:
+        """``follow`` of one state."""
+        wanted, size = state * self.width + symbol, len(self.keys)
+        at = ((wanted * int(_MIX) & 0xFFFFFFFFFFFFFFFF) >> 32) * size >> 32
+        while (there := self.keys.item(at)) != wanted:
+            if there < 0:
+                return 0
+            at = at + 1 if at + 1 < size else 0
+        return self.to.item(at)
+
 
 @dataclass(frozen=True)
 class Model:
@@ -232,7 +278,7 @@ class Model:
     bits: np.ndarray
 
 
-def learn(texts: dict[str, list[str]], bound: Sample) -> Model:
+def learn(texts: dict[str, list[str]]) -> Model:
     lowered = {lang: [t.lower() for t in some] for lang, some in texts.items()}
     letters = sorted({c for some in lowered.values() for text in some for c in set(text) if c.isalpha()})
     alphabet = Alphabet(letters)
@@ -241,9 +287,7 @@ def learn(texts: dict[str, list[str]], bound: Sample) -> Model:
     for lang in sorted(lowered):
         symbols: list[int | None] = []
         for text in lowered[lang]:
-            if len(symbols) < bound.chars:
-                symbols += [*alphabet.symbols(text).tolist(), None]
-        symbols = symbols[: bound.chars]
+            symbols += [*alphabet.symbols(text).tolist(), None]
         if all(s is None or s == GAP for s in symbols):
             empty.append(lang)
             continue
@@ -274,6 +318,8 @@ class Parser:
     def __init__(self, model: Model):
         self.model = model
         self.alphabet = Alphabet(model.letters)
+        # A byte is held for each character and language.
+        self.together = max(STRETCH, TOGETHER * 8 // max(8, len(model.languages)))
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """Phrases of every text (symbols) under every language."""
@@ -290,10 +336,16 @@ class Parser:
         start = begins[owner] + number * STRETCH
         size = np.minimum(STRETCH, sizes[owner] - number * STRETCH)
         order = np.argsort(-size, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        follower = np.full(len(order), -1, np.int64)
+        goes_on = np.flatnonzero(owner[1:] == owner[:-1])
+        follower[place[goes_on]] = place[goes_on + 1]
         owner, start, size = owner[order], start[order], size[order]
         active = np.searchsorted(-size, -np.arange(size[0]), side="left")  # stretches longer than the step
-        count = np.zeros((kinds, len(owner)), np.int32)
+        count = np.zeros((kinds, len(owner)), np.int64)
         state = np.zeros((kinds, len(owner)), np.int32)
+        begun = []  # by step, where phrases begin; only a stretch that follows another needs it
         for step in range(int(size[0])):
             n = int(active[step])
             symbol = joined[start[:n] + step]
@@ -301,10 +353,75 @@ class Parser:
             ended = to == 0
             count[:, :n] += ended
             state[:, :n] = np.where(ended, model.first[:, symbol], to)
+            if len(goes_on):
+                begun.append(ended)
+        if len(goes_on):
+            count += self._beyond(joined, start, size, follower, state, begun)
         for kind in range(kinds):
             totals[:, kind] = np.bincount(owner, count[kind], len(texts)).astype(np.int64)
         return totals
 
+    def _beyond(self, joined, start, size, follower, state, begun) -> np.ndarray:
+        """By how much the phrases of a stretch are more, given where the one before it ends.
+
+        A stretch whose end changes sends its follower through again; since the first of each
+        text is right from the start, so are one more of each after every round. Where parses don't
+        come together for long, as in a text that repeats a few characters, what is left after
+        ``ROUNDS`` is walked through in order.
+        """
+        model = self.model
+        more = np.zeros(state.shape, np.int64)
+        ends = state.copy()
+        kind, before = (a.ravel() for a in np.indices(state.shape))
+        for _ in range(ROUNDS):
+            goes_on = follower[before] >= 0
+            kind, before = kind[goes_on], before[goes_on]
+            if not len(kind):
+                return more
+            lane = follower[before]
+            held, gained = ends[kind, before], np.zeros(len(kind), np.int64)
+            live, apart = np.arange(len(kind)), np.zeros(len(kind), bool)
+            for step in range(int(size[lane].max())):
+                over = size[lane[live]] <= step
+                apart[live[over]] = True
+                live = live[~over]
+                if not len(live):
+                    break
+                k, at = kind[live], lane[live]
+                symbol = joined[start[at] + step]
+                to = model.table.follow(held[live], symbol)
+                ended, there = to == 0, begun[step][k, at]
+                held[live] = np.where(ended, model.first[k, symbol], to)
+                gained[live] += ended.astype(np.int64) - there
+                live = live[~(ended & there)]
+            apart[live] = True
+            more[kind, lane] = gained
+            new = np.where(apart, held, state[kind, lane])
+            changed = new != ends[kind, lane]
+            ends[kind, lane] = new
+            kind, before = kind[changed], lane[changed]
+        walked = set()
+        for k, at in sorted(zip(kind.tolist(), before.tolist()), key=lambda edge: (edge[0], start[edge[1]])):
+            first = model.first[k]
+            while (k, at) not in walked and follower[at] >= 0:
+                walked.add((k, at))
+                lane, held, gained, apart = int(follower[at]), int(ends[k, at]), 0, True
+                for step, symbol in enumerate(joined[start[lane] : start[lane] + size[lane]].tolist()):
+                    to = model.table.follow_one(held, symbol)
+                    there = bool(begun[step][k, lane])
+                    if to == 0 and there:
+                        apart = False
+                        break
+                    gained += (to == 0) - there
+                    held = to or int(first[symbol])
+                more[k, lane] = gained
+                new = held if apart else int(state[k, lane])
+                if new == ends[k, lane]:
+                    break
+                ends[k, lane] = new
+                at = lane
+        return more
+
     def identify(self, texts: list[str | None]) -> list[tuple[str, float, float | None]]:
         """Language, score and bits per symbol of each text."""
         symbols = [self.alphabet.symbols(t or "") for t in texts]
@@ -335,7 +452,7 @@ def identify_language(text, model_of, key: str):
             _PARSERS[key] = Parser(model_of.value)
         parser = _PARSERS[key]
         for batch in batches:
-            rows = [r for some in portions(batch.tolist(), TOGETHER) for r in parser.identify(some)]
+            rows = [r for some in portions(batch.tolist(), parser.together) for r in parser.identify(some)]
             yield pd.DataFrame(rows, columns=RESULT.names)
 
     return identify(F.coalesce(text, F.lit("")))
@@ -349,7 +466,7 @@ def has_letter(texts: pd.Series) -> pd.Series:
 
 def learned(documents: DataFrame, bound: Sample = Sample()):
     """Broadcast model of a table's labelled rows, and its name in the workers."""
-    model = learn(sample_texts(documents, bound), bound)
+    model = learn(sample_texts(documents, bound))
     shared = documents.sparkSession.sparkContext.broadcast(model)
     return shared, f"{documents.sparkSession.sparkContext.applicationId}-{id(shared)}"
 
@@ -369,7 +486,8 @@ def predict_languages(documents: DataFrame, bound: Sample = Sample()) -> DataFra
 
 def keep_identified(documents: DataFrame, bound: Sample = Sample(), most_bits: float | None = None) -> DataFrame:
     """Rows whose language is found, with all their columns; ``und`` goes, and with ``most_bits``
-    also what is that unlike every learned language.
+    also what is that unlike every learned language. A null ``lang`` becomes the predicted label;
+    given ones stay. Repeated rows and ties are judged row by row.
 
     Where nothing could be learned, no language can be told from another: all rows whose text has a
     letter stay, whatever ``most_bits``, and a warning says so.
@@ -385,4 +503,5 @@ def keep_identified(documents: DataFrame, bound: Sample = Sample(), most_bits: f
     rows = rows.where(F.col("r.lang_pred") != UNKNOWN)
     if most_bits is not None:
         rows = rows.where(F.col("r.bits") <= most_bits)
-    return rows.select("whole.*")
+    whole = {c: F.col(f"whole.`{c}`") for c in documents.columns}
+    return rows.select(*[(F.coalesce(v, F.col("r.lang_pred")) if c == "lang" else v).alias(c) for c, v in whole.items()])

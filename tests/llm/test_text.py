@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallystream.llm.chat_format import TemplateError, compile_template, conversation_digests, fold, format_conversations, parse
+from tallystream.llm import language_id
 from tallystream.llm.decontaminate import contamination, cut_contaminated, drop_contaminated
 from tallystream.llm.language_id import (
     Alphabet,
     Parser,
     Sample,
+    allotments,
     keep_identified,
     learn,
     predict_languages,
+    sample_texts,
     suffix_automaton,
 )
 from tallystream.llm.piece_codec import PieceDecoder, PieceEncoder, decode_pieces, encode_pieces, piece_digests
@@ -369,21 +372,23 @@ def test_escapes_inside_a_secret_and_cycles():
 # op8
 
 
-def test_phrases_are_longest_matches():
+@pytest.mark.parametrize("stretch, rounds", [(1024, 4), (7, 4), (7, 0), (32, 1), (1, 2)])
+def test_phrases_are_longest_matches(monkeypatch, stretch, rounds):
     import random
 
+    monkeypatch.setattr(language_id, "STRETCH", stretch)
+    monkeypatch.setattr(language_id, "ROUNDS", rounds)
+
     random.seed(5)
     samples = {"a": ["".join(random.choices("ab c", k=300)) for _ in range(3)], "b": ["".join(random.choices("bcd e", k=300))]}
-    model = learn(samples, Sample(chars=700))
+    model = learn(samples)
     parser = Parser(model)
-    joined = {}
-    for lang in samples:
-        out = []
-        for text in samples[lang]:
-            if len(out) < 700:
-                out += [*(s if s else None for s in parser.alphabet.symbols(text).tolist()), None]
-        joined[lang] = "".join("\n" if s is None else chr(64 + s) for s in out[:700])
+    joined = {
+        lang: "\n".join("".join(chr(64 + s) for s in parser.alphabet.symbols(text).tolist()) for text in some)
+        for lang, some in samples.items()
+    }
     texts = ["".join(random.choices("abcdez ", k=random.randrange(1, 400))) for _ in range(40)]
+    texts += [samples["a"][0] * 3, "abc" * 100, "ab" * 150 + "z" + "ba" * 150, "b" * 500, "cab c" * 90]
     symbols = [parser.alphabet.symbols(t) for t in texts]
     counted = parser.phrases(symbols)
     for own, row in zip(symbols, counted):
@@ -436,8 +441,53 @@ def test_languages_of_held_out_rows(spark):
     nothing = predict_languages(C.documents(spark, [(1, "abc"), (2, None)]).withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in nothing.collect()} == {"und"}
     assert predict_languages(C.documents(spark, [])).count() == 0
-    with pytest.raises(ValueError):
-        predict_languages(docs, Sample(languages=1, texts=4))
+    filled = {r.doc_id: r.lang for r in keep_identified(docs.withColumn("lang_pred", F.lit(None).cast("string"))).collect()}
+    assert filled[1003] == rows[1][2] and all(filled[n] == lang for n, _, lang in rows[:300])
+    with pytest.warns(UserWarning, match="most rows"):
+        assert len({r.lang_pred for r in predict_languages(docs, Sample(languages=1, texts=4)).collect()} - {"und"}) == 1
+
+
+def test_samples_are_bounded_and_whole(spark):
+    assert allotments([5, 100, 100, 1], 60) == [5, 27, 27, 1] and allotments([3, 4], 100) == [3, 4] and allotments([], 9) == []
+    rows = [(n, C.prose(n, 30 + n % 50), "en" if n % 3 else "fr") for n in range(200)]
+    rows += [(n, "1 2 3 " * n, "fr") for n in range(300, 500)] + [(601, C.prose(7, 9000), "one")] + [(603, "x y", "copies")] * 40
+    bound = Sample(languages=4, texts=10, chars=2000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = sample_texts(docs.repartition(7), bound)
+    assert found == sample_texts(docs.coalesce(1), bound)
+    assert {lang: len(some) for lang, some in found.items() if lang != "copies"} == {"en": 10, "fr": 10, "one": 1}
+    assert all(sum(map(len, some)) <= 2000 for some in found.values()) and len(found["one"][0]) == 2000
+    texts = {lang: [t for _, t, known in rows if known == lang] for lang in found}
+    assert all(any(piece in t for t in texts[lang]) for lang, some in found.items() for piece in some)
+
+
+def test_predictions_against_a_plain_parse(spark):
+    letters = str.maketrans("0123456789", "abcdefghij")
+    rows = [(n, C.prose(n, 40 + 90 * (n % 7), 60 + 300 * (n % 2)).translate(letters), f"l{n % 2}") for n in range(60)]
+    rows += [(90, "wabwc" * 900, None), (91, "wa wb 1 ! wa? " * 300, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    bound = Sample(texts=6, chars=800)
+    samples = sample_texts(docs, bound)
+
+    def plain(text):
+        return re.sub(r"[\W\d_]+", " ", text.lower()).strip()
+
+    corpora = {lang: "\n".join(map(plain, some)) for lang, some in samples.items()}
+
+    def bits(text, corpus):
+        at = phrases = 0
+        while at < len(text):
+            end = at
+            while end < len(text) and text[at : end + 1] in corpus:
+                end += 1
+            at, phrases = max(end, at + 1), phrases + 1
+        return phrases * np.log2(len(corpus) + 1) / len(text)
+
+    for r in predict_languages(docs, bound).collect():
+        text = plain(dict((d, t) for d, t, _ in rows)[r.doc_id])
+        costs = sorted((bits(text, corpora[lang]), lang) for lang in corpora)
+        assert r.lang_pred == costs[0][1]
+        assert r.bits == pytest.approx(costs[0][0]) and r.score == pytest.approx(1 - costs[0][0] / costs[1][0])
 
 
 def test_nothing_learned_keeps_what_has_letters(spark):
@@ -472,18 +522,18 @@ def test_every_letter_of_every_script_is_learned():
     scripts["zh"] = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
     scripts["ja"] = [chr(c) for c in range(0x3041, 0x3097)] + scripts["zh"][:200]
     samples = {lang: [prose(some, 3 if lang == "s13" else 200)] for lang, some in scripts.items()}
-    model = learn(samples, Sample())
+    model = learn(samples)
     assert model.languages == sorted(scripts)
     assert set("".join(t for some in samples.values() for t in some)) - {" "} <= set(model.letters)
     parser = Parser(model)
     for lang, some in samples.items():
         (found, score, _), = parser.identify([some[0][:14]])
         assert found == lang and score > 0
-    # Without any break a text of the sample is one phrase a stretch.
+    # Without any break a text of the sample is one phrase.
     text = samples["zh"][0]
     assert parser.phrases([parser.alphabet.symbols(text[:1000])])[0, model.languages.index("zh")] == 1
     with pytest.warns(UserWarning, match="'none'"):
-        assert learn({"a": ["abc"], "none": ["1 2 3"]}, Sample()).languages == ["a"]
+        assert learn({"a": ["abc"], "none": ["1 2 3"]}).languages == ["a"]
 
 
 def test_odd_letters():
