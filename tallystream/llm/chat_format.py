@@ -365,9 +365,30 @@ def _body(body: list, names: set[str]) -> Render:
     return run
 
 
+def _loops(body: list) -> int:
+    """Loops over the messages that one rendering can come to; messages are streamed, once."""
+    most = 0
+    for node in body:
+        if node[0] == "for":
+            if _loops(node[2]):
+                raise TemplateError("a loop over messages stands within another")
+            most += 1
+        elif node[0] == "mark":
+            most += _loops(node[1])
+        elif node[0] == "if":
+            most += max(_loops(inside) for inside in (*(b for _, b in node[1]), node[2]))
+    return most
+
+
 def compile_template(template: str) -> Callable[[Iterable[dict]], Iterator[object]]:
-    """A function from messages (role and text) to pieces: strings, and BEGIN and END of learned text."""
-    run = _body(fold(parse(template)), {"messages"})
+    """A function from messages (role and text) to pieces: strings, and BEGIN and END of learned text.
+
+    A template that would go through the messages twice is refused.
+    """
+    tree = fold(parse(template))
+    if _loops(tree) > 1:
+        raise TemplateError("messages can be gone through once")
+    run = _body(tree, {"messages"})
     return lambda messages: run({"messages": messages})
 
 

@@ -4,9 +4,10 @@ Offline, once and on the driver, every vocabulary string is tried alone: those t
 gives back as a single token form the *whole-token* set. Counting then looks words up. A
 pre-token of the set counts one; only the rest is merged, by the tokenizer itself, and remembered.
 
-The pre-tokens of this vocabulary never hold white space, so a text's count is the sum over its
-words. Texts for which that can't be shown here (control characters that the two libraries class
-differently, special strings, letters outside the Latin blocks) are given to the tokenizer whole.
+The pre-tokens of this vocabulary never hold white space, and normalization doesn't go across ASCII
+white space, so a text's count is the sum over its words. Words that can't be split here as the
+tokenizer does (control characters that the two libraries class differently, characters outside the
+Latin blocks) are given to the tokenizer one by one, and texts with special strings whole.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ _PLAIN = re.compile("[\x00-\x1b\x20-ɏ]*")
 #: The split above for plain words: a letter is what is a word character, no number and no "_".
 _NUMBERS = "0-9²³¹¼½¾"
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[^\\W{_NUMBERS}_]+|[{_NUMBERS}]|[\\W_]+")
+#: Both libraries take these as white space; a word may hold more of it.
+_WORD = re.compile("[^\t-\r ]+")
 
 
 def tokenizer_of(path: str) -> Tokenizer:
@@ -85,23 +88,21 @@ class TokenCounter:
         return len(self._tokenizer.encode(pre_token, add_special_tokens=False).ids)
 
     def _count_word(self, word: str) -> int:
+        """Tokens of what stands between ASCII white space, as the tokenizer itself gives them."""
         if word in self._whole:
             return 1
-        return sum(1 if p in self._whole else self._merged[p] for p in _SPLIT.findall(word))
+        plain = word if unicodedata.is_normalized("NFC", word) else unicodedata.normalize("NFC", word)
+        if _PLAIN.fullmatch(plain) is None:
+            return self._merge(word)
+        pre_tokens = (p for part in plain.lower().split() for p in _SPLIT.findall(part))
+        return sum(1 if p in self._whole else self._merged[p] for p in pre_tokens)
 
     def count(self, text: str) -> int:
         if not text:
             return 0
-        plain = self._shortcut and not any(s in text for s in self._special)
-        if plain and not text.isascii():
-            if not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
-            plain = _PLAIN.fullmatch(text) is not None
-        elif plain:
-            plain = not ("\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text)
-        if not plain:
+        if not self._shortcut or any(s in text for s in self._special):
             return self._merge(text)
-        return sum(map(self._word.__getitem__, text.lower().split()))
+        return sum(map(self._word.__getitem__, _WORD.findall(text)))
 
 
 @lru_cache(maxsize=4)

@@ -97,6 +97,8 @@ def test_templates():
     assert fold(parse("a{{ 'b' }}{% if 1 %}c{% endif %}{% if '' %}d{% endif %}")) == [("text", "abc")]
     assert _text("{% for m in messages %}{% generation %}{{ m.text }}{% endgeneration %}{% endfor %}") == "|T||U|"
     assert _text("{% for m in messages %}{% if m.role == 'user' and m.text != 'x' or 0 %}u{% else %}o{% endif %}{% endfor %}") == "uo"
+    either = "{% if messages == 1 %}{% for m in messages %}a{% endfor %}{% else %}{% for m in messages %}b{% endfor %}{% endif %}"
+    assert _text(either) == "bb" and _text("{% if 0 %}{% for m in messages %}a{% endfor %}{% endif %}" + either) == "bb"
     for wrong in (
         "{{ x }}",
         "{{ messages.__class__.y(1) }}",
@@ -106,6 +108,9 @@ def test_templates():
         "{% import os %}",
         "{{ 'a' 'b' }}",
         "{{ ( 1 }}",
+        "{% for m in messages %}a{% endfor %}{% for m in messages %}b{% endfor %}",
+        "{% for m in messages %}{% for k in messages %}b{% endfor %}{% endfor %}",
+        "{% for m in messages %}a{% endfor %}{% if messages %}{% generation %}{% for m in messages %}b{% endfor %}{% endgeneration %}{% endif %}",
     ):
         with pytest.raises(TemplateError):
             _text(wrong)
@@ -576,11 +581,22 @@ def test_damaged_bytes_decode_as_the_library_does():
         assert decoder.decode(np.array(ids, "<u4")) == library.decode(ids), ids
 
 
-def test_counts_against_the_library(spark):
+def test_counts_against_the_library(spark, monkeypatch):
+    import random
+
     library = Tokenizer.from_file(WORDS)
     counter = TokenCounter(WORDS, whole_tokens(WORDS), kept=1000)
     for text in fuzz(2000) + ["x" + chr(i) + "y" for i in range(1, 0x260)]:
         assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
+    random.seed(4)
+    odd = [*FUZZ, *"\u0301\u0327\u2019\u2014\u200b\u3000\u2028\u180e\ufeff\u1100\u1161\u11a8\u0345Σ\u2003\x0b\x0c\r", "word", "ΣΑΣ"]
+    for _ in range(4000):
+        text = "".join(random.choices(odd, k=random.randrange(2, 14)))
+        assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), text
+    asked = []
+    counter = TokenCounter(WORDS, whole_tokens(WORDS))
+    monkeypatch.setattr(counter, "_merge", lambda word: asked.append(word) or 1)
+    assert counter.count("the end \u2014 of the day") == 6 and asked == ["\u2014"]
     found = count_tokens(C.documents(spark), WORDS, 10)
     want = []
     for d, t in C.DOCUMENTS:
