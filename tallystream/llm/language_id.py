@@ -455,7 +455,8 @@ def identify_language(text, model_of, key: str):
             rows = [r for some in portions(batch.tolist(), parser.together) for r in parser.identify(some)]
             yield pd.DataFrame(rows, columns=RESULT.names)
 
-    return identify(F.coalesce(text, F.lit("")))
+    # Else a filter on the result would make the optimizer run it once more.
+    return identify.asNondeterministic()(F.coalesce(text, F.lit("")))
 
 
 @F.pandas_udf(T.BooleanType())
