@@ -149,6 +149,8 @@ class Slots:
         self.starts = np.flatnonzero(self._inside)
         self.length = 1
         self.slots = self._slots()
+        #: When both parts of each phrase had reached the threshold; words have none.
+        self.later = np.zeros(len(self.starts), np.uint8)
 
     def _slots(self) -> np.ndarray:
         """Two rows: a slot of the first table and one of the second, which lies behind it."""
@@ -164,8 +166,12 @@ class Slots:
         return both
 
     def reached(self, table: np.ndarray) -> np.ndarray:
-        """When each phrase's slots had both reached the threshold."""
-        return np.maximum(table[self.slots[0]], table[self.slots[1]])
+        """When each phrase's slots had both reached the threshold, but never before its parts had.
+
+        Others may fill the slots of a phrase before it is counted. What grows from it isn't met before
+        its parts have reached the threshold, so a cycle that began with the slots would lack scans.
+        """
+        return np.maximum(np.maximum(table[self.slots[0]], table[self.slots[1]]), self.later)
 
     def grow(self, reached: np.ndarray) -> np.ndarray | None:
         """On to phrases of one word more.
@@ -185,7 +191,7 @@ class Slots:
             return None
         turned = self._so_far[self.starts]
         self._so_far[self.starts] = ((turned << np.uint64(27) | turned >> np.uint64(37)) + self._words[self.starts + n]) * _MIX
-        self.slots = self._slots()
+        self.slots, self.later = self._slots(), both
         return both
 
 

@@ -5,16 +5,17 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import reduce
 
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from tallystream.llm.best_fit import Packing, Underfull, best_fit, cuts, pack, pack_documents, pack_pieces
 from tallystream.llm.hard_negatives import Block, Mining, Search, hard_negatives, pack_blocks, search_block, usable
-from tallystream.llm.phrase_mining import Counting, collocations, count_cyclically, frequent_phrases, portions_of, words_of, _opened
+from tallystream.llm.phrase_mining import Counting, collocations, count_cyclically, frequent_phrases, portions_of, words_of, _exact, _opened
 from tests.llm import cases as C
 
 # op11
@@ -113,6 +114,23 @@ def test_lengths_are_interleaved(spark):
     assert steps == [{0}, {1}, {2}, {3}, {4}] and cycle.steps == 8
 
 
+def test_a_phrase_in_full_slots_waits_for_its_words(spark):
+    # Seed and bits with which others fill the slots of a part of "p q r s t" scans before its words are frequent.
+    rng = random.Random(87)
+    rng.choice([6, 7, 8, 9, 10])
+    counting = Counting(threshold=4, shards=4, slot_bits=7)
+    texts = [[" ".join(f"w{rng.randint(0, 25) + n * 6}" for _ in range(8)) for _ in range(10)] for n in range(4)]
+    for some in texts:
+        some += ["p q r s t u"] * rng.choice([0, 0, 1, 2, 3])
+    frames = [spark.createDataFrame([("en", t) for t in some], "lang string, text string").coalesce(1) for some in texts]
+    shards = [portions_of(df, counting) for df in frames]
+    cycle = count_cyclically(shards, counting)
+    sent = spark.sparkContext.broadcast(zlib.compress(cycle.reached.tobytes(), 1))
+    found = {r.phrase: r.n for r in _exact(reduce(DataFrame.union, shards), sent, counting).collect()}
+    plain = Counter(" ".join(w[i : i + 5]) for some in texts for w in map(str.split, some) for i in range(len(w) - 4))
+    assert {p: n for p, n in plain.items() if n >= 4}.items() <= found.items() and found["p q r s t"] >= 4
+
+
 def test_shards_are_a_partition_of_the_texts(spark):
     rows = [(lang, text) for lang, text in chatter(3, 100) if lang and text]
     counting = Counting(shards=3, portion_bytes=200)
