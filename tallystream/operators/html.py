@@ -44,23 +44,25 @@ _INVISIBLE = r"(?is)<(?:!--.*?-->|(script|style)\b[^>]*>.*?</\1\s*>)"
 
 
 def _rare_decoder():
-    """The one Python step; defined here so that workers need not import this package."""
+    """Text to text; defined here so that workers need not import this package."""
     rare = re.compile(_RARE_ENTITY)
 
     def plain(match):
         # Characters that could read as markup stay escaped.
         return _html.escape(_html.unescape(match.group(0)), quote=False)
 
-    def decode(markup: pd.Series) -> pd.Series:
-        return markup.map(lambda m: None if m is None else rare.sub(plain, m))
-
-    return F.pandas_udf(decode, T.StringType())
+    return lambda markup: rare.sub(plain, markup)
 
 
 def decode_rare_entities(markup: Column) -> Column:
     """All entities but the common ones; only markup that holds some goes through Python."""
+    plain = _rare_decoder()
+
+    def decode(markup: pd.Series) -> pd.Series:
+        return markup.map(lambda m: None if m is None else plain(m))
+
     needs = markup.rlike(_RARE_ENTITY)
-    return F.coalesce(_rare_decoder()(F.when(needs, markup)), markup)
+    return F.coalesce(F.pandas_udf(decode, T.StringType())(F.when(needs, markup)), markup)
 
 
 def cell_text(markup: Column) -> Column:
@@ -148,9 +150,12 @@ def statement_tables(
     ``reason`` says why a page gives no statement and is null for a good page.
     """
     kept = [c for c in pages.columns if c != "html"]
+    kinds = ("td",) if header_cells_anywhere else ("td", "th")
+    # Both Python steps read the table as it is found, so that they run side by side.
+    inner = nested_rows(F.when(F.col("_nested"), F.col("_table")), kinds, ("th",), _rare_decoder())
     found = (
         _with_table(pages, section_id)
-        .withColumn("_table", decode_rare_entities(F.col("_table")))
+        .withColumns({"_table": decode_rare_entities(F.col("_table")), "_deep": inner})
         .withColumn("_rows", _open_elements(F.col("_table"), "tr", _NEXT_ROW))
     )
     cell_tag = "td" if header_cells_anywhere else "t[hd]"
@@ -172,15 +177,13 @@ def statement_tables(
         .when(F.col("_table") == "", "no_table")
         .when(F.size("_rows") < 2, "empty_table")
     )
-    kinds = ("td",) if header_cells_anywhere else ("td", "th")
     nested, deep_rows = F.col("_nested"), F.col("_deep.rows")
-    found = found.withColumn("_deep", F.when(nested, nested_rows(F.col("_table"), cell_text, kinds, ("th",))))
     deep_head = F.col("_deep.head") if header_cells_anywhere else F.get(deep_rows, F.lit(0))
     deep_body = F.transform(
         F.slice(deep_rows, F.lit(2), F.greatest(F.size(deep_rows) - 1, F.lit(0))),
-        lambda cells, i: F.struct((i + 1).cast("int").alias("row_idx"), cells.alias("cells")),
+        lambda cells, i: F.struct((i + 1).cast("int").alias("row_idx"), F.transform(cells, cell_text).alias("cells")),
     )
-    head = F.when(nested, deep_head).otherwise(F.transform(head, cell_text))
+    head = F.transform(F.when(nested, deep_head).otherwise(head), cell_text)
     body = F.when(nested, deep_body).otherwise(body)
     # Without body rows header and body are empty, so such a page unfolds to nothing.
     usable = reason.isNull()

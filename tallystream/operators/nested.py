@@ -1,8 +1,7 @@
 """Tables that hold tables, read by the depth of their tags.
 
-The markup is split before each tag of a table, row or cell. A fold over the split gives every piece
-the number of tables that are open around it, and an element reaches from its opening tag to the
-next piece that ends it: its own end tag, the next cell or row of the same table, or the end of
+Every tag of a table, row or cell has the number of tables that are open around it, and an element
+reaches from its opening tag to the next tag that ends it: its own end tag, the next cell or row of the same table, or the end of
 that table. What lies deeper belongs to it whole. So the cells of a row are all cells within, those
 of inner tables included and in document order; the rows of a table are all rows within; and a cell's
 text is all text within.
@@ -10,13 +9,15 @@ text is all text within.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 _TABLE_TAG = r"(?i)(?=</?table\b)"
-_TAG = r"(?i)(?=</?(?:table|tr|td|th)\b)"
-_NAME = r"(?i)\A<(/?(?:table|tr|td|th))\b"
+_TAG_NAME = r"(?i)<(/?(?:table|tr|td|th))\b"
+_NAME = r"(?i)\A<(/?table)\b"
 
 _OPEN, _CLOSE = "table", "/table"
 _ROW = ("tr",)
@@ -63,45 +64,50 @@ def balanced_table(markup: Column) -> Column:
     return _let(F.split(markup, _TABLE_TAG), lambda p: _let(_names(p), lambda n: _let(_depths(n), lambda d: cut(p, n, d))))
 
 
-def nested_rows(table: Column, cell_text: Callable[[Column], Column], cells: tuple[str, ...], head: tuple[str, ...]) -> Column:
-    """Struct of a table's texts: ``head``, all cells of some kinds in document order, and ``rows``, per row
-    all cells of some kinds within it."""
-
-    def read(pieces: Column, names: Column, depths: Column) -> Column:
-        marked = F.transform(
-            F.arrays_zip(names.alias("n"), depths.alias("d")),
-            lambda x, i: F.struct((i + 1).alias("i"), x["n"].alias("n"), x["d"].alias("d")),
-        )
-        return _let(marked, lambda all_: found(pieces, F.filter(all_, lambda x: x["n"] != "")))
-
-    def reach(x: Column, tags: Column, ends: tuple[str, ...], size: Column) -> Column:
-        """Number of the piece with which an element is over."""
-        stop = F.filter(
-            tags, lambda y: (y["i"] > x["i"]) & ((y["d"] < x["d"]) | ((y["d"] == x["d"]) & y["n"].isin(*ends)))
-        )
-        return F.coalesce(F.get(stop, F.lit(0))["i"], size + 1)
-
-    def found(pieces: Column, tags: Column) -> Column:
-        return _let(tags, lambda t: _let(texts(pieces, t), lambda c: parted(t, c, F.size(pieces))))
-
-    def texts(pieces: Column, tags: Column) -> Column:
-        opening = F.filter(tags, lambda x: x["n"].isin("td", "th"))
-
-        def text(x: Column) -> Column:
-            end = reach(x, tags, _ENDS_CELL, F.size(pieces))
-            whole = F.array_join(F.slice(pieces, x["i"], end - x["i"]), "")
-            return F.struct(x["i"].alias("i"), x["n"].alias("n"), cell_text(whole).alias("text"))
-
-        return F.transform(opening, text)
-
-    def parted(tags: Column, texts_: Column, size: Column) -> Column:
-        def row(x: Column) -> Column:
-            return _let(
-                reach(x, tags, _ENDS_ROW, size),
-                lambda end: F.filter(texts_, lambda c: (c["i"] > x["i"]) & (c["i"] < end) & c["n"].isin(*cells))["text"],
-            )
-
-        rows = F.transform(F.filter(tags, lambda x: x["n"].isin(*_ROW)), row)
-        return F.struct(F.filter(texts_, lambda c: c["n"].isin(*head))["text"].alias("head"), rows.alias("rows"))
-
-    return _let(F.split(table, _TAG), lambda p: _let(_names(p), lambda n: _let(_depths(n), lambda d: read(p, n, d))))
+def _marked_up(cells: tuple[str, ...], head: tuple[str, ...], plain: Callable[[str], str]):
+    """Markup of the cells of ``nested_rows``; defined here so that workers need not import this package."""
+    tag = re.compile(_TAG_NAME)
+    opens, closes, row, ends_row, ends_cell = _OPEN, _CLOSE, _ROW, _ENDS_ROW, _ENDS_CELL
+
+    def read_one(markup: str) -> tuple[list, list]:
+        # At most one cell and one row is open per depth, so one pass over the tags is enough.
+        depth, open_cells, open_rows = 0, {}, {}
+        kinds, spans, rows = [], [], []
+        for found in tag.finditer(markup):
+            name, at = found.group(1).lower(), found.start()
+            over = depth  # what this tag ends lies this deep
+            if name == opens:
+                depth += 1
+            elif name == closes:
+                depth -= 1
+            if name == closes or name in ends_cell:
+                if over in open_cells:
+                    spans[open_cells.pop(over)][1] = at
+                if over in open_rows and (name == closes or name in ends_row):
+                    rows[open_rows.pop(over)][1] = len(spans)
+            if name in row:
+                open_rows[depth] = len(rows)
+                rows.append([len(spans), None])
+            elif name in ("td", "th"):
+                open_cells[depth] = len(spans)
+                kinds.append(name)
+                spans.append([at, len(markup)])
+        texts = [markup[a:b] for a, b in spans]
+        inside = [[texts[i] for i in range(a, len(texts) if b is None else b) if kinds[i] in cells] for a, b in rows]
+        return [t for t, k in zip(texts, kinds) if k in head], inside
+
+    def read(markup: pd.Series) -> pd.DataFrame:
+        found = [(None, None) if m is None else read_one(plain(m)) for m in markup]
+        return pd.DataFrame({"head": [h for h, _ in found], "rows": [r for _, r in found]})
+
+    return F.pandas_udf(read, "head array<string>, rows array<array<string>>")
+
+
+def nested_rows(table: Column, cells: tuple[str, ...], head: tuple[str, ...], plain: Callable[[str], str]) -> Column:
+    """Struct of a table's markup: ``head``, all cells of some kinds in document order, and ``rows``, per row
+    all cells of some kinds within it. ``plain`` is done to the table first.
+
+    A fold per cell over all tags took time with the square of a table's tags, so its tags are gone
+    through once, in Python; only tables that hold tables should come here.
+    """
+    return _marked_up(cells, head, plain)(table)
