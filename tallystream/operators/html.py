@@ -65,13 +65,18 @@ def decode_rare_entities(markup: Column) -> Column:
     return F.coalesce(F.pandas_udf(decode, T.StringType())(F.when(needs, markup)), markup)
 
 
+# Visible ASCII, with spaces between, that has neither tags nor entities: nothing to do.
+_PLAIN_CELL = r"\A(?:[!-%'-;=-~](?:[ -%'-;=-~]*[!-%'-;=-~])?)?\z"
+
+
 def cell_text(markup: Column) -> Column:
     """Text of a cell: no tags, entities decoded, stripped."""
     bare = F.when(markup.contains("<"), F.regexp_replace(markup, "<[^>]*>", "")).otherwise(markup)
     text = bare
     for entity, char in _ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return strip_text(F.when(bare.contains("&"), text).otherwise(bare))
+    read = strip_text(F.when(bare.contains("&"), text).otherwise(bare))
+    return F.when(markup.rlike(_PLAIN_CELL), markup).otherwise(read)
 
 
 def _elements(markup: Column, tag: str) -> Column:
@@ -80,12 +85,15 @@ def _elements(markup: Column, tag: str) -> Column:
 
 
 def _open_elements(markup: Column, tag: str, ends: str) -> Column:
-    """Elements that may lack their end tags: each goes to its end tag, or to what ends it as well."""
-    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)(?=</{tag}\s*>|{ends}|\z)"
+    """Elements that may lack their end tags: each goes to its end tag, or to what ends it as well.
+
+    ``ends`` follows a ``<``. Only there an element may end, so what lies between is passed over whole.
+    """
+    pattern = rf"(?is)<{tag}\b[^>]*>([^<]*+(?:<(?!/{tag}\s*>|{ends})[^<]*+)*+)"
     return F.regexp_extract_all(markup, F.lit(pattern), 1)
 
 
-_NEXT_CELL, _NEXT_ROW = r"<t[hdr]\b|</t(?:r|able|head|body|foot)\b", r"<tr\b|</table\b"
+_NEXT_CELL, _NEXT_ROW = r"t[hdr]\b|/t(?:r|able|head|body|foot)\b", r"tr\b|/table\b"
 
 
 def _with_table(pages: DataFrame, section_id: str) -> DataFrame:
@@ -428,7 +436,9 @@ def page_metrics(tables: DataFrame, label_mark: str = LABEL_MARK) -> DataFrame:
     def level(text: Column) -> Column:
         bare = number_text(text)
         whole = bare.rlike(r"^-?[0-9]{1,15}\z")
-        return F.when(whole, 0).when(number_value(bare).isNotNull(), 1).otherwise(2)
+        # Most cells show at once that they are a number and no integer.
+        shown = text.rlike(r"^[0-9][0-9,]*\.[0-9]+%?\z")
+        return F.when(shown, 1).when(whole, 0).when(number_value(bare).isNotNull(), 1).otherwise(2)
 
     highest = F.coalesce(F.array_max(F.transform(cells, level)), F.lit(0))
     named = rows.select("page_id", normalize_header(F.get("cells", F.lit(0))).alias("metric"), highest.alias("l"), F.size(cells).alias("n"))

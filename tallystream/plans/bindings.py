@@ -248,24 +248,24 @@ def statement_pages(spark: SparkSession, sf_dir: str, damaged: bool = False) ->
     ``damaged`` pages lack a section, a table or its rows, or have a short row, depending on how
     many periods the company has.
     """
-    per_company = (
-        facts(spark, sf_dir, PAGE_METRIC)
-        .groupBy(COMPANY)
-        .agg(F.sort_array(F.collect_list(F.struct("y", YEAR, *METRICS))).alias("p"))
-    )
+    # Cells are written row by row, where the rows of a company meet: lambdas over arrays cost far more.
+    rows = facts(spark, sf_dir, PAGE_METRIC).repartition(COMPANY)
 
-    def cells(metric: str, short=None):
+    def cell(metric: str):
         tail = "%" if metric.endswith("percent") else ""
+        return F.concat(F.lit("<td>"), F.format_number(metric, 6), F.lit(f"{tail}</td>")).alias(metric)
+
+    written = rows.select(COMPANY, "y", F.concat(F.lit("<th>"), YEAR, F.lit("</th>")).alias(YEAR), *[cell(m) for m in METRICS])
+    per_company = written.groupBy(COMPANY).agg(F.sort_array(F.collect_list(F.struct("y", YEAR, *METRICS))).alias("p"))
+
+    def cells(metric: str, short=None):
         periods = F.col("p")
         if short is not None:
             periods = F.slice("p", F.lit(1), F.size("p") - F.when(short, 1).otherwise(0))
-        return F.transform(
-            periods,
-            lambda x: F.concat(F.lit("<td>"), F.format_number(x[metric], 6), F.lit(f"{tail}</td>")),
-        )
+        return periods[metric]
 
     n = F.size("p")
-    head = F.array_join(F.transform("p", lambda x: F.concat(F.lit("<th>"), x[YEAR], F.lit("</th>"))), "")
+    head = F.array_join(F.col("p")[YEAR], "")
     rows = []
     for label, metric in zip(LABELS, METRICS):
         ragged = (n % 2 == 1) if damaged and metric == "Interest" else None
