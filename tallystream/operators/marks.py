@@ -116,7 +116,8 @@ def only_new(changes: DataFrame, applied: DataFrame, limits: JoinLimits = DEFAUL
     contents = F.struct(*changes.columns)
     by = Window.partitionBy("audit_id").orderBy("changed_at", F.xxhash64(contents), F.to_json(contents))
     first = again.distinct().withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
-    return others.unionByName(first), known
+    # What follows reads the changes many times, and each would join them with the ids again.
+    return settle(others.unionByName(first)), known
 
 
 def _later(a: Column, b: Column) -> Column:

@@ -59,10 +59,13 @@ def apply_records(
     """One batch of records into the table's log; bad ones into their own folder per batch."""
     if skip_periods is None:
         skip_periods = [TRAILING_PERIOD] if company else []
-    triaged = triage(decode(records, company), company).persist()
+    triaged = triage(decode(records, company), company)
+    if not rejects_path:  # read once
+        table.append(prepare(triaged, company, skip_periods), batch_id, writer)
+        return
+    triaged.persist()
     try:
-        if rejects_path:
-            rejects(triaged).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
+        rejects(triaged).write.mode("overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
         table.append(prepare(triaged, company, skip_periods), batch_id, writer)
     finally:
         triaged.unpersist()

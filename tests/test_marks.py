@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallystream.operators.fold import BAG, IGNORE
-from tallystream.operators.joins import JoinLimits
+from tallystream.operators.joins import JoinLimits, is_stored
 from tallystream.operators.marks import (
     APPLIED,
     initial_state,
@@ -113,6 +113,12 @@ def test_an_id_counts_once_whatever_it_says(spark, tmp_path):
     assert [(r.n_changes, r.n_repeated) for r in log.notes().orderBy("version").collect()] == [(1, 499), (2, 2)]
 
 
+def test_changes_are_stored_once_their_repeats_are_out(spark):
+    some = [("INSERT", START, n % 3, "k", 1.0, "x") for n in range(5)]
+    fresh, known = only_new(spark.createDataFrame(some, CHANGES).repartition(2), spark.createDataFrame([], APPLIED))
+    assert known.count() == 2 and fresh.count() == 3 and is_stored(fresh)
+
+
 def test_of_one_id_in_a_batch_the_earliest_counts(spark):
     rows = [("INSERT", START + dt.timedelta(seconds=s), 1, "k", float(s), "x") for s in (5, 3, 4, 3)]
     for some in itertools.permutations(rows):
