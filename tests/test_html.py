@@ -291,3 +291,20 @@ def test_facts_and_rejects_from_one_reading(spark):
     }
     same = [tuple(r) for r in H.extract_statements(df).orderBy("Company_id", YEAR, "Sales_plus").collect()]
     assert same == [tuple(r) for r in H.facts_of(read).orderBy("Company_id", YEAR, "Sales_plus").collect()]
+
+
+def test_plain_cells_and_others_read_the_same(spark):
+    texts = ["", "1,234.5%", "a b", " a", "a ", "a\n", "a\u00a0", "\x1ca", "a>b", "a;b", "&amp;", "<b>x</b> ", "\u3000é", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(H.cell_text(F.col("t")).alias("t")).collect()
+    assert [r.t for r in got] == ["", "1,234.5%", "a b", "a", "a", "a", "a", "a", "a>b", "a;b", "&", "x", "é", None]
+
+
+def test_pages_are_written_without_lambdas(spark):
+    from unittest import mock
+
+    from tallystream.plans import bindings as B
+
+    frames = {n: spark.range(9).select(F.from_json(F.lit(""), B.TABLES[n]).alias("r")).select("r.*") for n in ("lineitem", "orders")}
+    with mock.patch.object(B, "table", lambda spark, sf_dir, name: frames[name]):
+        plan = B.statement_pages(spark, "")._jdf.queryExecution().analyzed().toString()
+    assert "lambda" not in plan
