@@ -23,6 +23,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: Rows go to Python, and are read from files, in batches that are bounded in bytes, not only in rows: texts
+#: may be long, and each task holds a few batches.
+SMALL_BATCHES = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "6m",
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Settings for tables of texts, from now on; a frame is run under those that hold when it is written."""
+    for name, value in SMALL_BATCHES.items():
+        spark.conf.set(name, value)
+
+
 def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
     """Write once into the shared folder and read again: lineage is cut and files can be located.
 
@@ -33,9 +47,9 @@ def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(where)
 
 
-def portions(texts: Sequence[str], chars: int = PORTION_CHARS) -> Iterator[list[str]]:
-    """Consecutive texts of about ``chars`` characters together; a longer text is a portion alone."""
-    some: list[str] = []
+def portions[S: (str, bytes)](texts: Sequence[S], chars: int = PORTION_CHARS) -> Iterator[list[S]]:
+    """Consecutive texts of about ``chars`` characters (or bytes) together; a longer text is a portion alone."""
+    some: list[S] = []
     held = 0
     for text in texts:
         if some and held + len(text) > chars:

@@ -24,9 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tallystream.llm.common import fields, stored, text_or_empty
+from tallystream.llm.common import fields, portions, stored, text_or_empty
 from tallystream.llm.components import connected_components
-from tallystream.llm.wordhash import PORTION_BYTES, Words, pieces
+from tallystream.llm.wordhash import Words, pieces
 from tallystream.operators.joins import lookup_join
 from tallystream.session import settle
 
@@ -35,7 +35,10 @@ BANDS, ROWS = 40, 6
 VALUES = BANDS * ROWS
 TOLERANCE, STEP = 1e-6, 16
 #: Classes of a block, and classes of small neighbourhoods that are compared by one call.
-BLOCK, TOGETHER = 400, 1500
+BLOCK, TOGETHER = 400, 500
+#: Bytes of texts whose shingles are in memory at once, with some 30 bytes for each; a longer text is
+#: taken alone.
+TEXT_BYTES = 256 << 10
 NO_ID = 2**63 - 1
 
 # Word bytes as they are, A-Z lower-cased, everything else a space.
@@ -115,7 +118,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lo = 0
         while lo < len(texts):
             normal, size = [], 0
-            while lo + len(normal) < len(texts) and size < PORTION_BYTES:
+            while lo + len(normal) < len(texts) and size < TEXT_BYTES:
                 normal.append(normal_words(texts[lo + len(normal)].as_py()))
                 size += len(normal[-1])
             hashes, owner = shingles(normal)
@@ -209,10 +212,13 @@ def _root(parent: np.ndarray, n: int) -> int:
 
 def _compare(keys: list[bytes], copies: np.ndarray, blocks: np.ndarray, texts: list[bytes]) -> list[tuple]:
     """Links of each class within one neighbourhood's block, or between two of its blocks."""
-    hashes, owner = shingles(texts)
-    values = signatures(hashes, owner, len(texts))
-    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
-    sets = [np.unique(hashes[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+    signed, sets = [], []
+    for some in portions(texts, TEXT_BYTES):
+        hashes, owner = shingles(some)
+        signed.append(signatures(hashes, owner, len(some)))
+        edges = np.searchsorted(owner, np.arange(len(some) + 1))
+        sets += [np.unique(hashes[a:b]) for a, b in zip(edges[:-1], edges[1:])]
+    values = np.concatenate(signed)
     one = blocks == blocks.min()
     a = np.flatnonzero(one)
     b = a if one.all() else np.flatnonzero(~one)

@@ -8,6 +8,8 @@ import numpy as np
 
 #: Bytes of text that are analysed together.
 PORTION_BYTES = 2 << 20
+#: Powers are kept for the longest portion so far, rounded up to this many.
+_POWERS_BY = 1 << 18
 
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -34,7 +36,7 @@ class _Powers:
 
     def to(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < size:
-            size = max(size, PORTION_BYTES + (PORTION_BYTES >> 2))
+            size = -(-size // _POWERS_BY) * _POWERS_BY
             for name, base in (("up", int(_BASE)), ("down", _inverse(int(_BASE)))):
                 steps = np.full(size, base, np.uint64)
                 steps[0] = 1

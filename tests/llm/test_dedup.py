@@ -153,6 +153,31 @@ def test_a_large_group_is_compared_in_blocks(spark, monkeypatch):
     assert C.rows_of(found, "doc_id", "class_id", "n_links", "n_copies") == C.sorted_rows(C.near_groups(rows))
 
 
+def test_a_neighbourhood_is_shingled_in_portions(monkeypatch):
+    import numpy as np
+
+    import tallystream.llm.jaccard_join as J
+
+    texts = [J.normal_words(C.near(1000 + i)) for i in range(40)] + [b"", b"two words"]
+    keys = [b"%03d" % i for i in range(len(texts))]
+    numbers = (np.arange(len(texts)) % 3 + 1, np.arange(len(texts)) % 2)
+    want = J._compare(keys, *numbers, texts)
+    held, whole = [], J.shingles
+    monkeypatch.setattr(J, "shingles", lambda some: held.append(sum(map(len, some))) or whole(some))
+    monkeypatch.setattr(J, "TEXT_BYTES", 2000)
+    assert J._compare(keys, *numbers, texts) == want
+    assert len(held) > 1 and max(held) <= 2000
+
+
+def test_powers_are_kept_for_what_was_seen():
+    from tallystream.llm.wordhash import _Powers
+
+    powers, longer = _Powers(), _Powers()
+    assert len(powers.to(1000)[0]) < 1 << 20
+    for a, b in zip(powers.to(300_000), longer.to(1_000_000)):
+        assert 300_000 <= len(a) < len(b) and (a == b[: len(a)]).all()
+
+
 def test_drop_near_copies_keeps_one_of_each_group(spark):
     docs = C.documents(spark, [r for r in C.DOCUMENTS if r != (20, C.BASE)])
     left = drop_near_copies(docs)

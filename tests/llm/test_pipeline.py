@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
@@ -41,6 +42,29 @@ def test_pipeline_against_a_plain_version(spark, tmp_path):
     assert C.rows_of(found, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == C.sorted_rows(_by_hand(rows, C.BENCHMARK))
 
 
+def test_every_stage_sends_long_texts_in_small_batches(spark, tmp_path):
+    _write(spark, str(tmp_path), C.DOCUMENTS, C.BENCHMARK)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    long_rows = spark.range(0, 1500, 1, 1).select(F.repeat(F.lit("x"), F.lit(10_000)).alias("text"))
+    names = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in names}
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            for setting in names:
+                spark.conf.unset(setting)
+            stage(spark, docs, str(tmp_path))
+            assert max(r.size for r in long_rows.mapInArrow(sizes, "size long").collect()) < 7_000_000, name
+            assert int(spark.conf.get(names[1])) <= 512, name
+    finally:
+        for setting, value in before.items():
+            spark.conf.set(setting, value)
+
+
 def test_stages_keep_the_columns_and_take_empty_tables(spark, tmp_path):
     _write(spark, str(tmp_path / "some"), C.DOCUMENTS, C.BENCHMARK)
     _write(spark, str(tmp_path / "none"), [], [])
