@@ -15,8 +15,10 @@ Readers read the files that notes name (``committed``).
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -27,6 +29,11 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from pyspark.sql.types import StructType
 
 
+#: Seconds in which a batch that failed removes what its other tasks, which are being stopped, still write; Spark
+#: gives their Python workers 2.
+LATE = 3.0
+
+
 def file_system(path: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
 
@@ -61,7 +68,7 @@ class _Table:
         except BaseException:
             if writer is not None:
                 writer.close()
-                system.delete_file(f"{root}/files/{name}")
+                self.remove({name})
             raise
         if writer is None:
             return Staged("", 0)
@@ -86,6 +93,10 @@ class _Table:
         self.remove(self._of_attempt() - set(kept))
 
     def abort(self) -> None:
+        until = time.monotonic() + LATE
+        while time.monotonic() < until:
+            self.remove(self._of_attempt())
+            time.sleep(0.1)
         self.remove(self._of_attempt())
 
     def _of_attempt(self) -> set[str]:
@@ -96,7 +107,8 @@ class _Table:
     def remove(self, names: set[str]) -> None:
         system, root = file_system(self.path)
         for name in names:
-            system.delete_file(f"{root}/files/{name}")
+            with suppress(FileNotFoundError):  # its task, or the driver, was first
+                system.delete_file(f"{root}/files/{name}")
 
 
 class StagedWriter(DataSourceArrowWriter):

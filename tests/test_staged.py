@@ -1,11 +1,14 @@
 """The table that takes each batch once, all of it or nothing."""
 
+import threading
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallystream.operators.fold import BAG, apply_changes
 from tallystream.schemas import AUDIT, YEAR
-from tallystream.sources.staged import StagedTable, committed
+from tallystream.sources.staged import StagedTable, _Table, committed
 from tests.test_sources import audit
 
 ROWS = "id long, v string"
@@ -56,6 +59,17 @@ def test_a_failed_task_leaves_nothing(spark, table, tmp_path):
     assert len(rows(spark, table)) == 200
 
 
+def test_files_of_tasks_that_end_after_the_batch_failed_go(table, tmp_path):
+    batch = _Table(table, "load")
+    batch.stage(iter([pa.record_batch({"id": [1]})]))
+    late = threading.Timer(0.5, lambda: batch.stage(iter([pa.record_batch({"id": [2]})])))
+    late.start()
+    batch.abort()
+    late.join()
+    assert files(tmp_path) == 0
+    batch.remove({"gone.parquet"})
+
+
 def test_only_numbered_appends(spark, table):
     df = spark.createDataFrame([(1, "x")], ROWS)
     with pytest.raises(Exception, match="epoch"):
