@@ -21,7 +21,7 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallystream.llm.common import stored, text_or_empty
+from tallystream.llm.common import SMALL_BATCHES, stored, text_or_empty
 from tallystream.operators.joins import lookup_join
 from tallystream.session import fresh_dir
 
@@ -78,19 +78,25 @@ def _held(spark: SparkSession, folder: str, schema) -> DataFrame:
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # Rows from the driver's lists would start Python workers on the executors, which nothing else here needs.
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def add_signatures(documents: DataFrame, folder: str) -> tuple[DataFrame, bool]:
     """Signatures of the documents' files that have none in the folder are added; returns all of them, and
-    whether some were there before."""
+    whether some were there before.
+
+    Signatures are short, so they are packed into few files: each costs requests, or helper processes on a
+    plain file system, and is listed by the streaming query. Those of one file stay together unless they
+    are many.
+    """
     spark = documents.sparkSession
     new = signatures(documents)
     known = stored(_held(spark, folder, new.schema).select("file").distinct(), "signed-files")
     earlier = not known.isEmpty()
     if earlier:
         new = lookup_join(new, known, ["file"], "left_anti")
-    new.write.mode("append").parquet(folder)
+    new.hint("rebalance", "file").write.mode("append").parquet(folder)
     return spark.read.schema(new.schema).parquet(folder), earlier
 
 
@@ -176,15 +182,17 @@ def exact_groups(
     places = located(documents)
     checkpoint = checkpoint or fresh_dir(spark, "exact-dedup")
     folder = f"{checkpoint}/signatures"
-    signed, earlier = add_signatures(places, folder)
     key = F.substring("sha", 1, key_bytes) if key_bytes < SHA_BYTES else F.col("sha")
-    groups = digest_groups(spark, folder, signed.schema, checkpoint, key, files_per_batch)
-    members = signed.withColumn("digest", key)
-    if earlier:
-        places = _with_earlier(places, members, groups)
-    mixed = _mixed_digests(places, groups, key)
+    with _settings(spark, SMALL_BATCHES):
+        signed, earlier = add_signatures(places, folder)
+        groups = digest_groups(spark, folder, signed.schema, checkpoint, key, files_per_batch)
+        members = signed.withColumn("digest", key)
+        if earlier:
+            places = _with_earlier(places, members, groups)
+        mixed = _mixed_digests(places, groups, key)
+        agree = mixed.isEmpty()
     result = _describe(members.join(groups, "digest"))
-    if mixed.isEmpty():
+    if agree:
         return result
     by_text = places.withColumn("sha", F.unhex(F.sha2("text", 256))).withColumn("digest", key)
     apart = lookup_join(by_text, mixed, ["digest"], "left_semi")

@@ -62,6 +62,25 @@ def test_two_runs_over_one_checkpoint_equal_one_over_both_tables(spark, tmp_path
     assert C.rows_of(exact_groups(first, checkpoint, key_bytes=key_bytes), *GROUPS) == once
 
 
+def test_signatures_of_many_files_lie_in_few(spark, tmp_path):
+    import os
+
+    from tallystream.llm.exact_dedup import SMALL_BATCHES, _held
+
+    C.documents(spark).repartition(12).write.parquet(f"{tmp_path}/many")
+    docs = spark.read.parquet(f"{tmp_path}/many")
+    before = [spark.conf.get(name) for name in SMALL_BATCHES]
+    groups = exact_groups(docs, f"{tmp_path}/checkpoint")
+    assert groups.where("kept").count() == len({t or "" for _, t in C.DOCUMENTS})
+    parts = lambda path: sum(f.endswith(".parquet") for f in os.listdir(path))
+    assert parts(f"{tmp_path}/many") == 12 and parts(f"{tmp_path}/checkpoint/signatures") < 4
+    assert [spark.conf.get(name) for name in SMALL_BATCHES] == before
+    # Nothing held yet: no rows, and none made in Python workers.
+    empty = _held(spark, f"{tmp_path}/none", groups.schema)
+    assert empty.count() == 0 and [f.dataType for f in empty.schema] == [f.dataType for f in groups.schema]
+    assert "ExistingRDD" not in empty._jdf.queryExecution().toString()
+
+
 def test_a_run_that_died_goes_on(spark, tmp_path, monkeypatch):
     import tallystream.llm.exact_dedup as E
 
