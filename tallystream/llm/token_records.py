@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from tallystream.llm.common import REMEMBERED_LENGTH, Memo, fields, portions, stored, text_or_empty
+from tallystream.llm.common import REMEMBERED_LENGTH, fields, portions, stored, text_or_empty
 from tallystream.session import fresh_dir
 
 _LENGTH, _CHECK, _HEAD = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BqB")
@@ -103,20 +103,50 @@ _ASCII_WS, _OTHER_WS = "\t-\r ", "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\
 _ASCII_LOOSE = tuple(" " + c for c in "\t\n\x0b\x0c\r")
 _HAS_OTHER_WS = re.compile(f"[{_OTHER_WS}]")
 _BOUNDARY = re.compile(f" (?=[^{_ASCII_WS}{_OTHER_WS}])")
+#: Characters whose class in the tokenizer's pattern is certain, whatever its version of Unicode.
+_LETTERS = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f\u0391-\u03a1\u03a3-\u03ce\u0400-\u0481\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_MARKS = "!-/:-@\\[-`{-~\xa1\xa7\xab\xb7\xbb\xbf\u2010-\u2027"
+_PRE_TOKENS = re.compile(
+    rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[{_MARKS}]+|[{_ASCII_WS}]+(?![^{_ASCII_WS}])|[{_ASCII_WS}]+"
+)
 #: Words that go to the library as one text.
 WORDS_TOGETHER = 2000
 
 
+class Recent:
+    """Results by word in two generations, at most about ``most`` in all.
+
+    When the younger is full it becomes the older, which goes; what is asked for again moves back.
+    """
+
+    def __init__(self, most: int):
+        self.young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._most = most
+
+    def make_room(self) -> None:
+        if len(self.young) > self._most // 2:
+            self._old, self.young = self.young, {}
+
+    def unknown(self, words: set[str]) -> set[str]:
+        left = words.difference(self.young)
+        new = left.difference(self._old)
+        back = left - new
+        self.young.update(zip(back, map(self._old.__getitem__, back)))
+        return new
+
+
 class ByteLevelEncoder:
-    """Ids of a byte-level tokenizer, by words.
+    """Ids of a byte-level tokenizer, by words and their pre-tokens.
 
     Its pattern always starts a new pre-token at a space that is followed by no white space, so
-    the stretches between such spaces encode independently. Each distinct one goes to the library
-    once while it is remembered, many in one text: a token that begins with a space begins a
-    stretch. Texts with special strings go there whole.
+    the stretches between such spaces encode independently. So do pre-tokens, into which a stretch
+    of well-known characters is cut here, so that a word is learned once whatever marks surround it.
+    What isn't remembered goes to the library, many in one text: a token that begins with a space begins a
+    stretch, and a line break between others is a token of its own. Texts with special strings go there whole.
     """
 
-    def __init__(self, path: str, kept: int = 800_000):
+    def __init__(self, path: str, kept: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
@@ -124,11 +154,11 @@ class ByteLevelEncoder:
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self.width = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._starts_word = np.zeros(self._tokenizer.get_vocab_size(), bool)
-        space = self._tokenizer.pre_tokenizer.pre_tokenize_str(" ")[0][0]
+        space, line = (self._tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in " \n")
         self._starts_word[[n for token, n in self._tokenizer.get_vocab().items() if token.startswith(space)]] = True
-        self._spaced: dict[str, bytes] = {}
-        self._bare = Memo(self._alone, kept)
-        self._kept = kept
+        self._line = self._tokenizer.token_to_id(line)
+        self._spaced = Recent(kept)
+        self._bare = Recent(kept // 4)
 
     def pack(self, ids: list[int]) -> bytes:
         return np.array(ids, f"<u{self.width}").tobytes()
@@ -136,23 +166,77 @@ class ByteLevelEncoder:
     def _alone(self, text: str) -> bytes:
         return self.pack(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, missing: set[str]) -> None:
-        """Ids of words after a space."""
-        words = [w for w in missing if " " not in w]
+    def _encode(self, some: list[list[str]], between: str) -> Iterator[np.ndarray]:
+        texts = [between + between.join(words) for words in some]
+        for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield np.array(found.ids)
+
+    def _learn_spaced(self, stretches: set[str]) -> None:
+        """Ids of stretches after a space."""
+        odd, words = [w for w in stretches if " " in w], [w for w in stretches if " " not in w]
         groups = [words[lo : lo + WORDS_TOGETHER] for lo in range(0, len(words), WORDS_TOGETHER)]
-        texts = ["".join([" " + w for w in some]) for some in groups]
-        odd = [w for w in missing if " " in w]
-        for some, found in zip(groups, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(found.ids)
+        for some, ids in zip(groups, self._encode(groups, " ")):
             starts = np.flatnonzero(self._starts_word[ids])
             if len(starts) != len(some):
                 odd += some
                 continue
             packed, ends = self.pack(ids), (starts * self.width).tolist()
             ends.append(len(packed))
-            self._spaced.update((w, packed[a:b]) for w, a, b in zip(some, ends, ends[1:]))
+            self._spaced.young.update((w, packed[a:b]) for w, a, b in zip(some, ends, ends[1:]))
         for word in odd:
-            self._spaced[word] = self._alone(" " + word)
+            self._spaced.young[word] = self._alone(" " + word)
+
+    def _learn_bare(self, parts: set[str]) -> None:
+        """Ids of pre-tokens without a space before."""
+        odd, pieces = [p for p in parts if p.isspace()], [p for p in parts if not p.isspace()]
+        groups = [pieces[lo : lo + WORDS_TOGETHER] for lo in range(0, len(pieces), WORDS_TOGETHER)]
+        for some, ids in zip(groups, self._encode(groups, "\n")):
+            lines = np.flatnonzero(ids == self._line)
+            if len(lines) != len(some):
+                odd += some
+                continue
+            packed, ends = self.pack(ids), (lines * self.width).tolist()
+            ends.append(len(packed))
+            self._bare.young.update((p, packed[a + self.width : b]) for p, a, b in zip(some, ends, ends[1:]))
+        for piece in odd:
+            self._bare.young[piece] = self._alone(piece)
+
+    def _learn(self, words: set[str], heads: set[str]) -> list[tuple[dict, str]]:
+        """Makes ids of all words after a space, and of heads, known; returns what is not to be remembered."""
+        spaced, bare = self._spaced, self._bare
+        whole: set[str] = set()
+        cut: list[tuple[str, list[str]]] = []
+        for word in spaced.unknown(words):
+            found = [] if word.isalpha() and word.isascii() else _PRE_TOKENS.findall(" " + word)
+            if len(found) < 2 or sum(map(len, found)) <= len(word):
+                whole.add(word)
+            else:
+                cut.append((word, found))
+        odd: list[str] = []
+        starts: list[tuple[str, list[str]]] = []
+        for head in bare.unknown(heads):
+            found = _PRE_TOKENS.findall(head)
+            if sum(map(len, found)) < len(head):
+                odd.append(head)
+            else:
+                starts.append((head, found))
+        pieces = {piece for _, found in cut for piece in found[1:]}.union(*[found for _, found in starts])
+        stems = whole | spaced.unknown({found[0][1:] for _, found in cut})
+        parts = bare.unknown(pieces)
+        self._learn_spaced(stems)
+        self._learn_bare(parts)
+        for head in odd:
+            bare.young[head] = self._alone(head)
+        known, short = spaced.young, bare.young
+        for word, found in cut:
+            if len(found) == 2:
+                known[word] = known[found[0][1:]] + short[found[1]]
+            else:
+                known[word] = known[found[0][1:]] + b"".join([short[p] for p in found[1:]])
+        for head, found in starts:
+            short[head] = b"".join([short[p] for p in found])
+        long = [(known, w) for some in (words, stems) for w in some if len(w) > REMEMBERED_LENGTH]
+        return long + [(short, p) for some in (heads, parts) for p in some if len(p) > REMEMBERED_LENGTH]
 
     @staticmethod
     def _split(text: str) -> list[str]:
@@ -162,8 +246,8 @@ class ByteLevelEncoder:
         return words
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self._spaced) > self._kept:
-            self._spaced.clear()
+        self._spaced.make_room()
+        self._bare.make_room()
         whole: dict[int, bytes] = {}
         heads: list[str] = []
         words: list[str] = []
@@ -177,21 +261,16 @@ class ByteLevelEncoder:
                 heads.append(split[0])
                 words += split[1:]
             ends.append(len(words))
-        bare, spaced = self._bare, self._spaced
-        ids = list(map(spaced.get, words))
-        missing, at = [], -1
-        for _ in range(ids.count(None)):
-            at = ids.index(None, at + 1)
-            missing.append(at)
-        self._learn({words[at] for at in missing})
-        for at in missing:
-            ids[at] = spaced[words[at]]
-        for word in {words[at] for at in missing if len(words[at]) > REMEMBERED_LENGTH}:
-            del spaced[word]
-        return [
+        spaced, bare = self._spaced.young, self._bare.young
+        passing = self._learn(set(words).difference(spaced), set(filter(None, heads)))
+        ids = list(map(spaced.__getitem__, words))
+        result = [
             whole[n] if n in whole else (bare[head] if head else b"") + b"".join(ids[ends[n] : ends[n + 1]])
             for n, head in enumerate(heads)
         ]
+        for held, word in passing:
+            held.pop(word, None)
+        return result
 
 
 @lru_cache(maxsize=2)

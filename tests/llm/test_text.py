@@ -192,6 +192,34 @@ def test_byte_level_words_against_the_library():
             assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_word_is_learned_once_whatever_marks_surround_it():
+    from tallystream.llm.token_records import ByteLevelEncoder
+
+    class Counted:
+        def __init__(self, library):
+            self.library, self.sent = library, []
+
+        def __getattr__(self, name):
+            return getattr(self.library, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.sent += texts
+            return self.library.encode_batch_fast(texts, **options)
+
+    encoder, library = ByteLevelEncoder(BYTES, kept=40), Tokenizer.from_file(BYTES)
+    encoder._tokenizer = seen = Counted(encoder._tokenizer)
+    texts = ["so zebra, (zebra) zebra. zebra; zebra's zebra\nzebra 日本, 日本", "so zebra! zebra?"]
+    for text, ids in zip(texts, encoder.encode_all(texts)):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "".join(seen.sent).count("zebra") == 2  # after a space, and without one
+    # What is used again and again stays while other words come and go.
+    seen.sent.clear()
+    for n in range(60):
+        encoder.encode_all([f"so zebra w{n}x v{n}y"])
+    assert "zebra" not in "".join(seen.sent)
+    assert len(encoder._spaced.young) + len(encoder._spaced._old) <= 60
+
+
 # op7
 
 
