@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tallystream.llm.common import fields, portions, stored, text_or_empty
-from tallystream.llm.token_records import _encoder
+from tallystream.llm.token_records import TEXTS_TOGETHER, _encoder
 
 
 @dataclass(frozen=True)
@@ -62,7 +62,7 @@ def token_pieces(documents: DataFrame, tokenizer: str, end_id: int, size: int) -
         for batch in batches:
             doc_ids, at = batch.column(0).to_pylist(), 0
             rows: list[tuple] = []
-            for some in portions(batch.column(1).to_pylist()):
+            for some in portions(batch.column(1).to_pylist(), TEXTS_TOGETHER):
                 for packed in encoder.encode_all(some):
                     ids = np.frombuffer(packed + end, f"<u{encoder.width}").astype("<u4")
                     rows += [

@@ -19,6 +19,7 @@ when complete. A repeated attempt writes the same bytes.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
@@ -111,6 +112,8 @@ _PRE_TOKENS = re.compile(
 )
 #: Words that go to the library as one text.
 WORDS_TOGETHER = 2000
+#: Characters of the texts whose words are looked up together: more find more of their words in one look.
+TEXTS_TOGETHER = 4 << 20
 
 
 class Recent:
@@ -146,7 +149,7 @@ class ByteLevelEncoder:
     stretch, and a line break between others is a token of its own. Texts with special strings go there whole.
     """
 
-    def __init__(self, path: str, kept: int = 1_200_000):
+    def __init__(self, path: str, kept: int = 1_600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already fill the cores
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
@@ -173,7 +176,8 @@ class ByteLevelEncoder:
 
     def _learn_spaced(self, stretches: set[str]) -> None:
         """Ids of stretches after a space."""
-        odd, words = [w for w in stretches if " " in w], [w for w in stretches if " " not in w]
+        odd = [w for w in stretches if " " in w]
+        words = list(stretches.difference(odd))
         groups = [words[lo : lo + WORDS_TOGETHER] for lo in range(0, len(words), WORDS_TOGETHER)]
         for some, ids in zip(groups, self._encode(groups, " ")):
             starts = np.flatnonzero(self._starts_word[ids])
@@ -188,7 +192,8 @@ class ByteLevelEncoder:
 
     def _learn_bare(self, parts: set[str]) -> None:
         """Ids of pre-tokens without a space before."""
-        odd, pieces = [p for p in parts if p.isspace()], [p for p in parts if not p.isspace()]
+        odd = [p for p in parts if p.isspace()]
+        pieces = list(parts.difference(odd))
         groups = [pieces[lo : lo + WORDS_TOGETHER] for lo in range(0, len(pieces), WORDS_TOGETHER)]
         for some, ids in zip(groups, self._encode(groups, "\n")):
             lines = np.flatnonzero(ids == self._line)
@@ -246,6 +251,16 @@ class ByteLevelEncoder:
         return words
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        # Many short-lived lists and no cycles: the collector would walk them again and again for nothing.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_all(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
         self._spaced.make_room()
         self._bare.make_room()
         whole: dict[int, bytes] = {}
@@ -304,7 +319,7 @@ def write_records(documents: DataFrame, tokenizer: str, end_id: int, folder: str
                 out = system.open_output_stream(attempt, buffer_size=1 << 20)
             doc_ids, rows = batch.column(0).to_pylist(), []
             at = 0
-            for some in portions(batch.column(1).to_pylist()):
+            for some in portions(batch.column(1).to_pylist(), TEXTS_TOGETHER):
                 for ids in encoder.encode_all(some):
                     record = frame(pack_sequence(doc_ids[at], ids + end, encoder.width))
                     out.write(record)
