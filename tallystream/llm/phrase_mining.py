@@ -7,12 +7,16 @@ threshold, and until the scan has come back to where it began: one full cycle, s
 is complete. Lengths are thus counted side by side, and the scan ends when the last
 cycle does.
 
-Counters are slots of two tables of fixed size, in which a phrase is found by two hashes of language
-and words. Either slot's count is never less than that of any of its phrases, so no frequent phrase is
-missed; an infrequent one gets through only if it shares both slots with others that fill them. One last
-scan therefore counts the phrases of full slots by their very words, exactly. The tables bound what
-is broadcast, what a task holds and what the driver sums up, however large the corpus is; smaller
-tables cost work in the last scan, never a result.
+Counters are kept by key, a hash of language and words of 40 bits or more. A scan hands on its counts
+in sorted blocks by ranges of keys; where those of a range meet they are added to the counts of the
+scans of the same cycle, which are stored, so neither the driver nor a task holds all counters. A
+count is never less than that of any phrase of its key, so no frequent phrase is missed.
+
+What has become frequent is broadcast: two tables of bytes, in which a phrase is found by two slots of
+its key. Frequent phrases only fill slots, so an infrequent one gets through only if it shares both
+with others that are frequent, or its key. One last scan therefore counts the phrases of full slots by
+their very words, exactly. The tables bound what is broadcast and what a task holds, however large the
+corpus is; smaller tables cost work in the scans, never a result.
 
 Texts are split into words once and written down as portions: the portion's distinct words, their
 hashes, and the text as numbers of those words. The scans read the numbers only.
@@ -27,7 +31,8 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +40,7 @@ import xxhash
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tallystream.llm.common import stored
+from tallystream.llm.common import small_batches, stored
 
 #: Ends of pieces, and a byte that no UTF-8 text holds in their place.
 _ENDS, _END = b".,;:!?\n\x0b\x0c\r", b"\xff"
@@ -44,8 +49,10 @@ _BYTES = bytes(
 )
 #: A slot that hasn't reached the threshold.
 NEVER = 255
-#: Slots whose counts travel together.
-RUN = 1 << 16
+#: A phrase's slots are found by so many bits of its hash, and counts are by these or more.
+KEY_BITS = 40
+#: A task's phrases are sorted and handed on when there are so many.
+HELD = 1 << 21
 _MIX, _MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -53,7 +60,8 @@ _MIX, _MIX_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 class Counting:
     """``threshold`` occurrences make a phrase frequent; phrases have up to ``longest`` words.
 
-    ``shards`` are scanned in turn; each of two tables has 2 ** ``slot_bits`` slots. Portions have about
+    ``shards`` are scanned in turn; each of two tables has 2 ** ``slot_bits`` slots, and up to four times
+    as many where a corpus may have more frequent phrases than half of these. Portions have about
     ``portion_bytes`` of text; a task counts up to ``kept_phrases`` phrases before it hands them on.
     """
 
@@ -69,6 +77,14 @@ class Counting:
         if not 0 < self.shards < 20 or self.longest < 2 or self.threshold < 1 or self.slot_bits < 1:
             raise ValueError("too many shards, or a limit too small")
 
+    def fitted(self, words: int) -> Counting:
+        """With larger tables, if a corpus of so many words may need them.
+
+        Of one length no more phrases are frequent than there are thresholds in its words.
+        """
+        more = (words // self.threshold >> (self.slot_bits - 1)).bit_length()
+        return replace(self, slot_bits=self.slot_bits + min(more, 2)) if self.slot_bits >= 23 else self
+
 
 class _Codes(dict):
     """Number of each word in order of appearance; 0 is the end mark."""
@@ -108,7 +124,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[st
         yield lang, some
 
 
-_PORTION = "lang string, words binary, hashes binary, width int, codes binary, shard int"
+_PORTION = "lang string, words binary, hashes binary, width int, codes binary, size long, shard int"
 
 
 def portions_of(documents: DataFrame, counting: Counting) -> DataFrame:
@@ -130,6 +146,7 @@ def portions_of(documents: DataFrame, counting: Counting) -> DataFrame:
                     "hashes": pa.array([hashes.tobytes()], pa.binary()),
                     "width": pa.array([width], pa.int32()),
                     "codes": pa.array([codes.astype(f"<u{width}").tobytes()], pa.binary()),
+                    "size": pa.array([len(codes)], pa.int64()),
                     "shard": pa.array([shard % counting.shards], pa.int32()),
                 }
             )
@@ -138,32 +155,35 @@ def portions_of(documents: DataFrame, counting: Counting) -> DataFrame:
 
 
 class Slots:
-    """Slots of the phrases of a portion, for one length after the other."""
+    """Keys and slots of the phrases of a portion, for one length after the other."""
 
     def __init__(self, lang: str, hashes: np.ndarray, codes: np.ndarray, counting: Counting):
         self.counting = counting
-        self._words = np.concatenate(([np.uint64(0)], hashes))[codes]
+        seed = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+        of_words = np.concatenate(([np.uint64(0)], hashes))
+        self._words = of_words[codes]
         self._inside = codes != 0
-        self._so_far = (self._words ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))) * _MIX
+        self._codes, self._distinct = codes, (of_words ^ seed) * _MIX
+        self._so_far: np.ndarray | None = None
         #: Where a phrase of the present length begins.
         self.starts = np.flatnonzero(self._inside)
         self.length = 1
-        self.slots = self._slots()
         #: When both parts of each phrase had reached the threshold; words have none.
         self.later = np.zeros(len(self.starts), np.uint8)
+        self._hashes: np.ndarray | None = None
+
+    def _mixed(self, so_far: np.ndarray) -> np.ndarray:
+        h = (so_far ^ (so_far >> np.uint64(29))) * _MIX
+        # The longest phrases have keys and slots of their own: nothing grows from them.
+        flag = np.uint64(1 << 64 - KEY_BITS)
+        return h | flag if self.length == self.counting.longest else h & ~flag
 
-    def _slots(self) -> np.ndarray:
-        """Two rows: a slot of the first table and one of the second, which lies behind it."""
-        h = self._so_far[self.starts]
-        bits = np.uint64(64 - self.counting.slot_bits + 1)
-        # The longest phrases have slots of their own: nothing grows from them.
-        last = np.uint64(self.length == self.counting.longest)
-        both = np.empty((2, len(h)), np.int64)
-        for row, mix in enumerate((_MIX, _MIX_2)):
-            h = (h ^ (h >> np.uint64(29))) * mix
-            both[row] = (h >> bits << np.uint64(1)) | last
-        both[1] += 1 << self.counting.slot_bits
-        return both
+    @property
+    def hashes(self) -> np.ndarray:
+        """Each phrase's hash; its first bits are its key."""
+        if self._hashes is None:
+            self._hashes = self._mixed(self._distinct)[self._codes[self.starts]] if self.length == 1 else self._mixed(self._so_far)
+        return self._hashes
 
     def reached(self, table: np.ndarray) -> np.ndarray:
         """When each phrase's slots had both reached the threshold, but never before its parts had.
@@ -171,7 +191,10 @@ class Slots:
         Others may fill the slots of a phrase before it is counted. What grows from it isn't met before
         its parts have reached the threshold, so a cycle that began with the slots would lack scans.
         """
-        return np.maximum(np.maximum(table[self.slots[0]], table[self.slots[1]]), self.later)
+        hashes = self._mixed(self._distinct) if self.length == 1 else self.hashes
+        first, second = slots_of(hashes >> np.uint64(64 - KEY_BITS), self.counting.slot_bits)
+        when = np.maximum(table[first], table[second])
+        return when[self._codes[self.starts]] if self.length == 1 else np.maximum(when, self.later)
 
     def grow(self, reached: np.ndarray) -> np.ndarray | None:
         """On to phrases of one word more.
@@ -180,19 +203,25 @@ class Slots:
         phrases both of whose parts have, and returns when the later one did.
         """
         size = len(self._words)
+        n, self.length = self.length, self.length + 1
         when = np.full(size + 1, NEVER, np.uint8)
         when[self.starts] = reached
-        n, self.length = self.length, self.length + 1
-        starts = self.starts[(reached != NEVER) & (self.starts + n < size)]
-        starts = starts[self._inside[starts + n]]
-        both = np.maximum(when[starts], when[starts + 1])
-        self.starts, both = starts[both != NEVER], both[both != NEVER]
-        if not len(self.starts):
+        # Of the phrases that have, those whose next one has too; it lies within the piece.
+        own = np.flatnonzero(np.maximum(reached, when[self.starts + 1]) != NEVER)
+        starts = self.starts[own]
+        if not len(starts):
             return None
-        turned = self._so_far[self.starts]
-        self._so_far[self.starts] = ((turned << np.uint64(27) | turned >> np.uint64(37)) + self._words[self.starts + n]) * _MIX
-        self.slots, self.later = self._slots(), both
-        return both
+        turned = self._distinct[self._codes[starts]] if n == 1 else self._so_far[own]
+        self._so_far = ((turned << np.uint64(27) | turned >> np.uint64(37)) + self._words[starts + n]) * _MIX
+        self.starts, self.later, self._hashes = starts, np.maximum(reached[own], when[starts + 1]), None
+        return self.later
+
+
+def slots_of(keys: np.ndarray, slot_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The slots of keys of ``KEY_BITS``, of the first table and of the second, which lies behind it."""
+    last, bits = keys & np.uint64(1), np.uint64(64 - slot_bits + 1)
+    first, second = (((keys * mix) >> bits << np.uint64(1)) | last for mix in (_MIX, _MIX_2))
+    return first.astype(np.int64), second.astype(np.int64) + (1 << slot_bits)
 
 
 def _opened(batches: Iterator[pa.RecordBatch], counting: Counting) -> Iterator[tuple[dict, Slots]]:
@@ -203,48 +232,132 @@ def _opened(batches: Iterator[pa.RecordBatch], counting: Counting) -> Iterator[t
             yield row, Slots(row["lang"], np.frombuffer(row["hashes"], "<u8"), row["codes"], counting)
 
 
-def _scan(shard: DataFrame, step: int, reached: Broadcast, counting: Counting) -> DataFrame:
-    """Counts that one scan adds to the slots: one row per task and run of slots."""
-    size = 2 << counting.slot_bits
-    run = min(size, RUN)
-    kind = np.min_scalar_type(counting.threshold)
+class Counts:
+    """How counts travel: blocks of one range of keys, in order, by the rest of the key."""
+
+    def __init__(self, words: int, threshold: int):
+        self.range_bits = min(12, max(KEY_BITS - 32, words.bit_length() - 22))
+        self.most = min(threshold, (1 << 31) - 1)
+        self._kind = np.dtype(np.min_scalar_type(self.most))
+
+    def blocks(self, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Range and counted keys of each range of these phrases."""
+        keys = np.sort(hashes >> np.uint64(32 - self.range_bits))
+        ends = np.flatnonzero(np.concatenate((keys[1:] != keys[:-1], [True])))
+        counted = keys[ends] << np.uint64(32) | np.diff(ends, prepend=-1).astype(np.uint64)
+        ranges = (keys[ends] >> np.uint64(32)).astype(np.int64)
+        bounds = np.flatnonzero(np.concatenate(([True], ranges[1:] != ranges[:-1], [True])))
+        for a, b in zip(bounds, bounds[1:]):
+            yield int(ranges[a]), counted[a:b]
+
+    def packed(self, counted: np.ndarray) -> bytes:
+        """Differences of keys by their bytes' places, of which the higher ones are mostly 0, and counts."""
+        keys = (counted >> np.uint64(32)).astype("<u4")
+        times = np.minimum(counted & _COUNT, self.most).astype(self._kind.newbyteorder("<"))  # more is as good
+        planes = np.diff(keys, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+        data = planes + times.tobytes()
+        return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+    def unpacked(self, data: bytes) -> np.ndarray:
+        size = int.from_bytes(data[:8], "little")
+        plain = pa.decompress(data[8:], size, "zstd", asbytes=True)
+        n = size // (4 + self._kind.itemsize)
+        planes = np.frombuffer(plain, np.uint8, 4 * n).reshape(4, n)
+        keys = np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+        return keys.astype(np.uint64) << np.uint64(32) | np.frombuffer(plain, self._kind.newbyteorder("<"), n, 4 * n)
+
+    def key(self, number: int, rest: np.ndarray) -> np.ndarray:
+        """Keys of ``KEY_BITS`` of the keys of a range."""
+        return (np.uint64(number << 32) | rest.astype(np.uint64)) >> np.uint64(self.range_bits + 32 - KEY_BITS)
+
+
+#: Counted keys are numbers of 64 bits: the rest of a key, a mark in the middle, and a count.
+_COUNT, _NOW = np.uint64((1 << 31) - 1), np.uint64(1 << 31)
+
+
+def _added(parts: list[np.ndarray], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counted keys, each once and in order, and where it was marked; no count is beyond ``most``."""
+    both = np.sort(np.concatenate(parts))
+    keys = both >> np.uint64(32)
+    begins = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    times = np.minimum(np.add.reduceat(both & _COUNT, begins), np.uint64(most))
+    ends = np.append(begins[1:], len(both)) - 1  # marked ones come last
+    return keys[begins] << np.uint64(32) | times, both[ends] & _NOW != 0
 
-    def packed(sums: np.ndarray) -> bytes:
-        # More than the threshold is as good as the threshold.
-        return zlib.compress(np.minimum(sums, counting.threshold).astype(kind).tobytes(), 1)
+
+@lru_cache(maxsize=1)
+def _table(reached: Broadcast) -> np.ndarray:
+    """The table that was sent, opened once per worker."""
+    return np.frombuffer(zlib.decompress(reached.value), np.uint8)
+
+
+_COUNTS, _ADDED = "range int, step int, counts binary", "range int, step int, counts binary, new binary"
+
+
+def _scan(shard: DataFrame, before: list[DataFrame], step: int, reached: Broadcast, counting: Counting, counts: Counts) -> DataFrame:
+    """One scan's counts by range, and ``new``: the keys that reach the threshold with it.
+
+    ``before`` are the counts of the scans that may lie in one cycle with this one.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, counts = np.frombuffer(zlib.decompress(reached.value), np.uint8), np.zeros(size, np.uint32)
+        table, held = _table(reached), []
+
+        def handed_on() -> pa.RecordBatch:
+            some = list(counts.blocks(np.concatenate(held))) if held else []
+            held.clear()
+            return pa.RecordBatch.from_pydict(
+                {
+                    "range": pa.array([n for n, _ in some], pa.int32()),
+                    "step": pa.array([step] * len(some), pa.int32()),
+                    "counts": pa.array([counts.packed(c) for _, c in some], pa.binary()),
+                }
+            )
+
         for _, phrases in _opened(batches, counting):
             since = np.zeros(len(phrases.starts), np.int16)
             while True:
-                # Counted from the scan after ``since`` on, for one cycle; words from the first scan on.
-                active = (since <= step) & (step < since + counting.shards)
-                for slots in phrases.slots:
-                    np.add.at(counts, slots[active], 1)
+                when = phrases.reached(table)
+                # Counted from the scan after ``since`` on, for one cycle; words from the first scan on. What has
+                # reached the threshold needs no more counts.
+                active = (since <= step) & (step < since + counting.shards) & (when == NEVER)
+                if active.any():
+                    held.append(phrases.hashes[active])
                 if phrases.length == counting.longest:
                     break
-                later = phrases.grow(phrases.reached(table))
+                later = phrases.grow(when)
                 if later is None:
                     break
                 since = later.astype(np.int16) + 1
-        runs = [n for n in range(size // run) if counts[n * run : (n + 1) * run].any()]
-        data = [packed(counts[n * run : (n + 1) * run]) for n in runs]
-        yield pa.RecordBatch.from_pydict({"run": pa.array(runs, pa.int32()), "counts": pa.array(data, pa.binary())})
+            if sum(map(len, held)) >= HELD:
+                yield handed_on()
+        yield handed_on()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        found: dict[int, tuple[list[bytes], list[bytes]]] = {}
         for batch in batches:
-            for n, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(zlib.decompress(data), kind).astype(np.uint32)
-                sums[n] = np.minimum(sums[n] + part, counting.threshold) if n in sums else part
-        runs = sorted(sums)
-        data = [packed(sums[n]) for n in runs]
-        yield pa.RecordBatch.from_pydict({"run": pa.array(runs, pa.int32()), "counts": pa.array(data, pa.binary())})
+            for n, of, data in zip(*(c.to_pylist() for c in batch.columns)):
+                found.setdefault(n, ([], []))[of == step].append(data)
+        for n, (old, now) in found.items():
+            if not now:
+                continue
+            own, _ = _added([counts.unpacked(data) for data in now], counts.most)
+            both, marked = _added([own | _NOW, *map(counts.unpacked, old)], counts.most)
+            full = both[marked & (both & _COUNT >= counting.threshold)] >> np.uint64(32)
+            own = own[~np.isin(own >> np.uint64(32), full, assume_unique=True)]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "range": pa.array([n], pa.int32()),
+                    "step": pa.array([step], pa.int32()),
+                    "counts": pa.array([counts.packed(own)], pa.binary()),
+                    "new": pa.array([counts.packed(full << np.uint64(32)) if len(full) else None], pa.binary()),
+                }
+            )
 
-    layout = "run int, counts binary"
-    scanned = shard.select("lang", "hashes", "width", "codes").mapInArrow(count, layout)
-    return scanned.repartition("run").mapInArrow(add, layout)
+    scanned = shard.select("lang", "hashes", "width", "codes").mapInArrow(count, _COUNTS)
+    for older in before:
+        scanned = scanned.union(older.select("range", "step", "counts"))
+    return stored(scanned.repartition("range").mapInArrow(add, _ADDED), "phrase-counts")
 
 
 @dataclass
@@ -256,29 +369,34 @@ class Cycle:
 
 
 def count_cyclically(shards: list[DataFrame], counting: Counting) -> Cycle:
-    """Dynamic itemset counting over slots, shard after shard, until every cycle is complete."""
+    """Dynamic itemset counting, shard after shard, until every cycle is complete."""
     spark = shards[0].sparkSession
-    size = 2 << counting.slot_bits
-    run, kind = min(size, RUN), np.min_scalar_type(counting.threshold)
-    counts, reached = np.zeros(size, np.uint32), np.full(size, NEVER, np.uint8)
+    counts = Counts(words_in(reduce(DataFrame.union, shards)), counting.threshold)
+    reached = np.full(2 << counting.slot_bits, NEVER, np.uint8)
+    scans: list[DataFrame] = []
     step, last = 0, -1  # the last scan after which something that others grow from was new
     while step < counting.shards or last > step - 1 - counting.shards:
         if step == NEVER:
             raise RuntimeError("more scans than a byte holds")
         sent = spark.sparkContext.broadcast(zlib.compress(reached.tobytes(), 1))
-        for row in _scan(shards[step % counting.shards], step, sent, counting).collect():
-            part = slice(row.run * run, (row.run + 1) * run)
-            counts[part] += np.frombuffer(zlib.decompress(row.counts), kind)
-        np.minimum(counts, counting.threshold, out=counts)
-        new = (counts == counting.threshold) & (reached == NEVER)
-        reached[new] = step
-        if new[::2].any():  # even slots: all but the longest phrases
-            last = step
+        before = scans[max(0, step - counting.shards + 1) :]
+        scans.append(_scan(shards[step % counting.shards], before, step, sent, counting, counts))
+        for row in scans[-1].where("new is not null").select("range", "new").collect():
+            keys = counts.key(row.range, counts.unpacked(bytes(row.new)) >> np.uint64(32))
+            slots = np.concatenate(slots_of(keys, counting.slot_bits))
+            slots = slots[reached[slots] == NEVER]
+            reached[slots] = step
+            if not (slots & 1).all():  # even slots: all but the longest phrases
+                last = step
         sent.destroy(blocking=True)
         step += 1
     return Cycle(reached, step)
 
 
+def words_in(portions: DataFrame) -> int:
+    return portions.agg(F.sum("size")).first()[0] or 0
+
+
 _BLOCK, _COUNTED = "lang string, range int, phrases binary, counts binary", "lang string, phrase string, size int, n long"
 
 
@@ -319,7 +437,7 @@ def _exact(portions: DataFrame, reached: Broadcast, counting: Counting) -> DataF
     ranges = max(64, int(portions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.frombuffer(zlib.decompress(reached.value), np.uint8)
+        table = _table(reached)
         counts: dict[str, Counter] = {}
         for row, phrases in _opened(batches, counting):
             own = counts.setdefault(row["lang"], Counter())
@@ -367,11 +485,13 @@ def frequent_phrases(documents: DataFrame, counting: Counting | None = None) ->
     """
     counting = counting or Counting()
     spark = documents.sparkSession
+    small_batches(spark)
     rows = documents.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     portions = portions_of(rows, counting)
+    counting = counting.fitted(words_in(portions))
     shards = [portions.where(F.col("shard") == n) for n in range(counting.shards)]
     cycle = count_cyclically(shards, counting)
     found = _exact(portions, spark.sparkContext.broadcast(zlib.compress(cycle.reached.tobytes(), 1)), counting)

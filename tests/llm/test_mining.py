@@ -15,7 +15,9 @@ from tokenizers import Tokenizer
 
 from tallystream.llm.best_fit import Packing, Underfull, best_fit, cuts, pack, pack_documents, pack_pieces
 from tallystream.llm.hard_negatives import Block, Mining, Search, hard_negatives, pack_blocks, search_block, usable
-from tallystream.llm.phrase_mining import Counting, collocations, count_cyclically, frequent_phrases, portions_of, words_of, _exact, _opened
+from tallystream.llm.phrase_mining import (
+    KEY_BITS, Counting, Counts, collocations, count_cyclically, frequent_phrases, portions_of, words_of, _exact, _opened,
+)
 from tests.llm import cases as C
 
 # op11
@@ -131,6 +133,40 @@ def test_a_phrase_in_full_slots_waits_for_its_words(spark):
     assert {p: n for p, n in plain.items() if n >= 4}.items() <= found.items() and found["p q r s t"] >= 4
 
 
+def test_infrequent_phrases_fill_no_slots(spark):
+    # 20 frequent words in random order: 400 pairs and 8,000 triples, none of them frequent, over 128 slots.
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(20)}" for _ in range(60)) for _ in range(300)]
+    counting = Counting(threshold=100, shards=3, slot_bits=8, portion_bytes=2000)
+    portions = portions_of(spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(3), counting)
+    cycle = count_cyclically([portions.where(F.col("shard") == n) for n in range(3)], counting)
+    sent = spark.sparkContext.broadcast(zlib.compress(cycle.reached.tobytes(), 1))
+    found = {r.phrase: r.n for r in _exact(portions, sent, counting).collect()}
+    words = Counter(w for t in texts for w in t.split())
+    assert words.items() <= found.items() and len(words) == 20 and min(words.values()) >= 100
+    assert len(found) < 200
+
+
+@pytest.mark.parametrize("words, threshold", [(0, 1), (10**9, 7), (10**10, 300), (10**13, 100_000)])
+def test_counts_travel_whole(words, threshold):
+    rng = np.random.default_rng(threshold)
+    counts = Counts(words, threshold)
+    hashes = rng.integers(0, 1 << 64, 5000, np.uint64)
+    hashes = np.concatenate([hashes, np.repeat(hashes[:50], 400), np.array([0, (1 << 64) - 1], np.uint64)])
+    plain, got = Counter((hashes >> np.uint64(32 - counts.range_bits)).tolist()), {}
+    for number, counted in counts.blocks(hashes):
+        for c in counts.unpacked(counts.packed(counted)).tolist():
+            got[number << 32 | c >> 32] = c & (1 << 32) - 1
+    assert got == {key: min(n, threshold) for key, n in plain.items()}
+    last = counts.key((1 << counts.range_bits) - 1, np.array([(1 << 32) - 1], np.uint64))
+    assert last.tolist() == [(1 << KEY_BITS) - 1] and 8 <= counts.range_bits <= 12
+
+
+def test_larger_corpora_get_larger_tables():
+    assert [Counting().fitted(n).slot_bits for n in (0, 10**8, 10**9, 10**10, 10**13)] == [23, 23, 25, 25, 25]
+    assert Counting(slot_bits=7).fitted(10**10).slot_bits == 7
+
+
 def test_shards_are_a_partition_of_the_texts(spark):
     rows = [(lang, text) for lang, text in chatter(3, 100) if lang and text]
     counting = Counting(shards=3, portion_bytes=200)
