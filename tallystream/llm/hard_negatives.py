@@ -8,9 +8,14 @@ lists show next; once that sum is strictly below the kth best of every window th
 for (or below the window itself), the rest of the block is not read. Strictly, because a row of
 equal score may have the smaller id.
 
-Anchors travel in packs, once to each group of blocks; a task goes through its blocks with one
-pack at a time and returns its best rows only. The best of all groups are ranked by a window with
-one limit per task before the shuffle. Nothing is broadcast or collected.
+The anchors of a pack are looked up in a block together: what their lists show next at each depth is
+one small product, and tells who needs the block not at all, a few rows of it or most of them.
+Who needs most gets all rows' scores by one product, which is cheaper than reading lists to their ends.
+
+Anchors travel in packs, once to each group of blocks, and so do blocks to their own; a task keeps its
+blocks, goes through them with one pack at a time and returns its best rows only. The best of all groups
+are ranked by a window with one limit per task before the shuffle. Blocks and packs are dealt by the
+number of their group, not joined, so no vector is broadcast or collected whatever Spark's limits are.
 
 Rows with a null label, a null vector or a null or non-finite component take no part. Rows are
 told apart by their place, not by their id: of rows with equal ids each is a row of its own, and
@@ -31,11 +36,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tallystream.llm.common import fields, stored
+from tallystream.llm.common import fields, small_batches, stored
 
-#: Whole numbers up to this are exact in a double.
+#: Whole numbers up to this are exact in a double, and up to the other in a float.
 EXACT = 1 << 53
+EXACT_FLOAT = 1 << 24
 SCALE = 256.0
+#: Rows whose scores are in memory together, and blocks that a task keeps, as long as there may be more groups.
+TOGETHER, KEPT = 4096, 16
 
 
 @dataclass(frozen=True)
@@ -146,7 +154,13 @@ class Block:
         self.values = np.frombuffer(row["components"], "<f8").reshape(self.rows, self.dims)
         self.lists = np.frombuffer(row["lists"], "<u4").reshape(self.dims, self.rows)
         self.most = float(np.abs(self.values).max(initial=0.0))
-        self._sorted = None
+        self._sorted = self._floats = None
+
+    @property
+    def floats(self) -> np.ndarray:
+        if self._floats is None:
+            self._floats = self.values.astype(np.float32)
+        return self._floats
 
     @property
     def shown(self) -> np.ndarray:
@@ -205,6 +219,12 @@ class Search:
             limit < low or (len(best) == self.k and limit < -best[-1][0]) for (low, _), best in zip(self.windows, self.best)
         )
 
+    @property
+    def bar(self) -> int | float:
+        """The least score that can still change a window; as a number that a double holds."""
+        bars = (max(low, -best[-1][0]) if len(best) == self.k else low for (low, _), best in zip(self.windows, self.best))
+        return _within_exact(min(bars))
+
     def offer(self, block: Block, rows: np.ndarray, scores: np.ndarray) -> None:
         fits = (block.labels[rows] == self.label) == self.same
         fits &= (scores >= self.lowest) & (scores <= self.highest)
@@ -227,6 +247,10 @@ class Search:
                 self.best[n] = sorted(best + found)[: self.k]
 
 
+def _within_exact(score: int | float) -> int | float:
+    return min(max(score, -EXACT), EXACT)
+
+
 def _whole(values: np.ndarray) -> np.ndarray:
     """The same numbers as Python's whole numbers, which have no largest one."""
     return np.array([int(v) for v in values.ravel()], object).reshape(values.shape)
@@ -263,10 +287,74 @@ def search_block(search: Search, block: Block, first_depth: int = 16) -> int:
         depth, stop = stop, min(2 * stop, block.rows)
 
 
-def _pairs(blocks: DataFrame, anchors: DataFrame, mining: Mining) -> DataFrame:
-    """Each pack of anchors beside each block, joined by the group of blocks."""
-    groups = max(1, min(blocks.count(), mining.groups))
-    held = blocks.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
+class Pack:
+    """Anchors of one length that are looked up together."""
+
+    def __init__(self, searches: list[Search]):
+        self.searches = searches
+        self.vectors = np.array([s.vector for s in searches]).reshape(len(searches), -1)
+        self.floats = self.vectors.astype(np.float32)
+        self.rising, self.falling = np.maximum(self.vectors, 0), np.minimum(self.vectors, 0)
+        self.used = np.count_nonzero(self.vectors, axis=1)
+        self.most = max(s.most for s in searches)
+        self.labels = np.array([s.label for s in searches])
+        self.highest = np.array([_within_exact(s.highest) for s in searches], float)
+        self.bars = np.array([s.bar for s in searches], float)
+
+    def search(self, block: Block, first_depth: int) -> int:
+        """Threshold algorithm of all anchors over one block; returns how many rows were scored."""
+        most = block.dims * self.most * block.most
+        if most >= EXACT:
+            return sum(search_block(search, block, first_depth) for search in self._each(range(len(self.searches))))
+        depths, depth = [0], first_depth
+        while depth < block.rows:
+            depths.append(depth)
+            depth *= 2
+        at = np.array(depths)
+        ahead = self.rising @ block.shown[:, block.rows - 1 - at] + self.falling @ block.shown[:, at]
+        stops = ahead < self.bars[:, None]
+        stop = np.where(stops.any(axis=1), at[stops.argmax(axis=1)], block.rows)
+        few = stop * self.used < block.rows // 2
+        scored = sum(search_block(search, block, first_depth) for search in self._each(np.flatnonzero(few & (stop > 0))))
+        rest = np.flatnonzero(~few)
+        if not len(rest):
+            return scored
+        small = most < EXACT_FLOAT
+        vectors, values = (self.floats[rest], block.floats) if small else (self.vectors[rest], block.values)
+        for begin in range(0, block.rows, TOGETHER):
+            self._offer(block, begin, rest, vectors @ values[begin : begin + TOGETHER].T)
+        return scored + len(rest) * block.rows
+
+    def _offer(self, block: Block, begin: int, anchors: np.ndarray, scores: np.ndarray) -> None:
+        who, rows = np.nonzero(scores >= self.bars[anchors].astype(scores.dtype)[:, None])
+        scores = scores[who, rows].astype(float)
+        fits = scores <= self.highest[anchors[who]]
+        same = self.searches[0].same
+        fits &= (block.labels[begin + rows] == self.labels[anchors[who]]) == same
+        who, rows, scores = who[fits], begin + rows[fits], scores[fits]
+        bounds = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1], [True]))) if len(who) else []
+        for a, b in zip(bounds, bounds[1:]):
+            for search in self._each([anchors[who[a]]]):
+                search.offer(block, rows[a:b], scores[a:b])
+
+    def _each(self, anchors: Iterable[int]) -> Iterator[Search]:
+        """The anchors one by one, whose bars are then taken anew."""
+        for n in anchors:
+            yield self.searches[n]
+            self.bars[n] = self.searches[n].bar
+
+
+def _dealt(blocks: DataFrame, anchors: DataFrame, mining: Mining) -> DataFrame:
+    """Each group's blocks, with a pack of -1, and after them all packs of anchors."""
+    n, tasks = blocks.agg(F.count("*"), F.max(F.shiftright("block", 16)) + 1).first()
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(1, min(n, mining.groups, max(parts, -(-n // KEPT))))
+    # Blocks are numbered within tasks that have about the same number of them.
+    place = F.shiftright("block", 16) + F.col("block").bitwiseAND(65535) * (tasks or 1)
+    held = blocks.select(
+        F.pmod(place, F.lit(groups)).cast("int").alias("group"), F.lit(-1).cast("long").alias("pack"), F.lit(None).cast("binary").alias("anchors"),
+        *_BLOCK.names,
+    )
     kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
     layout = pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in anchors.schema])
 
@@ -280,8 +368,11 @@ def _pairs(blocks: DataFrame, anchors: DataFrame, mining: Mining) -> DataFrame:
             number += 1
 
     packs = stored(anchors.mapInArrow(pack, "pack long, anchors binary"), "anchor-packs")
-    sent = packs.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    return sent.join(held, "group").drop("group")
+    sent = packs.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), "pack", "anchors",
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in _BLOCK],
+    )
+    return held.union(sent).repartitionById(groups, "group").sortWithinPartitions("group", "pack", "block")
 
 
 def _of_size(batches: Iterable[pa.RecordBatch], size: int, layout: pa.Schema) -> Iterator[pa.Table]:
@@ -295,36 +386,28 @@ def _of_size(batches: Iterable[pa.RecordBatch], size: int, layout: pa.Schema) ->
         yield held.combine_chunks()
 
 
-def _searched(pairs: DataFrame, same: bool, mining: Mining) -> DataFrame:
-    """The best rows of every anchor and window, of each task's blocks."""
+def _searched(dealt: DataFrame, same: bool, mining: Mining) -> DataFrame:
+    """The best rows of every anchor and window, of each group of blocks."""
     k = mining.positives if same else mining.negatives
 
     def window(score: int) -> tuple[int | float, int | float]:
         low = -(-mining.low * score // 100)
         return (low, score) if low <= score else (math.inf, -math.inf)
 
-    def opened(data: bytes) -> list[tuple[int, Search]]:
-        rows = pa.ipc.open_stream(data).read_all().to_pylist()
-        return [
-            (
-                row["dims"],
-                Search(
-                    row["anchor"],
-                    row["label"],
-                    np.frombuffer(row["components"], "<f8"),
-                    [(-math.inf, math.inf)] if same else [window(s) for s in row["scores"]],
-                    same,
-                    k,
-                ),
-            )
-            for row in rows
-        ]
-
-    def results(searches: list[tuple[int, Search]]) -> pa.RecordBatch:
+    def opened(data: bytes) -> dict[int, Pack]:
+        searches: dict[int, list[Search]] = {}
+        for row in pa.ipc.open_stream(data).read_all().to_pylist():
+            windows = [(-math.inf, math.inf)] if same else [window(s) for s in row["scores"]]
+            search = Search(row["anchor"], row["label"], np.frombuffer(row["components"], "<f8"), windows, same, k)
+            searches.setdefault(row["dims"], []).append(search)
+        return {dims: Pack(some) for dims, some in searches.items()}
+
+    def results(packs: Iterable[Pack]) -> pa.RecordBatch:
         return _batch(
             [
                 (search.place, n, -minus, None if unknown else id_, place)
-                for _, search in searches
+                for pack in packs
+                for search in pack.searches
                 for n, best in enumerate(search.best)
                 for minus, unknown, id_, place in best
             ],
@@ -332,22 +415,23 @@ def _searched(pairs: DataFrame, same: bool, mining: Mining) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, block, searches = None, None, []
+        group, blocks = None, []
         for batch in batches:
-            numbers, packs = batch.column("pack").to_pylist(), batch.column("anchors")
-            blocks = batch.select(_BLOCK.names)
+            groups, numbers, anchors = (batch.column(c).to_pylist() for c in ("group", "pack", "anchors"))
+            rows = batch.select(_BLOCK.names)
             for row, number in enumerate(numbers):
-                if number != pack:
-                    yield results(searches)
-                    pack, searches = number, opened(packs[row].as_py())
-                if block is None or block.number != blocks.column(0)[row].as_py():
-                    block = Block(blocks.slice(row, 1).to_pylist()[0])
-                for dims, search in searches:
-                    if dims == block.dims:
-                        search_block(search, block, mining.first_depth)
-        yield results(searches)
+                if groups[row] != group:
+                    group, blocks = groups[row], []
+                if number < 0:
+                    blocks.append(Block(rows.slice(row, 1).to_pylist()[0]))
+                    continue
+                packs = opened(anchors[row])
+                for block in blocks:
+                    if block.dims in packs:
+                        packs[block.dims].search(block, mining.first_depth)
+                yield results(packs.values())
 
-    return pairs.mapInArrow(run, _FOUND)
+    return dealt.mapInArrow(run, _FOUND)
 
 
 def _first(found: DataFrame, k: int) -> DataFrame:
@@ -368,9 +452,10 @@ def hard_negatives(
     nulls, ties and repeated rows; columns other than vec_id, embedding and label are not read.
     """
     mining = mining or Mining()
+    small_batches(embeddings.sparkSession)
     blocks = pack_blocks(usable(embeddings, label), mining.block_rows)
     anchors = anchors_of(blocks, every)
-    best = _first(_searched(_pairs(blocks, anchors, mining), True, mining), mining.positives)
+    best = _first(_searched(_dealt(blocks, anchors, mining), True, mining), mining.positives)
     positives = stored(
         best.select("anchor", F.col("rank").alias("n"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score")),
         "positives",
@@ -378,7 +463,8 @@ def hard_negatives(
     scores = positives.groupBy("anchor").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("n", "positive_score"))), lambda p: p["positive_score"]).alias("scores")
     )
-    near = _first(_searched(_pairs(blocks, anchors.join(scores, "anchor"), mining), False, mining), mining.negatives)
+    scored = anchors.join(scores.hint("merge"), "anchor")
+    near = _first(_searched(_dealt(blocks, scored, mining), False, mining), mining.negatives)
     found = near.select(
         "anchor", (F.col("positive") + 1).alias("n"), "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score")
     )

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from functools import reduce
+from itertools import takewhile
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from tallystream.llm.best_fit import Packing, Underfull, best_fit, cuts, pack, pack_documents, pack_pieces
-from tallystream.llm.hard_negatives import Block, Mining, Search, hard_negatives, pack_blocks, search_block, usable
+from tallystream.llm.hard_negatives import Block, Mining, Pack, Search, hard_negatives, pack_blocks, search_block, usable
 from tallystream.llm.phrase_mining import (
     KEY_BITS, Counting, Counts, collocations, count_cyclically, frequent_phrases, portions_of, words_of, _exact, _opened,
 )
@@ -266,6 +267,43 @@ def test_sorted_access_stops_early_and_not_at_ties(spark):
     assert search_block(search, block) == 900 and [b[2] for b in search.best[0]] == [0, 1, 2, 3, 4]
 
 
+def test_vectors_are_not_joined(spark):
+    # A join of packs and blocks may be broadcast, through the driver, with each pack once per group.
+    df = spark.createDataFrame([(i, [1.0, i / 300], i % 2) for i in range(300)], VECTORS)
+    plan = hard_negatives(df, mining=Mining(block_rows=16))._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    begin = next(n for n, line in enumerate(plan) if "MapInArrow" in line)
+    depth = plan[begin].index("MapInArrow")
+    below = list(takewhile(lambda line: re.search(r"\w", line).start() > depth, plan[begin + 1 :]))
+    assert any("binary" in line or "components" in line for line in below) and not any("Join" in line for line in below)
+
+
+@pytest.mark.parametrize("size", [1.0, 500.0, 1e8])
+def test_a_pack_finds_what_each_anchor_finds(spark, size):
+    rng = np.random.default_rng(9)
+    vectors_ = np.round(rng.normal(size=(700, 5)), 1) * size
+    vectors_[::7] *= 4
+    rows = [(int(i), v.tolist(), int(i) % 3) for i, v in enumerate(vectors_)]
+    df = usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").coalesce(1))
+    blocks = [Block(row.asDict()) for row in pack_blocks(df, 100).collect()]
+    first = blocks[0]
+    windows = [(-math.inf, math.inf), (int(size) ** 2 * 1000, int(size) ** 2 * 90_000), (math.inf, -math.inf)]
+
+    def searches():
+        own = [Search(first.place(r), int(first.labels[r]), first.values[r], windows, True, 5) for r in range(0, 60, 2)]
+        zero = Search(-1, 1, np.zeros(5), windows, True, 5)
+        ahead = Search(-1, 1, np.array([2560.0 * size, 0, 0, 0, 0]), windows[:1], True, 5)
+        return [*own, zero, ahead]
+
+    packed, alone = searches(), searches()
+    pack, rows_scored = Pack(packed), 0
+    for block in blocks:
+        rows_scored += pack.search(block, 4)
+        for search in alone:
+            search_block(search, block, 4)
+    assert [s.best for s in packed] == [s.best for s in alone] and any(s.best[1] for s in alone)
+    assert rows_scored < 700 * len(alone)  # few rows for the last one
+
+
 # op13
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
